@@ -6,8 +6,9 @@ import math
 from functools import reduce
 from statistics import NormalDist
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def half_even(x: Column, digits: int = 0) -> Column:
@@ -22,6 +23,19 @@ def mean_of_sum(total: Column, n: Column) -> Column:
     return F.try_divide(total.cast("double"), n.cast("double"))
 
 
+def minor_units(df: DataFrame, column: str) -> tuple[Column, float]:
+    """A money column as whole minor units and the factor back to the major unit.
+
+    Sums of 64-bit integers are exact in any order and much cheaper than sums of decimals beyond
+    18 digits, which Spark keeps as objects. Other column types are summed as they are.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        factor = 10**kind.scale
+        return (F.col(column) * F.lit(factor)).cast("bigint"), float(factor)
+    return F.col(column), 1.0
+
+
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation that is null for a constant column instead of raising."""
     spread = F.stddev_pop(x) * F.stddev_pop(y)

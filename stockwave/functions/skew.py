@@ -20,7 +20,8 @@ def hot_keys(big: DataFrame, key: str, min_rows: int = 1_000_000) -> DataFrame:
     )
     return (
         sketch.select(F.explode("top").alias("t"), "n_rows")
-        .where((F.col("t.count") >= min_rows) & (F.col("t.count") * MAX_HOT_KEYS >= F.col("n_rows")))
+        .where(F.col("t.item").isNotNull() & (F.col("t.count") >= min_rows))
+        .where((F.col("t.count") * MAX_HOT_KEYS >= F.col("n_rows")))
         .select(F.col("t.item").alias(key), F.lit(True).alias("_hot"))
     )
 

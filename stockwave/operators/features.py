@@ -34,7 +34,9 @@ def series() -> WindowSpec:
 
 
 def lag_columns(columns: Sequence[str] = (TARGET,), lags: Sequence[int] = LAGS) -> list[Column]:
-    return [F.lag(c, k).over(series()).alias(f"{c}_lag_{k}") for c in columns for k in lags]
+    """Values of the k-th previous row of the category."""
+    rows = series()
+    return [F.lag(c, k).over(rows).alias(f"{c}_lag_{k}") for c in columns for k in lags]
 
 
 def rolling_columns(columns: Sequence[str] = (TARGET,), windows: Sequence[int] = ROLLING_WINDOWS) -> list[Column]:
@@ -43,24 +45,25 @@ def rolling_columns(columns: Sequence[str] = (TARGET,), windows: Sequence[int] =
     The deviation of a single previous row, and of none, is 0.
     """
     out = []
-    for c in columns:
-        for w in windows:
-            previous = series().rowsBetween(-w, -1)
+    for w in windows:
+        previous = series().rowsBetween(-w, -1)
+        for c in columns:
             out.append(F.avg(c).over(previous).alias(f"{c}_rolling_mean_{w}d"))
             out.append(F.coalesce(F.stddev_samp(c).over(previous), F.lit(0.0)).alias(f"{c}_rolling_std_{w}d"))
     return out
 
 
-def filled_column(column: str) -> Column:
-    """Last known value; rows before the first known value take that first value.
+def filled_columns(columns: Sequence[str]) -> list[Column]:
+    """Last known values; rows before the first known value take that first value.
 
     The second frame spans the whole partition so that it is evaluated once per category.
     """
-    forward = F.last(column, ignorenulls=True).over(series().rowsBetween(Window.unboundedPreceding, 0))
-    first = F.first(column, ignorenulls=True).over(
-        series().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    return F.coalesce(forward, first).alias(column)
+    past = series().rowsBetween(Window.unboundedPreceding, 0)
+    whole = series().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return [
+        F.coalesce(F.last(c, ignorenulls=True).over(past), F.first(c, ignorenulls=True).over(whole)).alias(c)
+        for c in columns
+    ]
 
 
 def add_lag_features(panel: DataFrame, columns: Sequence[str] = (TARGET,), lags: Sequence[int] = LAGS) -> DataFrame:
@@ -82,7 +85,8 @@ def add_exogenous_features(
 ) -> DataFrame:
     """Fill the gaps of the exogenous columns, then add their lags."""
     present = [c for c in columns if c in panel.columns]
-    filled = panel.select(*[filled_column(c) if c in present else F.col(c) for c in panel.columns])
+    kept = [c for c in panel.columns if c not in present]
+    filled = panel.select(*kept, *filled_columns(present))
     return filled.select("*", *lag_columns(present, lags))
 
 
@@ -150,7 +154,7 @@ def feature_matrix(
     flagged = add_holiday_feature(panel, holidays, holiday_mode)
     windowed = flagged.select(
         *kept,
-        *[filled_column(c) for c in exogenous],
+        *filled_columns(exogenous),
         *lag_columns(),
         *rolling_columns(),
         *calendar_columns(),

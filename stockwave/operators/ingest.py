@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockwave.functions.numeric import mean_of_sum
+from stockwave.functions.numeric import mean_of_sum, minor_units
 from stockwave.functions.skew import salted_join
 from stockwave.params import UNUSED_COLUMNS
 
@@ -61,10 +61,12 @@ def _with_category(lines: DataFrame, tables: Mapping[str, DataFrame]) -> DataFra
 
     No broadcast is forced: products grow with the business. Spark broadcasts them while they are
     under its size limit, and otherwise shuffles both sides by product, where its skew join splits
-    a product that holds a large share of the lines.
+    a product that holds a large share of the lines. One join after the other keeps the size of
+    each table visible to that choice.
     """
-    named = tables["products"].join(tables["category_translation"], "product_category_name", "left")
-    return lines.join(named, "product_id", "left")
+    return lines.join(tables["products"], "product_id", "left").join(
+        tables["category_translation"], "product_category_name", "left"
+    )
 
 
 def unified_orders(tables: Mapping[str, DataFrame], drop: Sequence[str] = UNUSED_COLUMNS) -> DataFrame:
@@ -116,14 +118,16 @@ def daily_category_demand(tables: Mapping[str, DataFrame]) -> DataFrame:
     they meet the orders, so a large order arrives as a few rows, distinct orders become a plain
     count, and customers and sellers, which add no column, are not read.
     """
+    price, price_factor = minor_units(tables["order_items"], "price")
+    freight, freight_factor = minor_units(tables["order_items"], "freight_value")
     baskets = (
         _with_category(tables["order_items"], tables)
         .groupBy("order_id", F.coalesce(F.col(ENGLISH).cast("string"), F.lit(UNKNOWN)).alias("category"))
         .agg(
             F.count(F.lit(1)).alias("n_items"),
-            F.sum("price").alias("price_sum"),
+            F.sum(price).alias("price_sum"),
             F.count("price").alias("price_n"),
-            F.sum("freight_value").alias("freight_sum"),
+            F.sum(freight).alias("freight_sum"),
             F.count("freight_value").alias("freight_n"),
         )
     )
@@ -133,17 +137,17 @@ def daily_category_demand(tables: Mapping[str, DataFrame]) -> DataFrame:
         .join(payments_per_order(tables["payments"]).select("order_id", "payment_installments_max"), "order_id", "left")
         .join(reviews_per_order(tables["reviews"]).select("order_id", "review_score_mean"), "order_id", "left")
     )
-    n, score, installments = (
-        F.col(c) for c in ("n_items", "review_score_mean", "payment_installments_max")
-    )
+    n, score, installments = (F.col(c) for c in ("n_items", "review_score_mean", "payment_installments_max"))
+    revenue = F.sum("price_sum").cast("double") / price_factor
+    freight_total = F.sum("freight_sum").cast("double") / freight_factor
     return (
         baskets.join(per_order, "order_id")
         .groupBy("date", "category")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            mean_of_sum(F.sum("price_sum"), F.sum("price_n")).alias("avg_price"),
-            F.sum("price_sum").cast("double").alias("total_revenue"),
-            mean_of_sum(F.sum("freight_sum"), F.sum("freight_n")).alias("avg_freight"),
+            mean_of_sum(revenue, F.sum("price_n")).alias("avg_price"),
+            revenue.alias("total_revenue"),
+            mean_of_sum(freight_total, F.sum("freight_n")).alias("avg_freight"),
             mean_of_sum(F.sum(score * n), F.sum(F.when(score.isNotNull(), n))).alias("avg_review_score"),
             mean_of_sum(
                 F.sum(installments * n), F.sum(F.when(installments.isNotNull(), n))

@@ -224,8 +224,8 @@ PLAN_SCENARIOS = [
     ("costly", 1e12, 1e13, 0.99, 0.4, 0.6),
 ]
 LOW_SCENARIOS = [
-    ("budget_bound", 1e12, 1e9, 0.3, 0.25, 0.4),
-    ("storage_bound", 2.4e6, 1e13, 0.3, 0.25, 0.4),
+    ("budget_bound", 1e12, 9e8, 0.3, 0.25, 0.4),
+    ("storage_bound", 1.8e6, 1e13, 0.3, 0.25, 0.4),
     ("unbound", 1e12, 1e13, 0.2, 0.25, 0.4),
     ("no_gain", 1e12, 1e13, 0.3, 0.5, 0.4),
     ("normal", 1e12, 1e13, 0.9, 0.25, 0.4),

@@ -125,8 +125,8 @@ PLAN_SCENARIOS = (
     Scenario("costly", storage_capacity=1e12, budget=1e13, service_level=0.99, holding_rate=0.4, stockout_rate=0.6),
 )
 LOW_SERVICE_SCENARIOS = (
-    Scenario("budget_bound", storage_capacity=1e12, budget=1.0e9, service_level=0.3),
-    Scenario("storage_bound", storage_capacity=2.4e6, budget=1e13, service_level=0.3),
+    Scenario("budget_bound", storage_capacity=1e12, budget=9.0e8, service_level=0.3),
+    Scenario("storage_bound", storage_capacity=1.8e6, budget=1e13, service_level=0.3),
     Scenario("unbound", storage_capacity=1e12, budget=1e13, service_level=0.2),
     Scenario("no_gain", storage_capacity=1e12, budget=1e13, service_level=0.3, holding_rate=0.5),
     Scenario("normal", storage_capacity=1e12, budget=1e13, service_level=0.9),

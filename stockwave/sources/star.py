@@ -2,65 +2,110 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Declared schemas: reading needs no job to look into the files.
+STAR_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+}
+
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+    return spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{folder.rstrip('/')}/{table}.parquet")
+
+
+class TableCatalog(Mapping[str, DataFrame]):
+    """Tables by name, each opened when it is first asked for."""
+
+    def __init__(self, openers: Mapping[str, Callable[[], DataFrame]]):
+        self._openers = dict(openers)
+        self._opened: dict[str, DataFrame] = {}
 
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._openers[name]()
+        return self._opened[name]
 
-def retail_tables(spark: SparkSession, folder: str, category: str = "p_type") -> dict[str, DataFrame]:
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._openers)
+
+    def __len__(self) -> int:
+        return len(self._openers)
+
+
+def retail_tables(spark: SparkSession, folder: str, category: str = "p_type") -> TableCatalog:
     """Lazy projections of the Parquet tables; ``category`` is the part column to plan by."""
-    orders, items = read(spark, folder, "orders"), read(spark, folder, "lineitem")
-    parts = read(spark, folder, "part")
+
+    def table(name: str) -> DataFrame:
+        return read(spark, folder, name)
+
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     kind = F.col("l_returnflag")
-    return {
-        "orders": orders.select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.when(F.col("o_orderstatus") == "F", "delivered")
-            .when(F.col("o_orderstatus") == "O", "shipped")
-            .otherwise("canceled")
-            .alias("order_status"),
-            F.col("o_orderdate").alias("order_purchase_timestamp"),
-        ),
-        "order_items": items.select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("seller_id"),
-            price.alias("price"),
-            (price * F.col("l_tax").cast("decimal(4,2)")).alias("freight_value"),
-        ),
-        "products": parts.select(
-            F.col("p_partkey").alias("product_id"), F.col(category).alias("product_category_name")
-        ),
-        "category_translation": parts.where(F.col(category) != "PROMO")
-        .select(
-            F.col(category).alias("product_category_name"),
-            F.lower(category).alias("product_category_name_english"),
-        )
-        .distinct(),
-        "customers": read(spark, folder, "customer").select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_unique_id"),
-            F.col("c_nationkey").cast("string").alias("customer_zip_code_prefix"),
-        ),
-        "sellers": read(spark, folder, "supplier").select(
-            F.col("s_suppkey").alias("seller_id"),
-            F.col("s_nationkey").cast("string").alias("seller_zip_code_prefix"),
-        ),
-        "payments": items.select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("payment_sequential"),
-            F.col("l_quantity").cast("int").alias("payment_installments"),
-            price.alias("payment_value"),
-            F.when(kind == "R", "credit_card").when(kind == "A", "boleto").otherwise("voucher").alias("payment_type"),
-        ),
-        "reviews": items.where(F.col("l_linestatus") == "F").select(
-            F.col("l_orderkey").alias("order_id"),
-            (F.col("l_suppkey") % 5 + 1).cast("int").alias("review_score"),
-        ),
-        "geolocation": read(spark, folder, "nation"),
-    }
+    return TableCatalog(
+        {
+            "orders": lambda: table("orders").select(
+                F.col("o_orderkey").alias("order_id"),
+                F.col("o_custkey").alias("customer_id"),
+                F.when(F.col("o_orderstatus") == "F", "delivered")
+                .when(F.col("o_orderstatus") == "O", "shipped")
+                .otherwise("canceled")
+                .alias("order_status"),
+                F.col("o_orderdate").alias("order_purchase_timestamp"),
+            ),
+            "order_items": lambda: table("lineitem").select(
+                F.col("l_orderkey").alias("order_id"),
+                F.col("l_partkey").alias("product_id"),
+                F.col("l_suppkey").alias("seller_id"),
+                price.alias("price"),
+                (price * F.col("l_tax").cast("decimal(4,2)")).alias("freight_value"),
+            ),
+            "products": lambda: table("part").select(
+                F.col("p_partkey").alias("product_id"), F.col(category).alias("product_category_name")
+            ),
+            "category_translation": lambda: table("part")
+            .where(F.col(category) != "PROMO")
+            .select(
+                F.col(category).alias("product_category_name"),
+                F.lower(category).alias("product_category_name_english"),
+            )
+            .distinct(),
+            "customers": lambda: table("customer").select(
+                F.col("c_custkey").alias("customer_id"),
+                F.col("c_name").alias("customer_unique_id"),
+                F.col("c_nationkey").cast("string").alias("customer_zip_code_prefix"),
+            ),
+            "sellers": lambda: table("supplier").select(
+                F.col("s_suppkey").alias("seller_id"),
+                F.col("s_nationkey").cast("string").alias("seller_zip_code_prefix"),
+            ),
+            "payments": lambda: table("lineitem").select(
+                F.col("l_orderkey").alias("order_id"),
+                F.col("l_linenumber").alias("payment_sequential"),
+                F.col("l_quantity").cast("int").alias("payment_installments"),
+                price.alias("payment_value"),
+                F.when(kind == "R", "credit_card").when(kind == "A", "boleto").otherwise("voucher").alias("payment_type"),
+            ),
+            "reviews": lambda: table("lineitem")
+            .where(F.col("l_linestatus") == "F")
+            .select(
+                F.col("l_orderkey").alias("order_id"),
+                (F.col("l_suppkey") % 5 + 1).cast("int").alias("review_score"),
+            ),
+            "geolocation": lambda: table("nation"),
+        }
+    )
