@@ -30,6 +30,7 @@ from stockwave.params import (
 )
 
 BUCKETS_PER_OCTAVE = 64
+SLICES_PER_BUCKET = 4096
 UNLIMITED_BUCKET = 1 << 20
 
 
@@ -139,13 +140,20 @@ def safety_stock() -> Column:
     return F.col("z") * F.col("forecast_std") * F.sqrt(F.col("lead_time_days") / F.lit(30.0))
 
 
+def _before(total: str, *partition: str, order: str) -> Column:
+    """Sum of ``total`` over the rows ranked ahead."""
+    ahead = Window.partitionBy(*partition).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(total).over(ahead), F.lit(0.0))
+
+
 def _fill_shares(candidates: DataFrame, key: str) -> DataFrame:
     """Share of the fillable room each storage density gets, per scenario.
 
     Items with equal money per unit of storage are interchangeable and share alike, so they are
-    summed first and a density held by most items is one row. The running sum goes over
-    logarithmic density buckets (at most 64 for each of the 2,098 binary orders of magnitude of a
-    double) and then over the densities inside one bucket, never over all items.
+    summed first and a density held by most items is one row. No running sum goes over all items:
+    densities fall into logarithmic buckets (at most 64 for each of the 2,098 binary orders of
+    magnitude of a double), each bucket into 4,096 slices, and the sums run over the buckets, over
+    the slices of a bucket, and over the densities of one slice.
     """
     groups = candidates.groupBy(key, "_density").agg(
         F.sum(F.col("unit_cost") * F.col("_room")).alias("_money"),
@@ -153,27 +161,31 @@ def _fill_shares(candidates: DataFrame, key: str) -> DataFrame:
         F.max("_money_left").alias("_money_left"),
         F.max("_volume_left").alias("_volume_left"),
     )
-    unlimited = F.col("_density") == F.lit(float("inf"))
-    bucket = F.when(unlimited, F.lit(UNLIMITED_BUCKET)).otherwise(
-        F.floor(F.log2("_density") * BUCKETS_PER_OCTAVE).cast("int")
+    limited = F.col("_density") < F.lit(float("inf"))
+    scale = F.when(limited, F.log2("_density") * BUCKETS_PER_OCTAVE)
+    groups = groups.withColumn("_bucket", F.coalesce(F.floor(scale).cast("int"), F.lit(UNLIMITED_BUCKET))).withColumn(
+        "_slice", F.coalesce(F.floor((scale - F.floor(scale)) * SLICES_PER_BUCKET).cast("int"), F.lit(0))
     )
-    groups = groups.withColumn("_bucket", bucket)
-    earlier = Window.partitionBy(key).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        groups.groupBy(key, "_bucket")
-        .agg(F.sum("_money").alias("_m"), F.sum("_volume").alias("_v"))
-        .select(
-            key,
-            "_bucket",
-            F.coalesce(F.sum("_m").over(earlier), F.lit(0.0)).alias("_money_before"),
-            F.coalesce(F.sum("_v").over(earlier), F.lit(0.0)).alias("_volume_before"),
-        )
+    sums = (F.sum("_money").alias("_money"), F.sum("_volume").alias("_volume"))
+    slices = groups.groupBy(key, "_bucket", "_slice").agg(*sums)
+    buckets = slices.groupBy(key, "_bucket").agg(*sums).select(
+        key,
+        "_bucket",
+        _before("_money", key, order="_bucket").alias("_bucket_money"),
+        _before("_volume", key, order="_bucket").alias("_bucket_volume"),
+    )
+    offsets = slices.join(buckets, [key, "_bucket"]).select(
+        key,
+        "_bucket",
+        "_slice",
+        (F.col("_bucket_money") + _before("_money", key, "_bucket", order="_slice")).alias("_slice_money"),
+        (F.col("_bucket_volume") + _before("_volume", key, "_bucket", order="_slice")).alias("_slice_volume"),
     )
-    inside = Window.partitionBy(key, "_bucket").orderBy(F.desc("_density")).rowsBetween(Window.unboundedPreceding, -1)
-    placed = groups.join(offsets, [key, "_bucket"]).select(
+    place = (key, "_bucket", "_slice")
+    placed = groups.join(offsets, list(place)).select(
         "*",
-        (F.col("_money_before") + F.coalesce(F.sum("_money").over(inside), F.lit(0.0))).alias("_money_used"),
-        (F.col("_volume_before") + F.coalesce(F.sum("_volume").over(inside), F.lit(0.0))).alias("_volume_used"),
+        (F.col("_slice_money") + _before("_money", *place, order="_density")).alias("_money_used"),
+        (F.col("_slice_volume") + _before("_volume", *place, order="_density")).alias("_volume_used"),
     )
     by_money = (F.col("_money_left") - F.col("_money_used")) / F.col("_money")
     by_volume = F.when(F.col("_volume") > 0.0, (F.col("_volume_left") - F.col("_volume_used")) / F.col("_volume"))

@@ -518,6 +518,14 @@ def oracles() -> dict[str, str]:
         from (select category, (select split from spans where daily.date between lo and hi) as split from daily) group by 1)
         select category, greatest(tr - 30, 0) as train_windows, va as val_windows, tr - 30 >= 10 and va >= 5 as eligible from n"""
     )
+    q["train_report"] = sql(
+        """select category, 'trained' as status, '' as detail from labelled where split = 'train' group by 1
+        order by sum(order_count) desc, category limit 2""", "labelled",
+    )
+    q["model_roundtrip"] = sql(
+        f"""select {key}, {r("a + b*month(date)")} as yhat from daily,
+        (select regr_intercept(order_count, month(date)) as a, regr_slope(order_count, month(date)) as b from daily)""", "daily",
+    )
 
     q["future_spine"] = sql(
         f"select category, {d('last_date + cast(k as int)')} as date from ends, generate_series(1, 90) g(k)", "ends"

@@ -21,20 +21,28 @@ def build_session(app: str = "stockwave", cores: str | None = None) -> SparkSess
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
+    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a temporary folder of its own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="stockwave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="stockwave-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

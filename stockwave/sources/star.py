@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Declared schemas: reading needs no job to look into the files.
 STAR_SCHEMAS = {
@@ -24,6 +23,8 @@ STAR_SCHEMAS = {
     ),
 }
 
+MONEY = "CAST(l_extendedprice AS decimal(12,2))"
+
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{folder.rstrip('/')}/{table}.parquet")
@@ -54,58 +55,44 @@ def retail_tables(spark: SparkSession, folder: str, category: str = "p_type") ->
     def table(name: str) -> DataFrame:
         return read(spark, folder, name)
 
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    kind = F.col("l_returnflag")
     return TableCatalog(
         {
-            "orders": lambda: table("orders").select(
-                F.col("o_orderkey").alias("order_id"),
-                F.col("o_custkey").alias("customer_id"),
-                F.when(F.col("o_orderstatus") == "F", "delivered")
-                .when(F.col("o_orderstatus") == "O", "shipped")
-                .otherwise("canceled")
-                .alias("order_status"),
-                F.col("o_orderdate").alias("order_purchase_timestamp"),
-            ),
-            "order_items": lambda: table("lineitem").select(
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_suppkey").alias("seller_id"),
-                price.alias("price"),
-                (price * F.col("l_tax").cast("decimal(4,2)")).alias("freight_value"),
+            "orders": lambda: table("orders").selectExpr(
+                "o_orderkey AS order_id",
+                "o_custkey AS customer_id",
+                "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' ELSE 'canceled' END AS order_status",
+                "o_orderdate AS order_purchase_timestamp",
             ),
-            "products": lambda: table("part").select(
-                F.col("p_partkey").alias("product_id"), F.col(category).alias("product_category_name")
+            "order_items": lambda: table("lineitem").selectExpr(
+                "l_orderkey AS order_id",
+                "l_partkey AS product_id",
+                "l_suppkey AS seller_id",
+                f"{MONEY} AS price",
+                f"{MONEY} * CAST(l_tax AS decimal(4,2)) AS freight_value",
             ),
+            "products": lambda: table("part").selectExpr("p_partkey AS product_id", f"{category} AS product_category_name"),
             "category_translation": lambda: table("part")
-            .where(F.col(category) != "PROMO")
-            .select(
-                F.col(category).alias("product_category_name"),
-                F.lower(category).alias("product_category_name_english"),
-            )
+            .where(f"{category} <> 'PROMO'")
+            .selectExpr(f"{category} AS product_category_name", f"lower({category}) AS product_category_name_english")
             .distinct(),
-            "customers": lambda: table("customer").select(
-                F.col("c_custkey").alias("customer_id"),
-                F.col("c_name").alias("customer_unique_id"),
-                F.col("c_nationkey").cast("string").alias("customer_zip_code_prefix"),
+            "customers": lambda: table("customer").selectExpr(
+                "c_custkey AS customer_id",
+                "c_name AS customer_unique_id",
+                "CAST(c_nationkey AS string) AS customer_zip_code_prefix",
             ),
-            "sellers": lambda: table("supplier").select(
-                F.col("s_suppkey").alias("seller_id"),
-                F.col("s_nationkey").cast("string").alias("seller_zip_code_prefix"),
+            "sellers": lambda: table("supplier").selectExpr(
+                "s_suppkey AS seller_id", "CAST(s_nationkey AS string) AS seller_zip_code_prefix"
             ),
-            "payments": lambda: table("lineitem").select(
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_linenumber").alias("payment_sequential"),
-                F.col("l_quantity").cast("int").alias("payment_installments"),
-                price.alias("payment_value"),
-                F.when(kind == "R", "credit_card").when(kind == "A", "boleto").otherwise("voucher").alias("payment_type"),
+            "payments": lambda: table("lineitem").selectExpr(
+                "l_orderkey AS order_id",
+                "l_linenumber AS payment_sequential",
+                "CAST(l_quantity AS int) AS payment_installments",
+                f"{MONEY} AS payment_value",
+                "CASE l_returnflag WHEN 'R' THEN 'credit_card' WHEN 'A' THEN 'boleto' ELSE 'voucher' END AS payment_type",
             ),
             "reviews": lambda: table("lineitem")
-            .where(F.col("l_linestatus") == "F")
-            .select(
-                F.col("l_orderkey").alias("order_id"),
-                (F.col("l_suppkey") % 5 + 1).cast("int").alias("review_score"),
-            ),
+            .where("l_linestatus = 'F'")
+            .selectExpr("l_orderkey AS order_id", "CAST(l_suppkey % 5 + 1 AS int) AS review_score"),
             "geolocation": lambda: table("nation"),
         }
     )
