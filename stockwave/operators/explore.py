@@ -164,13 +164,29 @@ def lag_like(features: DataFrame, n: int = 10) -> list[str]:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson matrix in long form; every pair is computed once, in one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
-    long = row.unpivot([], row.columns, "pair", "corr").select(
-        F.split_part("pair", F.lit("|"), F.lit(1)).alias("column_a"),
-        F.split_part("pair", F.lit("|"), F.lit(2)).alias("column_b"),
-        "corr",
+    """Pearson matrix in long form.
+
+    Every row is spread into its pairs, each pair once, and summed before the shuffle; one small
+    aggregation serves all pairs, where a wide one of a column per pair would outgrow code
+    generation.
+    """
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(a).alias("column_a"),
+                F.lit(b).alias("column_b"),
+                F.col(a).cast("double").alias("x"),
+                F.col(b).cast("double").alias("y"),
+            )
+            for i, a in enumerate(columns)
+            for b in columns[i:]
+        ]
+    )
+    long = (
+        df.select(F.explode(pairs).alias("p"))
+        .select("p.*")
+        .groupBy("column_a", "column_b")
+        .agg(safe_corr(F.col("x"), F.col("y")).alias("corr"))
     )
     mirrored = F.array(
         F.struct("column_a", "column_b"),
@@ -183,15 +199,26 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def target_corr(features: DataFrame, top: int = 10, bottom: int = 5) -> DataFrame:
     """Features most and least correlated with the target; features without variance are left out.
 
-    One aggregation row for all features; the two rankings then run on at most one row per feature.
+    The features are unpivoted and summed per feature before the shuffle; the rankings run on one
+    row per feature.
     """
     names = feature_columns(features)
-    row = features.agg(*[safe_corr(F.col(c), F.col(TARGET)).alias(c) for c in names])
-    ranked = row.unpivot([], names, "feature", "corr").where(F.col("corr").isNotNull())
-    ranked = ranked.withColumn("corr", half_even(F.col("corr"), 6))
-    best = ranked.orderBy(F.desc("corr"), "feature").limit(top).withColumn("side", F.lit("top"))
-    worst = ranked.orderBy(F.asc("corr"), "feature").limit(bottom).withColumn("side", F.lit("bottom"))
-    return best.unionByName(worst)
+    values = [F.col(c).cast("double").alias(c) for c in names]
+    long = features.select(F.col(TARGET).cast("double").alias("_y"), *values).unpivot(["_y"], names, "feature", "_x")
+    ranked = (
+        long.groupBy("feature")
+        .agg(half_even(safe_corr(F.col("_x"), F.col("_y")), 6).alias("corr"))
+        .where(F.col("corr").isNotNull())
+    )
+    up, down = Window.orderBy(F.asc("corr"), "feature"), Window.orderBy(F.desc("corr"), "feature")
+    placed = ranked.select(
+        "feature", "corr", F.row_number().over(down).alias("_down"), F.row_number().over(up).alias("_up")
+    )  # one row per feature
+    sides = F.filter(
+        F.array(F.when(F.col("_down") <= top, F.lit("top")), F.when(F.col("_up") <= bottom, F.lit("bottom"))),
+        lambda s: s.isNotNull(),
+    )
+    return placed.select("feature", "corr", F.explode(sides).alias("side"))
 
 
 def modal_category(panel: DataFrame) -> DataFrame:

@@ -82,7 +82,8 @@ def unified_orders(tables: Mapping[str, DataFrame], drop: Sequence[str] = UNUSED
         .join(reviews_per_order(tables["reviews"]), "order_id", "left")
         .join(tables["customers"], "customer_id", "left")
     )
-    lines = salted_join(tables["order_items"], per_order, "order_id", "inner")
+    items = tables["order_items"].drop("price_minor", "freight_value_minor")
+    lines = salted_join(items, per_order, "order_id", "inner")
     return (
         _with_category(lines, tables)
         .join(tables["sellers"], "seller_id", "left")

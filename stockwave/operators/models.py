@@ -29,6 +29,17 @@ def as_predictions(df: DataFrame, model: str, yhat: Column) -> DataFrame:
     )
 
 
+def stack_predictions(df: DataFrame, models: Mapping[str, Column]) -> DataFrame:
+    """Several models of the same rows in the long form, in one pass over the rows."""
+    each = F.array(
+        *[F.struct(F.lit(m).alias("model"), yhat.cast("double").alias("yhat")) for m, yhat in models.items()]
+    )
+    y = F.col(TARGET).cast("double").alias("y")
+    return df.select("category", "date", y, F.explode(each).alias("_m")).select(
+        "category", "date", "_m.model", "y", "_m.yhat"
+    )
+
+
 def score_absent_model(df: DataFrame, model: str) -> DataFrame:
     """The constant that stands in for a model that was never fitted."""
     return as_predictions(df, model, F.lit(ABSENT_MODEL_VALUE))
@@ -48,9 +59,16 @@ def naive_lag1(features: DataFrame) -> DataFrame:
     return as_predictions(features, "lag1", F.col(f"{TARGET}_lag_1"))
 
 
-def naive_ma7(features: DataFrame) -> DataFrame:
-    """Predict the mean of the previous seven rows."""
-    return as_predictions(features, "ma7", F.col(f"{TARGET}_rolling_mean_7d"))
+def naive_models(train: DataFrame, rows: DataFrame) -> DataFrame:
+    """Training mean, previous row and mean of the previous seven rows, in one pass."""
+    return stack_predictions(
+        rows.join(category_means(train), "category"),
+        {
+            "mean_baseline": F.col("train_mean"),
+            "lag1": F.col(f"{TARGET}_lag_1"),
+            "ma7": F.col(f"{TARGET}_rolling_mean_7d"),
+        },
+    )
 
 
 def ensemble_weights(metrics: DataFrame, floor: float = 0.001) -> DataFrame:

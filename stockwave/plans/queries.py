@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,17 +48,17 @@ def registry() -> dict[str, Query]:
 
 
 def tidy(df: DataFrame, as_double: Sequence[str] = ()) -> DataFrame:
-    def column(f: T.StructField) -> Column:
-        c = F.col(f"`{f.name}`")
+    def column(f: T.StructField) -> str:
+        name = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) or f.name in as_double:
-            return half_even(c.cast("double"), 6).alias(f.name)
+            return f"rint(CAST({name} AS double) * 1e6D) / 1e6D + 0D AS {name}"
         if isinstance(f.dataType, T.DecimalType):
-            return c.cast("double").alias(f.name)
+            return f"CAST({name} AS double) AS {name}"
         if isinstance(f.dataType, (T.DateType, T.TimestampNTZType, T.TimestampType)):
-            return c.cast("date").cast("string").alias(f.name)
-        return c
+            return f"CAST(CAST({name} AS date) AS string) AS {name}"
+        return name
 
-    return df.select(*[column(f) for f in df.schema.fields])
+    return df.selectExpr(*[column(f) for f in df.schema.fields])
 
 
 def panel_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,10 +79,8 @@ def naive_predictions(panel: DataFrame, split: str) -> DataFrame:
         "date", "category", TARGET, *features.lag_columns(lags=(1,)), *features.rolling_columns(windows=(7,))
     ).na.fill(0)
     parts = dict(zip(("train", "val", "test"), features.train_val_test_split(rows, SPLITS)))
-    wanted = parts[split]
-    return explore.union_all(
-        [models.mean_baseline(parts["train"], wanted), models.naive_lag1(wanted), models.naive_ma7(wanted)]
-    )
+    train, _, _ = features.train_val_test_split(panel, SPLITS)
+    return models.naive_models(train, parts[split])
 
 
 def validation_weights(panel: DataFrame) -> DataFrame:
@@ -90,11 +88,8 @@ def validation_weights(panel: DataFrame) -> DataFrame:
 
 
 def future_predictions(panel: DataFrame, days: int = HORIZON) -> DataFrame:
-    ahead = forecast.future_features(panel, days, HOLIDAYS)
     train, _, _ = features.train_val_test_split(panel, SPLITS)
-    return explore.union_all(
-        [models.mean_baseline(train, ahead), models.naive_lag1(ahead), models.naive_ma7(ahead)]
-    )
+    return models.naive_models(train, forecast.future_features(panel, days, HOLIDAYS))
 
 
 def forecast_of(panel: DataFrame) -> DataFrame:
