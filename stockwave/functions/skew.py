@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 256
+MIN_HOT_ROWS = 1_000_000
+SALTS = 64
 
 
-def hot_keys(big: DataFrame, key: str, min_rows: int = 1_000_000) -> DataFrame:
+def hot_keys(big: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Keys that hold at least 1/256 of the rows (and at least ``min_rows``).
 
     One scan of the key column feeds a mergeable frequent-items sketch, so no key is shuffled and
@@ -26,27 +28,41 @@ def hot_keys(big: DataFrame, key: str, min_rows: int = 1_000_000) -> DataFrame:
     )
 
 
+def row_slots(salts: int = SALTS) -> Column:
+    """A slot number per row from its place in its input split.
+
+    A task that is run again produces the same slots only where the input order is fixed: use it
+    on a scan or on narrow steps over one, and carry the column through later shuffles.
+    """
+    return F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+
+
 def salted_join(
     big: DataFrame,
     small: DataFrame,
     key: str,
     how: str = "inner",
-    salts: int = 64,
-    min_rows: int = 1_000_000,
+    hot: DataFrame | None = None,
+    slot: str | None = None,
+    salts: int = SALTS,
+    min_rows: int = MIN_HOT_ROWS,
+    keep: bool = False,
 ) -> DataFrame:
     """``big`` join ``small`` on ``key`` with the hot keys of ``big`` spread over ``salts`` tasks.
 
     Rows of a hot key (and rows with a null key) get a salt; only the hot rows of ``small`` are
-    repeated once per salt. ``how`` is inner or left. The salt comes from the row's place in its
-    input split, so a task that is run again produces the same salts: ``big`` must be a scan or
-    a chain of narrow steps on one.
+    repeated once per salt. ``how`` is inner or left. Without ``hot`` and ``slot``, ``big`` must be
+    a scan or narrow steps on one; otherwise pass the hot keys of the underlying scan and the name
+    of a ``row_slots`` column made on it. ``keep`` leaves ``_salt`` and ``_hot`` in the result, which
+    is partitioned by (key, ``_salt``) unless Spark found ``small`` small enough to broadcast.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"only inner and left joins can be salted, got {how}")
-    hot = F.broadcast(hot_keys(big, key, min_rows))  # at most 256 rows by construction
-    slot: Column = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    hot = F.broadcast(hot_keys(big, key, min_rows) if hot is None else hot)  # at most 256 rows
+    place = F.col(slot) if slot else row_slots(salts)
     spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    left = big.join(hot, key, "left").withColumn("_salt", F.when(spread, slot).otherwise(F.lit(0)))
+    left = big.join(hot, key, "left").withColumn("_salt", F.when(spread, place).otherwise(F.lit(0)))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = small.join(hot, key, "left").withColumn("_salt", F.explode(copies))
-    return left.drop("_hot").join(right.drop("_hot"), [key, "_salt"], how).drop("_salt")
+    right = small.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    joined = left.join(right, [key, "_salt"], how)
+    return joined if keep else joined.drop("_salt", "_hot")

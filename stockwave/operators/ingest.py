@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockwave.functions.numeric import mean_of_sum, minor_units
-from stockwave.functions.skew import salted_join
+from stockwave.functions.skew import MIN_HOT_ROWS, hot_keys, row_slots, salted_join
 from stockwave.params import UNUSED_COLUMNS
 
 PURCHASED = "order_purchase_timestamp"
@@ -111,26 +111,26 @@ def aggregate_daily_category(unified: DataFrame) -> DataFrame:
     )
 
 
-def daily_category_demand(tables: Mapping[str, DataFrame]) -> DataFrame:
+def daily_category_demand(tables: Mapping[str, DataFrame], min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Daily demand per category straight from the raw tables.
 
     Same result as ``aggregate_daily_category(unified_orders(tables))`` for unique customer and
-    seller keys, without building the wide fact. Items are summed per (order, category) before
-    they meet the orders, so a large order arrives as a few rows, distinct orders become a plain
-    count, and customers and sellers, which add no column, are not read.
+    seller keys, without building the wide fact: customers and sellers, which add no column, are
+    not read. Items are shuffled once, for the salted join with their order. As the result is
+    partitioned by order and salt, the items of an (order, category) are summed where they are,
+    distinct orders become a count of those sums, and only orders split over several salts are
+    counted as distinct ids. What is left for the last shuffle is days x categories.
     """
-    price, price_factor = minor_units(tables["order_items"], "price")
-    freight, freight_factor = minor_units(tables["order_items"], "freight_value")
-    baskets = (
-        _with_category(tables["order_items"], tables)
-        .groupBy("order_id", F.coalesce(F.col(ENGLISH).cast("string"), F.lit(UNKNOWN)).alias("category"))
-        .agg(
-            F.count(F.lit(1)).alias("n_items"),
-            F.sum(price).alias("price_sum"),
-            F.count("price").alias("price_n"),
-            F.sum(freight).alias("freight_sum"),
-            F.count("freight_value").alias("freight_n"),
-        )
+    items = tables["order_items"]
+    price, price_factor = minor_units(items, "price")
+    freight, freight_factor = minor_units(items, "freight_value")
+    lines = _with_category(
+        items.select(
+            "order_id", "product_id", price.alias("price"), freight.alias("freight"), row_slots().alias("_slot")
+        ),
+        tables,
+    ).select(
+        "order_id", "price", "freight", "_slot", F.coalesce(F.col(ENGLISH).cast("string"), F.lit(UNKNOWN)).alias("category")
     )
     orders = clean_orders(tables["orders"].select("order_id", "order_status", PURCHASED))
     per_order = (
@@ -138,20 +138,27 @@ def daily_category_demand(tables: Mapping[str, DataFrame]) -> DataFrame:
         .join(payments_per_order(tables["payments"]).select("order_id", "payment_installments_max"), "order_id", "left")
         .join(reviews_per_order(tables["reviews"]).select("order_id", "review_score_mean"), "order_id", "left")
     )
+    joined = salted_join(
+        lines, per_order, "order_id", hot=hot_keys(items, "order_id", min_hot_rows), slot="_slot", keep=True
+    )
+    baskets = joined.groupBy(
+        "order_id", "_salt", "_hot", "category", "date", "payment_installments_max", "review_score_mean"
+    ).agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.sum("price").alias("price_sum"),
+        F.count("price").alias("price_n"),
+        F.sum("freight").alias("freight_sum"),
+        F.count("freight").alias("freight_n"),
+    )
     n, score, installments = (F.col(c) for c in ("n_items", "review_score_mean", "payment_installments_max"))
+    split_order = F.when(F.col("_hot"), F.col("order_id"))
     revenue = F.sum("price_sum").cast("double") / price_factor
     freight_total = F.sum("freight_sum").cast("double") / freight_factor
-    return (
-        baskets.join(per_order, "order_id")
-        .groupBy("date", "category")
-        .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            mean_of_sum(revenue, F.sum("price_n")).alias("avg_price"),
-            revenue.alias("total_revenue"),
-            mean_of_sum(freight_total, F.sum("freight_n")).alias("avg_freight"),
-            mean_of_sum(F.sum(score * n), F.sum(F.when(score.isNotNull(), n))).alias("avg_review_score"),
-            mean_of_sum(
-                F.sum(installments * n), F.sum(F.when(installments.isNotNull(), n))
-            ).alias("avg_installments"),
-        )
+    return baskets.groupBy("date", "category").agg(
+        (F.count_if(F.col("_hot").isNull()) + F.count_distinct(split_order)).alias("order_count"),
+        mean_of_sum(revenue, F.sum("price_n")).alias("avg_price"),
+        revenue.alias("total_revenue"),
+        mean_of_sum(freight_total, F.sum("freight_n")).alias("avg_freight"),
+        mean_of_sum(F.sum(score * n), F.sum(F.when(score.isNotNull(), n))).alias("avg_review_score"),
+        mean_of_sum(F.sum(installments * n), F.sum(F.when(installments.isNotNull(), n))).alias("avg_installments"),
     )

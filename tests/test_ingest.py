@@ -91,8 +91,9 @@ def test_daily_demand_by_definition(tables):
     assert len(rows) == 3
 
 
-def test_both_ways_to_the_panel_agree(tables):
-    a = ingest.daily_category_demand(tables).toPandas().sort_values(["date", "category"], ignore_index=True)
+@pytest.mark.parametrize("min_hot_rows", [10, 1_000_000])
+def test_both_ways_to_the_panel_agree(tables, min_hot_rows):
+    a = ingest.daily_category_demand(tables, min_hot_rows).toPandas().sort_values(["date", "category"], ignore_index=True)
     b = ingest.aggregate_daily_category(ingest.unified_orders(tables)).toPandas()
     b = b.sort_values(["date", "category"], ignore_index=True)
     pd.testing.assert_frame_equal(a, b[a.columns])
@@ -101,3 +102,16 @@ def test_both_ways_to_the_panel_agree(tables):
 def test_daily_path_reads_neither_customers_nor_sellers(tables):
     needed = {k: v for k, v in tables.items() if k not in ("customers", "sellers")}
     assert ingest.daily_category_demand(needed).agg(F.sum("order_count")).first()[0] == 5
+
+
+def test_items_are_shuffled_once(spark, tables):
+    """Without broadcasts: one exchange of the items for the join, none for the basket sums."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = {k: v for k, v in tables.items()}
+        plan = ingest.daily_category_demand(small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above_join = plan.split("SortMergeJoin [order_id")[0]
+    assert above_join.count("Exchange hashpartitioning(date") == 2  # distinct split orders, then the result
+    assert "Exchange hashpartitioning(order_id" not in above_join
