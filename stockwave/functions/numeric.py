@@ -27,16 +27,12 @@ def minor_units(df: DataFrame, column: str) -> tuple[Column, float]:
     """A money column as whole minor units and the factor back to the major unit.
 
     Sums of 64-bit integers are exact in any order and much cheaper than sums of decimals beyond
-    18 digits, which Spark keeps as objects. A source that already has the amounts as integers
-    brings them along as ``<column>_minor``, at the scale of the decimal column. Columns that are
-    not decimal are summed as they are.
+    18 digits, which Spark keeps as objects. Columns that are not decimal are summed as they are.
     """
     kind = df.schema[column].dataType
     if not isinstance(kind, T.DecimalType) or kind.precision > 18:
         return F.col(column), 1.0
     factor = 10**kind.scale
-    if f"{column}_minor" in df.columns:
-        return F.col(f"{column}_minor"), float(factor)
     return (F.col(column) * F.lit(factor)).cast("bigint"), float(factor)
 
 

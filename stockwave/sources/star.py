@@ -24,7 +24,6 @@ STAR_SCHEMAS = {
 }
 
 MONEY = "CAST(l_extendedprice AS decimal(12,2))"
-CENTS = "CAST(rint(l_extendedprice * 100) AS bigint)"
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -70,8 +69,6 @@ def retail_tables(spark: SparkSession, folder: str, category: str = "p_type") ->
                 "l_suppkey AS seller_id",
                 f"{MONEY} AS price",
                 f"{MONEY} * CAST(l_tax AS decimal(4,2)) AS freight_value",
-                f"{CENTS} AS price_minor",
-                f"{CENTS} * CAST(rint(l_tax * 100) AS bigint) AS freight_value_minor",
             ),
             "products": lambda: table("part").selectExpr("p_partkey AS product_id", f"{category} AS product_category_name"),
             "category_translation": lambda: table("part")
