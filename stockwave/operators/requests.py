@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockwave.functions.numeric import half_even
 from stockwave.operators.replenish import items_from_forecast, solve_plan, with_request_limits
 
 # Request defaults and bounds.
@@ -52,6 +53,27 @@ def answer_forecast_requests(requests: DataFrame, forecast: DataFrame) -> DataFr
     return wanted.join(forecast, "category").where(F.col("days_ahead") <= F.col("days"))
 
 
+def summarise_answers(answers: DataFrame) -> DataFrame:
+    """Whole orders and daily mean per answered request, from the unrounded forecast."""
+    return answers.groupBy("request_id", "category").agg(
+        F.count(F.lit(1)).alias("forecast_days"),
+        F.sum("blended").cast("bigint").alias("total_forecast_orders"),
+        half_even(F.avg("blended"), 1).alias("avg_daily_forecast"),
+    )
+
+
+def rejected_forecast_requests(requests: DataFrame, categories: DataFrame) -> DataFrame:
+    """Requests that break a rule or name a category without a forecast, with the reason."""
+    checked = validate_forecast_requests(requests)
+    known = categories.select("category").distinct().withColumn("_known", F.lit(True))
+    reason = F.when(F.col("valid"), F.lit("unknown category")).otherwise(F.col("errors"))
+    return (
+        checked.join(known, "category", "left")
+        .where(~F.col("valid") | F.col("_known").isNull())
+        .select("request_id", "category", "days", reason.alias("errors"))
+    )
+
+
 def reorder_batch(requests: DataFrame, items: DataFrame) -> DataFrame:
     """Plans for all valid requests in one job; ``items`` holds the items of each request.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
-from stockwave.params import EXOGENOUS, EXOGENOUS_LAGS, LAGS, ROLLING_WINDOWS, UNUSED_COLUMNS, yearly_holidays
+from stockwave.params import EXOGENOUS, EXOGENOUS_LAGS, LAGS, ROLLING_WINDOWS, yearly_holidays
 
 HORIZON = 30
 HOLIDAY_LIST = ", ".join(f"date '{h}'" for h in yearly_holidays(1995, 2001))
@@ -255,10 +255,9 @@ def cast_double(names: list[str], fill: bool = False) -> str:
 MATRIX = (
     "select date, category, order_count, "
     + ", ".join(f"coalesce({n}, 0) as {n}" for n in ALL_FEATURES)
-    + " from daily_keys join lagged using (date, category) join cal using (date, category) join onehot using (date, category)"
+    + " from lagged join cal using (date, category) join onehot using (date, category)"
     " join hol using (date, category) join exog using (date, category)"
 )
-MATRIX = MATRIX.replace("daily_keys join lagged using (date, category)", "lagged")
 MATRIX_TABLES = ("lagged", "cal", "onehot", "hol", "exog")
 CORR = "(covar_pop({a}, {b}) / nullif(stddev_pop({a})*stddev_pop({b}), 0))"
 CORR_NAMES = ["order_count", *[n for n in ALL_FEATURES if "lag" in n or "rolling" in n][:10]]
@@ -268,7 +267,6 @@ UNIFIED_COLUMNS = (
     "product_category_name_english", "payment_sequential_max", "payment_installments_max", "payment_value_sum",
     "payment_method_count", "payment_type_credit_card", "review_score_mean", "review_score_count",
 )
-assert not set(UNIFIED_COLUMNS) & set(UNUSED_COLUMNS)
 
 
 def moving(strict: bool) -> str:
@@ -294,6 +292,10 @@ def histogram(source: str, column: str, bins: int, keys: str) -> str:
     from bnd cross join generate_series(1, {bins}) g(bin) left join cnt using ({keys}, bin)"""
 
 
+ASKED = """a as (select s_suppkey as request_id, case s_suppkey % 3 when 0 then 'economy' when 1 then 'small' else 'toys' end as category,
+    cast(s_suppkey % 40 - 2 as int) as days from supplier)"""
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     orders_cols = f"order_id, customer_id, order_status, {d('order_purchase_timestamp')} as order_purchase_timestamp"
@@ -576,13 +578,23 @@ def oracles() -> dict[str, str]:
            coalesce(case when c_custkey % 3 <> 0 then (c_custkey % 110)/100e0 end, 0.95) as sl from customer)"""
     q["forecast_requests"] = (
         sql("", "band", "ends").rstrip()
-        + f""", a as (select s_suppkey as request_id, case when s_suppkey % 2 = 0 then 'economy' else 'small' end as category,
-        cast(s_suppkey % 40 - 2 as int) as days from supplier)
-        select request_id, category, days, {d("date")} as date, predicted_orders, cast(date - last_date as int) as days_ahead
+        + f""", {ASKED} select request_id, category, days, {d("date")} as date, predicted_orders, cast(date - last_date as int) as days_ahead
         from a join band using (category) join ends using (category) where days between 1 and 365 and date - last_date <= days"""
     )
+    q["forecast_request_summary"] = (
+        sql("", "band", "ends").rstrip()
+        + f""", {ASKED} select request_id, category, count(*) as forecast_days,
+        cast(trunc(sum(blended)) as bigint) as total_forecast_orders, {r("avg(blended)", 1)} as avg_daily_forecast
+        from a join band using (category) join ends using (category)
+        where days between 1 and 365 and date - last_date <= days group by 1, 2"""
+    )
+    q["forecast_requests_rejected"] = (
+        sql("", "ends").rstrip()
+        + f""", {ASKED} select request_id, category, days,
+        case when days not between 1 and 365 then 'days' else 'unknown category' end as errors from a
+        where days not between 1 and 365 or category not in (select category from ends)"""
+    )
 
-    item_cols = "category, forecast_demand, forecast_std, current_stock, unit_cost, selling_price, lead_time_days, storage_per_unit"
     q["cost_config"] = sql("select * from costs", "costs")
     q["inventory_items_defaulted"] = (
         sql("", "costs", "profile", "newest").rstrip()
@@ -593,7 +605,6 @@ def oracles() -> dict[str, str]:
         from costs left join top4 using (category)
         union all select category, cast(order_count as double), {r("order_count*0.3e0")}, 100e0, 50e0, 80e0, 7, 1e0, 'forecast' from newest where rn = 1"""
     )
-    assert item_cols.split(", ")[0] == "category"
     q["safety_stock"] = sql(
         f"""select scenario, category, {r("z*forecast_std*sqrt(lead_time_days/30e0)")} as safety_stock,
         {r("forecast_demand + z*forecast_std*sqrt(lead_time_days/30e0)")} as reorder_point

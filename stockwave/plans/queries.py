@@ -523,21 +523,13 @@ def sequence_eligibility(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sequence_regression(spark: SparkSession, folder: str) -> DataFrame:
-    panel = stored_panel(spark, folder)
-    columns = [TARGET, *EXOGENOUS]
-    filled = features.add_exogenous_features(panel, lags=()).select("date", "category", *columns)
+    columns = pipeline.SEQUENCE_COLUMNS
+    filled = features.add_exogenous_features(stored_panel(spark, folder), lags=()).select("date", "category", *columns)
     train, _, _ = features.train_val_test_split(filled, SPLITS)
     bounds = stage(models.minmax_fit(train, columns), "bounds")
-    windows = stage(models.sequence_windows(models.minmax_transform(filled, bounds, columns), columns), "windows")
+    windows = stage(pipeline.sequence_inputs(filled, bounds), "windows")
     fit_on, val, _ = features.train_val_test_split(windows, SPLITS)
-    scored = models.score_sequences(models.fit_sequence_regression(fit_on), val)
-    restored = models.minmax_inverse(scored, bounds, {"next_value": TARGET, "yhat": TARGET})
-    return tidy(
-        restored.select(
-            "category", "date", F.lit("sequence").alias("model"), F.col("next_value").alias("y"),
-            F.greatest(F.col("yhat"), F.lit(0.0)).alias("yhat"),
-        )
-    )
+    return tidy(pipeline.sequence_predictions(models.fit_sequence_regression(fit_on), val, bounds))
 
 
 SMALL_BOOST = BoostingParams(trees=20, learning_rate=0.2, depth=5, tolerance=0.001)
@@ -630,20 +622,37 @@ def request_validation(spark: SparkSession, folder: str) -> DataFrame:
     return first.unionByName(second)
 
 
-@query
-def forecast_requests(spark: SparkSession, folder: str) -> DataFrame:
+def forecast_requests_of(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("s_suppkey")
+    return read(spark, folder, "supplier").select(
+        key.alias("request_id"),
+        F.when(key % 3 == 0, "economy").when(key % 3 == 1, "small").otherwise("toys").alias("category"),
+        (key % 40 - 2).cast("int").alias("days"),
+    )
+
+
+def answers_of(spark: SparkSession, folder: str) -> DataFrame:
     panel = stored_panel(spark, folder)
-    ahead = forecast_of(panel).select("date", "category", "predicted_orders")
     spans = panel.groupBy("category").agg(F.max("date").alias("_last"))
-    numbered = ahead.join(spans, "category").select(
-        "category", "date", "predicted_orders", F.datediff("date", "_last").alias("days_ahead")
+    numbered = forecast_of(panel).join(spans, "category").select(
+        "category", "date", "blended", "predicted_orders", F.datediff("date", "_last").alias("days_ahead")
     )
-    asked = read(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("request_id"),
-        F.when(F.col("s_suppkey") % 2 == 0, "economy").otherwise("small").alias("category"),
-        (F.col("s_suppkey") % 40 - 2).cast("int").alias("days"),
-    )
-    return tidy(requests.answer_forecast_requests(asked, numbered))
+    return requests.answer_forecast_requests(forecast_requests_of(spark, folder), numbered)
+
+
+@query
+def forecast_requests(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(answers_of(spark, folder).drop("blended"))
+
+
+@query
+def forecast_request_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(requests.summarise_answers(answers_of(spark, folder)))
+
+
+@query
+def forecast_requests_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    return requests.rejected_forecast_requests(forecast_requests_of(spark, folder), panel_of(spark, folder))
 
 
 # --- replenishment ---------------------------------------------------------------------------
