@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockwave.functions.numeric import half_even
@@ -31,6 +31,14 @@ def metrics_macro(metrics: DataFrame, keys: Sequence[str] = ("model",)) -> DataF
     )
 
 
+def improvement_over(metrics: DataFrame, baseline: str = "lag1") -> DataFrame:
+    """Mean MAPE of each model and how far, in percent, it is below that of a baseline model."""
+    macro = metrics.groupBy("model").agg(F.avg("mape").alias("avg_mape"))  # one row per model
+    base = F.max(F.when(F.col("model") == baseline, F.col("avg_mape"))).over(Window.partitionBy())
+    gain = F.try_divide(base - F.col("avg_mape"), base) * 100
+    return macro.select("model", "avg_mape", half_even(gain, 2).alias("improvement_pct"))
+
+
 def leaderboard(metrics: DataFrame, target: float = 15.0) -> DataFrame:
     """Metrics by ascending MAPE, with a flag for rows below the target."""
     ties = [c for c in ("category", "model") if c in metrics.columns]

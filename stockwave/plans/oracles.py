@@ -476,6 +476,12 @@ def oracles() -> dict[str, str]:
     )
     q["metrics_leaderboard"] = sql(f"select {score_cols}, mape < 45 as meets_target from scores where split = 'test'", "scores")
     q["naive_lag1_mape"] = sql(f"select {score_cols} from scores where split = 'val' and model = 'lag1'", "scores")
+    q["improvement_over_naive"] = (
+        sql("", "scores").rstrip()
+        + f""", m as (select model, avg(mape) as a from scores where split = 'val' group by 1)
+        select model, {r("a")} as avg_mape, {r("(n - a)/n*100", 2)} as improvement_pct
+        from m, (select a as n from m where model = 'lag1')"""
+    )
     q["residuals"] = sql(f"select {pred_cols}, {r('y - yhat')} as residual from preds where split = 'test'", "preds")
     q["residual_stats"] = sql(
         f"""select category, model, {r("avg(y - yhat)")} as residual_mean, {r("stddev_pop(y - yhat)")} as residual_std

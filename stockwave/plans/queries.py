@@ -459,6 +459,12 @@ def naive_lag1_mape(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(evaluate.forecast_metrics(models.naive_lag1(val)))
 
 
+@query
+def improvement_over_naive(spark: SparkSession, folder: str) -> DataFrame:
+    metrics = evaluate.forecast_metrics(naive_predictions(stored_panel(spark, folder), "val"))
+    return tidy(evaluate.improvement_over(metrics, "lag1"))
+
+
 @query
 def residuals(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(evaluate.residuals(naive_predictions(stored_panel(spark, folder), "test")))

@@ -152,3 +152,12 @@ def test_residual_stats_use_population_deviation(spark):
     df = spark.createDataFrame([("a", "m", 3.0, 1.0), ("a", "m", 1.0, 1.0)], "category string, model string, y double, yhat double")
     row = evaluate.residual_stats(df).first()
     assert (row.residual_mean, row.residual_std) == (1.0, 1.0)
+
+
+def test_improvement_over_a_baseline(spark):
+    metrics = spark.createDataFrame(
+        [("a", "lag1", 40.0), ("b", "lag1", 41.0), ("a", "tree", 14.0), ("b", "tree", 15.2)],
+        "category string, model string, mape double",
+    )
+    got = {r.model: r.improvement_pct for r in evaluate.improvement_over(metrics).collect()}
+    assert got == {"lag1": 0.0, "tree": 63.95}

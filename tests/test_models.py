@@ -123,6 +123,18 @@ def test_sequence_regression_learns_a_linear_rule(spark):
     assert scored.where(F.abs(F.col("yhat") - F.col("next_value")) > 0.1).isEmpty()
 
 
+def test_sequence_regression_is_least_squares(spark):
+    rng = np.random.default_rng(3)
+    start = dt.date(2020, 1, 1)
+    rows = [("a", start + dt.timedelta(days=i), float(v), float(w)) for i, (v, w) in enumerate(rng.normal(size=(80, 2)))]
+    df = spark.createDataFrame(rows, "category string, date date, order_count double, extra double")
+    windows = models.sequence_windows(df, ["order_count", "extra"], 3)
+    scored = models.score_sequences(models.fit_sequence_regression(windows, 0.0), windows).orderBy("date").toPandas()
+    x = np.column_stack([np.vstack(scored.window), np.ones(len(scored))])
+    fitted = x @ np.linalg.lstsq(x, scored.next_value, rcond=None)[0]
+    np.testing.assert_allclose(scored.yhat, fitted, atol=1e-4)
+
+
 def test_future_features(panel):
     holidays = (dt.date(2020, 3, 25),)
     got = forecast.future_features(panel, 10, holidays, ["order_count_lag_30", "avg_price"]).toPandas()

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.errors import AnalysisException
 
+from stockwave import session
 from stockwave.session import scratch_path, stage
 from stockwave.sources import files
 from stockwave.sources.schemas import METRICS_SCHEMA, PANEL_SCHEMA, RAW_SCHEMAS
@@ -91,3 +92,29 @@ def test_staged_tables_keep_rows_and_schema(panel):
 
 def test_trained_categories_in_order(panel):
     assert [r.category for r in files.trained_categories(panel).collect()] == ["books", "single", "toys"]
+
+
+def test_shared_folder_comes_from_the_session():
+    class Conf:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def get(self, key, default):
+            assert key == "spark.checkpoint.dir"
+            return self.folder or default
+
+    class Context:
+        applicationId = "test-app"
+
+        def __init__(self, master):
+            self.master = master
+
+    class Session:
+        def __init__(self, folder, master):
+            self.conf, self.sparkContext = Conf(folder), Context(master)
+
+    assert session.shared_dir(Session("s3a://bucket/tmp", "yarn")) == "s3a://bucket/tmp"
+    local = session.shared_dir(Session(None, "local[8]"))
+    assert local == session.shared_dir(Session(None, "local[8]"))
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Session(None, "yarn"))
