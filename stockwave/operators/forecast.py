@@ -87,22 +87,20 @@ def forecast_band(
     predictions: DataFrame, weights: DataFrame, models: Sequence[str], reach: float = 0.15
 ) -> DataFrame:
     """Blended forecast in whole orders with a fixed band, and one column per model."""
-    blended = blend(predictions, weights)
-    per_model = (
-        predictions.groupBy("category", "date")
-        .pivot("model", list(models))
-        .agg(F.first(whole(F.greatest(F.col("yhat"), F.lit(0.0)))))
-        .withColumnsRenamed({m: f"{m}_prediction" for m in models})
-    )
+    per_model = [
+        F.max(F.when(F.col("model") == m, whole(F.greatest(F.col("yhat"), F.lit(0.0))))).alias(f"{m}_prediction")
+        for m in models
+    ]
     y = F.col("yhat")
-    return blended.select(
+    return blend(predictions, weights, also=per_model).select(
         "category",
         "date",
         y.alias("blended"),
         whole(y).alias("predicted_orders"),
         F.greatest(whole(y * (1 - reach)), F.lit(0)).alias("predicted_lower"),
         whole(y * (1 + reach)).alias("predicted_upper"),
-    ).join(per_model, ["category", "date"])
+        *[f"{m}_prediction" for m in models],
+    )
 
 
 def forecast_summary(forecast: DataFrame, history: DataFrame, recent_days: int = 30) -> DataFrame:

@@ -84,21 +84,25 @@ def static_weights(categories: DataFrame, weights: Mapping[str, float] = STATIC_
     return categories.select("category", F.explode(pairs).alias("_w")).select("category", "_w.model", "_w.weight")
 
 
-def blend(predictions: DataFrame, weights: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+def blend(
+    predictions: DataFrame, weights: DataFrame, rows: DataFrame | None = None, also: Sequence[Column] = ()
+) -> DataFrame:
     """Weighted mean over the models present for a row, never below 0.
 
     Weights are renormalised over the models that predicted; a model without a weight counts 0.
-    With ``rows`` (category, date) every such row appears, 0 where no model predicted.
+    With ``rows`` (category, date) every such row appears, 0 where no model predicted. ``also`` adds
+    aggregates over the models of a row to the same pass.
     """
     weighted = predictions.join(weights.select("category", "model", "weight"), ["category", "model"], "left")
     w = F.coalesce("weight", F.lit(0.0))
     total = F.try_divide(F.sum(w * F.col("yhat")), F.sum(w))
     blended = weighted.groupBy("category", "date").agg(
-        F.greatest(F.coalesce(total, F.lit(0.0)), F.lit(0.0)).alias("yhat"), F.max("y").alias("y")
+        F.greatest(F.coalesce(total, F.lit(0.0)), F.lit(0.0)).alias("yhat"), F.max("y").alias("y"), *also
     )
+    extra = [c for c in blended.columns if c not in PREDICTION]
     if rows is not None:
         blended = rows.select("category", "date").join(blended, ["category", "date"], "left").fillna(0.0, ["yhat"])
-    return blended.select("category", "date", F.lit("blend").alias("model"), "y", "yhat")
+    return blended.select("category", "date", F.lit("blend").alias("model"), "y", "yhat", *extra)
 
 
 # --- scaling and windows ---------------------------------------------------------------------

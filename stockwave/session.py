@@ -45,9 +45,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[context.applicationId]
 
 
+def session_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/stockwave/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/stockwave/{label}-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; call it once no result that reads it is needed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -118,3 +118,12 @@ def test_shared_folder_comes_from_the_session():
     assert local == session.shared_dir(Session(None, "local[8]"))
     with pytest.raises(RuntimeError):
         session.shared_dir(Session(None, "yarn"))
+
+
+def test_drop_staged_removes_only_its_folder(spark, panel, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "session_folder", lambda _: f"file://{tmp_path}/app")
+    stage(panel, "gone")
+    (tmp_path / "kept").mkdir()
+    assert (tmp_path / "app").exists()
+    session.drop_staged(spark)
+    assert not (tmp_path / "app").exists() and (tmp_path / "kept").exists()
