@@ -116,9 +116,10 @@ def daily_category_demand(tables: Mapping[str, DataFrame], min_hot_rows: int = M
     Same result as ``aggregate_daily_category(unified_orders(tables))`` for unique customer and
     seller keys, without building the wide fact: customers and sellers, which add no column, are
     not read. Items are shuffled once, for the salted join with their order (and once by product
-    where products are too large to broadcast). As the result is partitioned by order and salt, the items of an (order, category) are summed where they are,
-    distinct orders become a count of those sums, and only orders split over several salts are
-    counted as distinct ids. What is left for the last shuffle is days x categories.
+    where products are too large to broadcast). As the result is partitioned by order and salt,
+    the items of an (order, category) are summed where they are, distinct orders become a count of
+    those sums, and only orders split over several salts are counted as distinct ids. What is left
+    for the last shuffle is days x categories.
     """
     items = tables["order_items"]
     price, price_factor = minor_units(items, "price")
