@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,23 +25,13 @@ def build_session(app: str = "stockwave", cores: str | None = None) -> SparkSess
     )
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    A session without that setting uses a folder of its own in the warehouse, which executors share too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="stockwave-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def session_folder(spark: SparkSession) -> str:
