@@ -9,6 +9,8 @@ Documents find their places from their rank among those of equal length.
 
 from __future__ import annotations
 
+import functools
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -25,27 +27,72 @@ from stockwave.session import stage
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-CACHED_WORDS = 300_000
+CACHED_WORDS = 900_000
+LEARNT_WORDS = 1_000_000  # words of the texts whose vocabulary is looked up together
+TOGETHER = 500
+PUNCTUATION = string.punctuation
 
 
 class WordIds(dict):
-    """Ids of a blank-separated word as little-endian bytes; forgets all when full.
+    """Ids of a blank-separated word as little-endian bytes.
 
-    The tokenizer never merges across white space, so a text's ids are those of its words in a row.
+    The tokenizer never merges across white space, nor between letters and punctuation, so a text's
+    ids are those of its words in a row, and a word's those of its letters and of what follows them.
+    Letters are looked up together: ``ends`` tells the ids that end a run of letters.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
         ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) < 64:
             self[word] = ids
         return ids
 
+    def learn(self, words: set[str]) -> None:
+        """Remembers the words of some texts; forgets all others first when full."""
+        if len(self) + len(words) > CACHED_WORDS:
+            self.clear()
+        parts = [(word, word.rstrip(PUNCTUATION)) for word in words.difference(self) if len(word) < 64]
+        parts = [(word, stem, stem.lower() if stem.isascii() else stem) for word, stem in parts if stem.isalpha()]
+        self.learn_letters(list({letters for _, _, letters in parts}.difference(self)))
+        for word, stem, letters in parts:
+            self[word] = self[letters] + self[word[len(stem) :]] if len(word) > len(stem) else self[letters]
+
+    def learn_letters(self, stems: list[str]) -> None:
+        for at in range(0, len(stems), TOGETHER):
+            some = stems[at : at + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) == len(some):  # else a letter comes apart in the tokenizer's normal form: each is asked for alone
+                data = ids.tobytes()
+                self.update(zip(some, [data[i:j] for i, j in zip([0, *cuts], cuts)]))
+
+
+@functools.cache
+def word_ids(path: str) -> WordIds:
+    """One per Python worker, so that its tasks share what is remembered."""
+    return WordIds(path)
+
+
+def split_texts(batch: pd.DataFrame, words: WordIds) -> Iterator[tuple[object, list[str]]]:
+    """doc_id and words of every text; the words of some texts are learnt together first."""
+    waiting, size = [], 0
+    for doc_id, text in zip(batch["doc_id"], batch["text"]):
+        parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        waiting.append((doc_id, parts))
+        size += len(parts)
+        if size > LEARNT_WORDS:
+            words.learn(set().union(*[p for _, p in waiting]))
+            yield from waiting
+            waiting, size = [], 0
+    words.learn(set().union(*[p for _, p in waiting]))
+    yield from waiting
+
 
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Token ids of every document (doc_id, text), cut into pieces of ``capacity`` where it is longer.
@@ -59,11 +106,10 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     step = 4 * capacity
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(path)
+        words = word_ids(path)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            for doc_id, parts in split_texts(batch, words):
                 ids = b"".join(map(words.__getitem__, parts)) + end
                 for piece, at in enumerate(range(0, len(ids), step)):
                     own = ids[at : at + step]

@@ -1,10 +1,16 @@
 """The registered queries of this subpackage and their SQL."""
 
-from stockwave.llm import mixing, packing, quality_rules
+from stockwave.llm import mixing, ngram_join, packing, pii, quality_model, quality_rules, topk, url_filter, warc
 
 QUERIES = {
+    "op1_dual_tree": topk.op1_dual_tree,
+    "op2_warc": warc.op2_warc,
     "op3_mixing": mixing.op3_mixing,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_divergence": quality_rules.op6_divergence,
+    "op7_contexts": pii.op7_contexts,
+    "op8_url_filter": url_filter.op8_url_filter,
     "op9_best_two_fit": packing.op9_best_two_fit,
+    "op10_factorisation_machine": quality_model.op10_factorisation_machine,
 }
-ORACLES = {"op3_mixing": mixing.OP3_SQL}
+ORACLES = {"op1_dual_tree": topk.OP1_SQL, "op2_warc": warc.OP2_SQL, "op3_mixing": mixing.OP3_SQL}
