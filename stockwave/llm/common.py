@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that little text is held as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def hex_digits(n_rows: int, rows_per_bucket: int) -> int:
     """How many leading hex digits of a digest split ``n_rows`` into buckets of about that many rows."""
     return min(7, max(1, math.ceil(math.log(max(1, n_rows) / rows_per_bucket, 16)))) if n_rows > rows_per_bucket else 1

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockwave.llm.common import table, word_count
+from stockwave.llm.common import small_batches, table, word_count
 from stockwave.llm.components import components
 from stockwave.session import stage
 
@@ -35,7 +35,7 @@ BANDS = 26
 CHANCE = 0.1  # cost model: chance that a shingle is shared by an unrelated text; short texts, more often
 SPURIOUS = 200.0  # cost model: what verifying the matches of an empty subset costs, in index rows
 WIDTH = 64  # leaders per entry and round after the first
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 MASK = (1 << 64) - 1
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,7 +79,7 @@ def shingles(text: str | None, hashes: WordHashes, size: int = SHINGLE) -> np.nd
         return np.zeros(0, np.uint64)
     w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     n = min(size, len(w))
-    found = np.full(len(w) - n + 1, np.uint64(n) * STEP)
+    found = np.full(len(w) - n + 1, np.uint64(n * int(STEP) & MASK))
     for i, p in enumerate(powers(n)):
         found += w[i : len(w) - n + 1 + i] * p
     return np.unique(mix(found))
@@ -173,7 +173,7 @@ def indexed(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = word_hashes(), set()
-        for batch in batches:
+        for batch in small_batches(batches):
             sizes, classes, parts = [], [], []
             for text in batch.column("text").to_pylist():
                 own = shingles(text, hashes)
@@ -290,7 +290,7 @@ def shingle_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
-        for batch in batches:
+        for batch in small_batches(batches):
             names, parts = [], []
             for text, name in zip(batch.column("text").to_pylist(), batch.column("_class").to_pylist()):
                 names.append(name)
