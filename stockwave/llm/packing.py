@@ -10,7 +10,8 @@ Documents find their places from their rank among those of equal length.
 from __future__ import annotations
 
 import functools
-import string
+import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from stockwave.llm.common import running_sum, table
 from stockwave.session import stage
@@ -27,71 +28,96 @@ from stockwave.session import stage
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-CACHED_WORDS = 900_000
-LEARNT_WORDS = 1_000_000  # words of the texts whose vocabulary is looked up together
+CACHED_RUNS = 400_000
+WAITING_RUNS = 400_000  # runs of the texts that are looked up together
 TOGETHER = 500
-PUNCTUATION = string.punctuation
 
 
-class WordIds(dict):
-    """Ids of a blank-separated word as little-endian bytes.
+#: Texts of these characters are cut into runs of letters, digits and other marks here, as the tokenizer does
+#: it; in lower case and normal form they stay the same. Other texts go to the tokenizer whole.
+PLAIN = re.compile(r"[\t-\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+")
 
-    The tokenizer never merges across white space, nor between letters and punctuation, so a text's
-    ids are those of its words in a row, and a word's those of its letters and of what follows them.
-    Letters are looked up together: ``ends`` tells the ids that end a run of letters.
+
+class RunIds:
+    """Token ids of runs of a tokenizer that cuts texts like word_bpe_49k.json, remembered in one array; forgets all when full.
+
+    Byte pairs are merged within a run only, so a text's ids are those of its runs in a row. Unknown
+    runs are looked up together; ``ends`` tells the ids that end a run.
     """
 
     def __init__(self, path: str):
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
+        self.tokenizer = Tokenizer.from_file(path)  # for runs, which need no normal form and are cut at blanks
+        self.tokenizer.normalizer = normalizers.Sequence([])
+        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, "<u4")  # run i has ids[starts[i]:starts[i + 1]]
+
+    @functools.cached_property
+    def whole(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) < 64:
-            self[word] = ids
-        return ids
-
-    def learn(self, words: set[str]) -> None:
-        """Remembers the words of some texts; forgets all others first when full."""
-        if len(self) + len(words) > CACHED_WORDS:
-            self.clear()
-        parts = [(word, word.rstrip(PUNCTUATION)) for word in words.difference(self) if len(word) < 64]
-        parts = [(word, stem, stem.lower() if stem.isascii() else stem) for word, stem in parts if stem.isalpha()]
-        self.learn_letters(list({letters for _, _, letters in parts}.difference(self)))
-        for word, stem, letters in parts:
-            self[word] = self[letters] + self[word[len(stem) :]] if len(word) > len(stem) else self[letters]
-
-    def learn_letters(self, stems: list[str]) -> None:
-        for at in range(0, len(stems), TOGETHER):
-            some = stems[at : at + TOGETHER]
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, runs: list[str]) -> None:
+        found = []
+        for at in range(0, len(runs), TOGETHER):
+            some = runs[at : at + TOGETHER]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(cuts) == len(some):  # else a letter comes apart in the tokenizer's normal form: each is asked for alone
-                data = ids.tobytes()
-                self.update(zip(some, [data[i:j] for i, j in zip([0, *cuts], cuts)]))
+            if np.count_nonzero(self.ends[ids]) != len(some):
+                raise ValueError("the tokenizer cuts runs otherwise")
+            found.append(ids)
+        ids = np.concatenate([np.zeros(0, "<u4"), *found])
+        self.places.update(zip(runs, range(len(self.places), len(self.places) + len(runs))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + 1 + np.flatnonzero(self.ends[ids])])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def encode_all(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Ids of texts that are cut into runs."""
+        code, runs = pd.factorize(np.array(list(itertools.chain.from_iterable(texts)), object))
+        if len(self.places) + len(runs) > CACHED_RUNS:
+            self.forget()
+        self.learn([run for run in runs if run not in self.places])
+        place = np.fromiter(map(self.places.__getitem__, runs), np.int64, len(runs))[code]
+        size = self.starts[place + 1] - self.starts[place]
+        until = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+        ids = self.ids[np.repeat(self.starts[place] - until[:-1], size) + np.arange(until[-1])]
+        bounds = until[np.cumsum([0] + [len(t) for t in texts])]
+        return [ids[i:j] for i, j in zip(bounds, bounds[1:])]
 
 
 @functools.cache
-def word_ids(path: str) -> WordIds:
+def run_ids(path: str) -> RunIds:
     """One per Python worker, so that its tasks share what is remembered."""
-    return WordIds(path)
+    return RunIds(path)
 
 
-def split_texts(batch: pd.DataFrame, words: WordIds) -> Iterator[tuple[object, list[str]]]:
-    """doc_id and words of every text; the words of some texts are learnt together first."""
+def encoded(batch: pd.DataFrame, runs: RunIds) -> Iterator[tuple[object, np.ndarray]]:
+    """doc_id and ids of every text, some texts at a time."""
     waiting, size = [], 0
+
+    def finish() -> Iterator[tuple[object, np.ndarray]]:
+        known = iter(runs.encode_all([own for _, own in waiting if isinstance(own, list)]))
+        for doc_id, own in waiting:
+            yield doc_id, next(known) if isinstance(own, list) else runs.encode(own)
+
     for doc_id, text in zip(batch["doc_id"], batch["text"]):
-        parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        waiting.append((doc_id, parts))
-        size += len(parts)
-        if size > LEARNT_WORDS:
-            words.learn(set().union(*[p for _, p in waiting]))
-            yield from waiting
+        text = text or ""
+        plain = PLAIN.fullmatch(text) and "<|" not in text  # special tokens have that mark
+        own = RUNS.findall(text.lower()) if plain else text
+        waiting.append((doc_id, own))
+        size += len(own)
+        if size > WAITING_RUNS:
+            yield from finish()
             waiting, size = [], 0
-    words.learn(set().union(*[p for _, p in waiting]))
-    yield from waiting
+    yield from finish()
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -106,15 +132,15 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     step = 4 * capacity
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = word_ids(path)
+        runs = run_ids(path)
         for batch in batches:
             rows = []
-            for doc_id, parts in split_texts(batch, words):
-                ids = b"".join(map(words.__getitem__, parts)) + end
+            for doc_id, own in encoded(batch, runs):
+                ids = own.tobytes() + end
                 for piece, at in enumerate(range(0, len(ids), step)):
-                    own = ids[at : at + step]
-                    row = (doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own))
-                    rows.append(row + (own,) if with_ids else row)
+                    part = ids[at : at + step]
+                    row = (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))
+                    rows.append(row + (part,) if with_ids else row)
             out = pd.DataFrame(rows, columns=names)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
