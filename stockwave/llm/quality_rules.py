@@ -34,9 +34,9 @@ def only(text: Column, chars: str) -> Column:
 def repeated_window_words(words: Column) -> Column:
     """Words in ``WINDOW``-word windows that occur twice or more in the text; 64-bit hashes stand for windows."""
 
-    def hashes(of: Column) -> Column:
-        own = F.transform(of, lambda w: F.xxhash64(w))
-        return let(own, lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: F.xxhash64(*[h[i + k] for k in range(WINDOW)])))
+    def doubled(hashes: Column, width: int) -> Column:
+        """Hashes of runs of 2 * width words from those of width words."""
+        return let(hashes, lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - 1 - width), lambda i: F.xxhash64(h[i], h[i + width])))
 
     def covered(of: Column) -> Column:
         pairs = F.sort_array(F.transform(of, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -55,7 +55,13 @@ def repeated_window_words(words: Column) -> Column:
     def count(h: Column) -> Column:
         return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h))
 
-    return F.when(F.size(words) > WINDOW, let(hashes(words), count)).otherwise(0)
+    def count_halves(h: Column) -> Column:  # most texts repeat no half window, let alone a whole one
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(doubled(h, WINDOW // 2), count))
+
+    halves = F.transform(words, lambda w: F.xxhash64(w))
+    for width in (1, 2):  # WINDOW // 2 is 4
+        halves = doubled(halves, width)
+    return F.when(F.size(words) > WINDOW, let(halves, count_halves)).otherwise(0)
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -79,23 +85,24 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
     Counts cover all documents. Words of equal count are ranked by code point.
     """
     body = F.coalesce("text", F.lit(""))
-    counts = {name: only(body, chars) for name, chars in COUNTED.items()}
-    counts["space"] = F.length(body) - F.length(F.regexp_replace(body, SPACE, ""))
-    counts["other"] = F.length(body) - reduce(Column.__add__, counts.values())
-    totals = docs.select("lang", *[c.alias(n) for n, c in counts.items()]).groupBy("lang").agg(*[F.sum(c).alias(c) for c in CLASSES])
-    chars = reduce(Column.__add__, [F.col(c) for c in CLASSES])
-    shares = totals.select("lang", F.array(*[F.when(chars > 0, F.col(c) / chars).otherwise(0.0) for c in CLASSES]).alias("class_shares"))
-
     words = docs.select("lang", F.explode(F.split(body, SPACE)).alias("word")).where("word != ''")
     counted = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    n_words = counted.groupBy("lang").agg(F.sum("n").alias("n_words"))
+    in_words = [F.sum(F.col("n") * only(F.col("word"), chars)).alias(name) for name, chars in COUNTED.items()]
+    n_words = counted.groupBy("lang").agg(F.sum("n").alias("n_words"), F.sum(F.col("n") * F.length("word")).alias("word_chars"), *in_words)
+    chars = docs.groupBy("lang").agg(F.sum(F.length(body)).alias("chars"))
+    a, b = chars.alias("a"), n_words.alias("b")
+    totals = a.join(b, F.col("a.lang").eqNullSafe(F.col("b.lang")), "left").drop(F.col("b.lang"))
+    totals = totals.fillna(0).withColumn("space", F.col("chars") - F.col("word_chars"))
+    totals = totals.withColumn("other", F.col("word_chars") - reduce(Column.__add__, [F.col(c) for c in COUNTED]))
+    whole = F.greatest("chars", F.lit(1))
+    shares = totals.select("lang", "n_words", F.array(*[F.col(c) / whole for c in CLASSES]).alias("class_shares"))
     salted = counted.withColumn("_part", F.pmod(F.xxhash64("word"), F.lit(64)))
     near = F.row_number().over(Window.partitionBy("lang", "_part").orderBy(F.desc("n"), "word"))
     top = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     ranked = salted.withColumn("_r", near).where(F.col("_r") <= common).withColumn("_r", top).where(F.col("_r") <= common)
     listed = ranked.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("_r", "word", "n"))).alias("top"))  # at most ``common`` entries
-    a, b, c = shares.alias("a"), listed.alias("b"), n_words.alias("c")
-    joined = a.join(b, F.col("a.lang").eqNullSafe(F.col("b.lang")), "left").join(c, F.col("a.lang").eqNullSafe(F.col("c.lang")), "left")
+    a, b = shares.alias("a"), listed.alias("b")
+    joined = a.join(b, F.col("a.lang").eqNullSafe(F.col("b.lang")), "left")
     return joined.select(
         F.col("a.lang").alias("ref_lang"), "class_shares",
         F.coalesce(F.col("top.word"), F.array().cast("array<string>")).alias("common_words"),
@@ -136,7 +143,9 @@ def judge(
 
     def values(words: Column) -> Column:
         n = F.size(words)
-        p_words = F.transform("common_words", lambda w: (n - F.size(F.array_remove(words, w))) / F.greatest(n, F.lit(1)))
+        longest = F.coalesce(F.array_max(F.transform("common_words", lambda w: F.length(w))), F.lit(0))
+        short = F.filter(words, lambda w: F.length(w) <= longest)
+        p_words = let(short, lambda s: F.transform("common_words", lambda w: (F.size(s) - F.size(F.array_remove(s, w))) / F.greatest(n, F.lit(1))))
         return F.struct(
             n.cast("long").alias("n_words"),
             repeated_window_words(words).cast("long").alias("n_repeat_words"),
