@@ -1,12 +1,13 @@
 """The registered queries of this subpackage and their SQL."""
 
-from stockwave.llm import mixing, ngram_join, packing, pii, quality_model, quality_rules, topk, url_filter, warc
+from stockwave.llm import mixing, ngram_join, packing, pii, quality_model, quality_rules, repeats, topk, url_filter, warc
 
 QUERIES = {
     "op1_dual_tree": topk.op1_dual_tree,
     "op2_warc": warc.op2_warc,
     "op3_mixing": mixing.op3_mixing,
     "op4_ngram_join": ngram_join.op4_ngram_join,
+    "op5_unit_hashing": repeats.op5_unit_hashing,
     "op6_divergence": quality_rules.op6_divergence,
     "op7_contexts": pii.op7_contexts,
     "op8_url_filter": url_filter.op8_url_filter,
