@@ -5,36 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 256
-MIN_HOT_ROWS = 1_000_000
-SALTS = 64
+MAX_HOT_KEYS = 4096
+TRACKED = 65_536  # items the sketch follows; shares above one in some thousands are found
+TARGET_ROWS = 1_000_000  # rows of one key that one task should take
+NULL_SALTS = 64
+SLOTS = 1 << 20
 
 
-def hot_keys(big: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Keys that hold at least 1/256 of the rows (and at least ``min_rows``).
+def hot_keys(big: DataFrame, key: str, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Keys with more than ``target_rows`` rows, and into how many parts ``_hot`` each should be dealt.
 
     One scan of the key column feeds a mergeable frequent-items sketch, so no key is shuffled and
-    the result has at most 256 rows whatever the input. The counts are estimates, which only
-    decides what gets salted, never what the join returns.
+    the result has at most ``MAX_HOT_KEYS`` rows whatever the input. The counts are estimates, which
+    only decide how keys are dealt, never what the join returns.
     """
-    sketch = big.agg(
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS})").alias("top"), F.count(key).alias("n_rows")
-    )
+    sketch = big.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED})").alias("top"))
+    parts = F.ceil(F.col("t.count") / target_rows).cast("int")
     return (
-        sketch.select(F.explode("top").alias("t"), "n_rows")
-        .where(F.col("t.item").isNotNull() & (F.col("t.count") >= min_rows))
-        .where((F.col("t.count") * MAX_HOT_KEYS >= F.col("n_rows")))
-        .select(F.col("t.item").alias(key), F.lit(True).alias("_hot"))
+        sketch.select(F.explode("top").alias("t"))
+        .where(F.col("t.item").isNotNull() & (F.col("t.count") > target_rows))
+        .select(F.col("t.item").alias(key), F.least(parts, F.lit(SLOTS)).alias("_hot"))
     )
 
 
-def row_slots(salts: int = SALTS) -> Column:
+def row_slots() -> Column:
     """A slot number per row from its place in its input split.
 
     A task that is run again produces the same slots only where the input order is fixed: use it
     on a scan or on narrow steps over one, and carry the column through later shuffles.
     """
-    return F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    return F.pmod(F.monotonically_increasing_id(), F.lit(SLOTS)).cast("int")
 
 
 def salted_join(
@@ -44,11 +44,10 @@ def salted_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     slot: str | None = None,
-    salts: int = SALTS,
-    min_rows: int = MIN_HOT_ROWS,
+    target_rows: int = TARGET_ROWS,
     keep: bool = False,
 ) -> DataFrame:
-    """``big`` join ``small`` on ``key`` with the hot keys of ``big`` spread over ``salts`` tasks.
+    """``big`` join ``small`` on ``key`` with each hot key of ``big`` spread over as many tasks as it needs.
 
     Rows of a hot key (and rows with a null key) get a salt; only the hot rows of ``small`` are
     repeated once per salt. ``how`` is inner or left. Without ``hot`` and ``slot``, ``big`` must be
@@ -58,11 +57,11 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"only inner and left joins can be salted, got {how}")
-    hot = F.broadcast(hot_keys(big, key, min_rows) if hot is None else hot)  # at most 256 rows
-    place = F.col(slot) if slot else row_slots(salts)
-    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    left = big.join(hot, key, "left").withColumn("_salt", F.when(spread, place).otherwise(F.lit(0)))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    hot = F.broadcast(hot_keys(big, key, target_rows) if hot is None else hot)  # at most MAX_HOT_KEYS rows
+    place = F.col(slot) if slot else row_slots()
+    parts = F.coalesce("_hot", F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(F.lit(1)))
+    left = big.join(hot, key, "left").withColumn("_salt", F.pmod(place, parts))
+    copies = F.sequence(F.lit(0), F.coalesce("_hot", F.lit(1)) - 1)
     right = small.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     joined = left.join(right, [key, "_salt"], how)
     return joined if keep else joined.drop("_salt", "_hot")

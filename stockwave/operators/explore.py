@@ -164,52 +164,31 @@ def lag_like(features: DataFrame, n: int = 10) -> list[str]:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson matrix in long form.
+    """Pearson matrix in long form: all pairs, each once, are summed in one pass over the rows."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    found = one_pass_corr(df, pairs)
+    cells = [F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), F.col(f"c{i}").alias("corr"))
+             for i, (a, b) in enumerate(pairs) for x, y in {(a, b), (b, a)}]
+    return found.select(F.explode(F.array(*cells)).alias("p")).select("p.*")
 
-    Every row is spread into its pairs, each pair once, and summed before the shuffle; one small
-    aggregation serves all pairs, where a wide one of a column per pair would outgrow code
-    generation.
-    """
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("column_a"),
-                F.lit(b).alias("column_b"),
-                F.col(a).cast("double").alias("x"),
-                F.col(b).cast("double").alias("y"),
-            )
-            for i, a in enumerate(columns)
-            for b in columns[i:]
-        ]
-    )
-    long = (
-        df.select(F.explode(pairs).alias("p"))
-        .select("p.*")
-        .groupBy("column_a", "column_b")
-        .agg(safe_corr(F.col("x"), F.col("y")).alias("corr"))
-    )
-    mirrored = F.array(
-        F.struct("column_a", "column_b"),
-        F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b")),
-    )
-    both = F.when(F.col("column_a") == F.col("column_b"), F.slice(mirrored, 1, 1)).otherwise(mirrored)
-    return long.select(F.explode(both).alias("p"), "corr").select("p.*", "corr")
+
+def one_pass_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row with the correlation of each pair as ``c0``, ``c1``, ...; null where a column is constant."""
+    names = sorted({c for pair in pairs for c in pair})
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    return values.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
 
 
 def target_corr(features: DataFrame, top: int = 10, bottom: int = 5) -> DataFrame:
     """Features most and least correlated with the target; features without variance are left out.
 
-    The features are unpivoted and summed per feature before the shuffle; the rankings run on one
-    row per feature.
+    All features are summed in one pass; the rankings run on one row per feature.
     """
     names = feature_columns(features)
-    values = [F.col(c).cast("double").alias(c) for c in names]
-    long = features.select(F.col(TARGET).cast("double").alias("_y"), *values).unpivot(["_y"], names, "feature", "_x")
-    ranked = (
-        long.groupBy("feature")
-        .agg(half_even(safe_corr(F.col("_x"), F.col("_y")), 6).alias("corr"))
-        .where(F.col("corr").isNotNull())
-    )
+    found = one_pass_corr(features, [(TARGET, c) for c in names])
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("corr")) for i, c in enumerate(names)])
+    long = found.select(F.explode(cells).alias("p")).select("p.feature", half_even(F.col("p.corr"), 6).alias("corr"))
+    ranked = long.where(F.col("corr").isNotNull())
     up, down = Window.orderBy(F.asc("corr"), "feature"), Window.orderBy(F.desc("corr"), "feature")
     placed = ranked.select(
         "feature", "corr", F.row_number().over(down).alias("_down"), F.row_number().over(up).alias("_up")

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockwave.functions.numeric import mean_of_sum, minor_units
-from stockwave.functions.skew import MIN_HOT_ROWS, hot_keys, row_slots, salted_join
+from stockwave.functions.skew import TARGET_ROWS, hot_keys, row_slots, salted_join
 from stockwave.params import UNUSED_COLUMNS
+from stockwave.session import stage
 
 PURCHASED = "order_purchase_timestamp"
 ENGLISH = "product_category_name_english"
@@ -43,7 +44,7 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
         F.max("payment_sequential").alias("payment_sequential_max"),
         F.max("payment_installments").alias("payment_installments_max"),
         F.sum("payment_value").alias("payment_value_sum"),
-        F.count_distinct("payment_type").alias("payment_method_count"),
+        F.size(F.collect_set("payment_type")).cast("bigint").alias("payment_method_count"),  # a handful of methods
         F.count_if(F.col("payment_type") == "credit_card").alias("payment_type_credit_card"),
     )
 
@@ -59,14 +60,13 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
 def _with_category(lines: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Attach product columns and the translated category name.
 
-    No broadcast is forced: products grow with the business. Spark broadcasts them while they are
-    under its size limit, and otherwise shuffles both sides by product, where its skew join splits
-    a product that holds a large share of the lines. One join after the other keeps the size of
-    each table visible to that choice.
+    Products meet the translation first, at product grain, so items are never shuffled by one of a
+    few category names. The result is stored, which shows Spark its size: it is broadcast while it is
+    under the limit, and otherwise both sides are shuffled by product, where the skew join splits a
+    product that holds a large share of the lines.
     """
-    return lines.join(tables["products"], "product_id", "left").join(
-        tables["category_translation"], "product_category_name", "left"
-    )
+    products = tables["products"].join(tables["category_translation"], "product_category_name", "left")
+    return lines.join(stage(products, "products"), "product_id", "left")
 
 
 def unified_orders(tables: Mapping[str, DataFrame], drop: Sequence[str] = UNUSED_COLUMNS) -> DataFrame:
@@ -110,7 +110,7 @@ def aggregate_daily_category(unified: DataFrame) -> DataFrame:
     )
 
 
-def daily_category_demand(tables: Mapping[str, DataFrame], min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def daily_category_demand(tables: Mapping[str, DataFrame], target_rows: int = TARGET_ROWS) -> DataFrame:
     """Daily demand per category straight from the raw tables.
 
     Same result as ``aggregate_daily_category(unified_orders(tables))`` for unique customer and
@@ -139,7 +139,7 @@ def daily_category_demand(tables: Mapping[str, DataFrame], min_hot_rows: int = M
         .join(reviews_per_order(tables["reviews"]).select("order_id", "review_score_mean"), "order_id", "left")
     )
     joined = salted_join(
-        lines, per_order, "order_id", hot=hot_keys(items, "order_id", min_hot_rows), slot="_slot", keep=True
+        lines, per_order, "order_id", hot=hot_keys(items, "order_id", target_rows), slot="_slot", keep=True
     )
     baskets = joined.groupBy(
         "order_id", "_salt", "_hot", "category", "date", "payment_installments_max", "review_score_mean"
@@ -151,7 +151,7 @@ def daily_category_demand(tables: Mapping[str, DataFrame], min_hot_rows: int = M
         F.count("freight").alias("freight_n"),
     )
     n, score, installments = (F.col(c) for c in ("n_items", "review_score_mean", "payment_installments_max"))
-    split_order = F.when(F.col("_hot"), F.col("order_id"))
+    split_order = F.when(F.col("_hot").isNotNull(), F.col("order_id"))
     revenue = F.sum("price_sum").cast("double") / price_factor
     freight_total = F.sum("freight_sum").cast("double") / freight_factor
     return baskets.groupBy("date", "category").agg(

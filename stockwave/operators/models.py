@@ -49,9 +49,16 @@ def category_means(train: DataFrame) -> DataFrame:
     return train.groupBy("category").agg(F.avg(TARGET).alias("train_mean"))
 
 
+def with_train_mean(rows: DataFrame, train: DataFrame, name: str = "train_mean") -> DataFrame:
+    """Add the training mean of the category; a category without training rows gets the mean of all."""
+    known = category_means(train).withColumnRenamed("train_mean", "_mean")
+    overall = train.agg(F.avg(TARGET)).scalar()
+    return rows.join(known, "category", "left").withColumn(name, F.coalesce("_mean", overall)).drop("_mean")
+
+
 def mean_baseline(train: DataFrame, rows: DataFrame) -> DataFrame:
     """Predict the training mean of the category."""
-    return as_predictions(rows.join(category_means(train), "category"), "mean_baseline", F.col("train_mean"))
+    return as_predictions(with_train_mean(rows, train), "mean_baseline", F.col("train_mean"))
 
 
 def naive_lag1(features: DataFrame) -> DataFrame:
@@ -62,7 +69,7 @@ def naive_lag1(features: DataFrame) -> DataFrame:
 def naive_models(train: DataFrame, rows: DataFrame) -> DataFrame:
     """Training mean, previous row and mean of the previous seven rows, in one pass."""
     return stack_predictions(
-        rows.join(category_means(train), "category"),
+        with_train_mean(rows, train),
         {
             "mean_baseline": F.col("train_mean"),
             "lag1": F.col(f"{TARGET}_lag_1"),
@@ -84,6 +91,14 @@ def static_weights(categories: DataFrame, weights: Mapping[str, float] = STATIC_
     return categories.select("category", F.explode(pairs).alias("_w")).select("category", "_w.model", "_w.weight")
 
 
+def complete_weights(
+    weights: DataFrame, categories: DataFrame, static: Mapping[str, float] = STATIC_WEIGHTS
+) -> DataFrame:
+    """``weights`` (category, model, rmse, weight) and the static ones for categories that have none."""
+    absent = categories.select("category").distinct().join(weights, "category", "left_anti")
+    return weights.unionByName(static_weights(absent, static), allowMissingColumns=True)
+
+
 def blend(
     predictions: DataFrame, weights: DataFrame, rows: DataFrame | None = None, also: Sequence[Column] = ()
 ) -> DataFrame:
@@ -236,7 +251,7 @@ def fit_boosted(
 
 def with_category_mean(df: DataFrame, train: DataFrame) -> DataFrame:
     """Encode the category as its training mean, so one pooled model serves any number of them."""
-    return df.join(category_means(train), "category").withColumnRenamed("train_mean", "category_mean")
+    return with_train_mean(df, train, "category_mean")
 
 
 def fit_pooled(
@@ -252,16 +267,33 @@ def score_boosted(model: PipelineModel, rows: DataFrame, train: DataFrame) -> Da
     return as_predictions(model.transform(with_category_mean(rows, train)), "boosted", F.col("yhat"))
 
 
+def training_report(
+    split_rows: DataFrame, train: DataFrame, metrics: DataFrame, length: int = SEQUENCE_LENGTH
+) -> DataFrame:
+    """One row per category of a pooled run: status, window counts and validation errors per model.
+
+    ``trained``: by both models; ``skipped``: too few windows for the window model; ``unseen``: no
+    training row, so scored with the mean of all. ``metrics`` has (category, model, rmse) on the
+    validation rows; ``scores`` is null where a category has none.
+    """
+    seen = train.select("category").distinct().withColumn("_seen", F.lit(True))
+    by_model = metrics.groupBy("category").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("model", "rmse")))).alias("scores")  # one per model
+    )
+    status = F.when(F.col("_seen").isNull(), "unseen").when(F.col("eligible"), "trained").otherwise("skipped")
+    rows = sequence_eligibility(split_rows, length).join(seen, "category", "left").join(by_model, "category", "left")
+    return rows.select("category", status.alias("status"), "train_windows", "val_windows", "scores")
+
+
 def fit_top_categories(
     train: DataFrame, val: DataFrame, n: int = 5, params: BoostingParams = BoostingParams()
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """One boosted model for each of the few largest categories; a failure does not stop the rest.
+    """One boosted model for each of the ``n`` largest categories; a failure does not stop the rest.
 
-    The loop runs over at most ``n`` names on the driver; the fits themselves are distributed. Use
-    ``fit_pooled`` beyond a handful. Returns the models and a report (category, status, detail).
+    The loop runs over at most ``n`` names on the driver; the fits themselves are distributed, one
+    after the other, so the time grows with ``n`` and ``fit_pooled`` suits many categories better.
+    Returns the models and a report (category, status, detail).
     """
-    if n > 10:
-        raise ValueError("one model per category is meant for a few categories; use fit_pooled")
     names = [r["category"] for r in top_n(train, TARGET, n).collect()]  # n rows
     models: dict[str, PipelineModel] = {}
     report = []
@@ -273,5 +305,5 @@ def fit_top_categories(
             )
             report.append((name, "trained", ""))
         except Exception as error:  # noqa: BLE001 - reported per category
-            report.append((name, "failed", str(error)[:200]))
+            report.append((name, "failed", str(error)))
     return models, train.sparkSession.createDataFrame(report, "category string, status string, detail string")

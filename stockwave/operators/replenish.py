@@ -197,7 +197,8 @@ def solve_plan(items: DataFrame, key: str = "scenario", low_service: bool = Fals
     """Exact optimal order quantities, unrounded, for items that carry their limits.
 
     ``items`` is read by a sum per scenario and by the projection; pass a stored table when it is
-    costly. ``low_service`` adds the filling step that scenarios with a service level under one
+    costly. The sums of a list of scenarios are a row each and are broadcast, so items are not shuffled by
+    one of a few names; those of requests are not. ``low_service`` adds the filling step that scenarios with a service level under one
     half need; it changes nothing for the others.
     """
     demand, stock, cost = F.col("forecast_demand"), F.col("current_stock"), F.col("unit_cost")
@@ -209,7 +210,7 @@ def solve_plan(items: DataFrame, key: str = "scenario", low_service: bool = Fals
         F.sum(cost * F.col("_need")).alias("_money_need"),
     )
     fits = (F.col("_volume_need") <= F.col("storage_capacity")) & (F.col("_money_need") <= F.col("budget"))
-    base = needed.join(loads, key).withColumn("status", F.when(fits, "Optimal").otherwise("Infeasible"))
+    base = needed.join(F.broadcast(loads) if key == "scenario" else loads, key).withColumn("status", F.when(fits, "Optimal").otherwise("Infeasible"))
     quantity = F.col("_need")
     if low_service:
         short = F.greatest(F.lit(0.0), demand - stock)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockwave.functions.numeric import half_even
+from stockwave.functions.skew import salted_join
 from stockwave.operators.replenish import items_from_forecast, solve_plan, with_request_limits
 
 # Request defaults and bounds.
@@ -48,11 +49,22 @@ def validate_items(items: DataFrame) -> DataFrame:
 
 
 def answer_forecast_requests(requests: DataFrame, forecast: DataFrame) -> DataFrame:
-    """Rows of a precomputed forecast (days_ahead, category, ...) asked for by valid requests."""
+    """Rows of a precomputed forecast (days_ahead, category, ...) asked for by valid requests.
+
+    A request is answered for all the days it asks, so the forecast should reach ``MAX_DAYS`` ahead.
+    ``unanswered_days`` tells whether it did.
+    """
     wanted = validate_forecast_requests(requests).where("valid").select("request_id", "category", "days")
     return wanted.join(forecast, "category").where(F.col("days_ahead") <= F.col("days"))
 
 
+def unanswered_days(requests: DataFrame, answers: DataFrame) -> DataFrame:
+    """Answered requests with fewer rows than days asked; none where the forecast reaches far enough."""
+    got = answers.groupBy("request_id").agg(F.count(F.lit(1)).alias("n"))
+    asked = validate_forecast_requests(requests).where("valid").select("request_id", "category", "days")
+    return asked.join(got, "request_id").where(F.col("n") < F.col("days"))
+
+
 def summarise_answers(answers: DataFrame) -> DataFrame:
     """Whole orders and daily mean per answered request, from the unrounded forecast."""
     return answers.groupBy("request_id", "category").agg(
@@ -78,7 +90,29 @@ def reorder_batch(requests: DataFrame, items: DataFrame) -> DataFrame:
     """Plans for all valid requests in one job; ``items`` holds the items of each request.
 
     Both tables carry ``request_id``. Items without a demand or other fields get the defaults.
+    Rejected requests and items take no part; ``rejected_plan_requests`` lists them. ``items`` is a stored
+    table: its items meet their limits in a salted join, so a request with most items is many tasks,
+    and sums per request are combined before they are shuffled.
     """
     limits = with_request_limits(validate_plan_requests(requests).where("valid").drop("valid", "errors"))
-    full = items_from_forecast(items, keep=("request_id",))
-    return solve_plan(full.join(limits, "request_id"), "request_id", low_service=True)
+    sound = validate_items(items).where("valid").drop("valid", "errors")
+    full = items_from_forecast(sound, keep=("request_id",))
+    return solve_plan(salted_join(full, limits, "request_id"), "request_id", low_service=True)
+
+
+def rejected_plan_requests(requests: DataFrame, items: DataFrame) -> DataFrame:
+    """What ``reorder_batch`` leaves out: (request_id, category, errors), category null for a whole request.
+
+    Requests that break a rule, requests without a sound item, items that break a rule, and items
+    of a request that is not there.
+    """
+    asked = validate_plan_requests(requests).select("request_id", F.col("valid").alias("_asked"), "errors")
+    checked = validate_items(items)
+    whole = F.lit(None).cast("string").alias("category")
+    broken = asked.where(~F.col("_asked")).select("request_id", whole, "errors")
+    sound = checked.where("valid").select("request_id").distinct()
+    empty = asked.where("_asked").join(sound, "request_id", "left_anti").select("request_id", whole, F.lit("no items").alias("errors"))
+    wrong = checked.where(~F.col("valid")).select("request_id", "category", "errors")
+    known = asked.select("request_id").distinct()
+    stray = checked.where("valid").join(known, "request_id", "left_anti").select("request_id", "category", F.lit("unknown request").alias("errors"))
+    return broken.unionByName(empty).unionByName(wrong).unionByName(stray)

@@ -33,6 +33,10 @@ def d(expr: str) -> str:
     return f"cast(cast({expr} as date) as varchar)"
 
 
+def moment(expr: str) -> str:
+    return f"strftime(cast({expr} as timestamp), '%Y-%m-%d %H:%M:%S')"
+
+
 # --- shared tables ---------------------------------------------------------------------------
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -292,13 +296,20 @@ def histogram(source: str, column: str, bins: int, keys: str) -> str:
     from bnd cross join generate_series(1, {bins}) g(bin) left join cnt using ({keys}, bin)"""
 
 
+#: The forecast of a category is the same on every day ahead, so an answer is that level on each day asked.
+LEVEL = """level as (select category, greatest(sum(weight*yhat)/sum(weight), 0) as blended from (
+    select category, 'mean_baseline' as model, train_mean as yhat from train_mean
+    union all select category, 'lag1', order_count_lag_1 from snapshot
+    union all select category, 'ma7', order_count_rolling_mean_7d from snapshot) join weights using (category, model) group by 1),
+    asked_days as (select *, unnest(generate_series(1, days)) as k from a where days between 1 and 365)"""
+
 ASKED = """a as (select s_suppkey as request_id, case s_suppkey % 3 when 0 then 'economy' when 1 then 'small' else 'toys' end as category,
-    cast(s_suppkey % 40 - 2 as int) as days from supplier)"""
+    cast(s_suppkey*37 % 380 - 2 as int) as days from supplier)"""
 
 
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
-    orders_cols = f"order_id, customer_id, order_status, {d('order_purchase_timestamp')} as order_purchase_timestamp"
+    orders_cols = f"order_id, customer_id, order_status, {moment('order_purchase_timestamp')} as order_purchase_timestamp"
     q["csv_roundtrip"] = sql(f"select {orders_cols} from f_orders", "f_orders")
     counts = (
         ("orders", "orders", 4), ("order_items", "lineitem", 5), ("products", "part", 2),
@@ -309,9 +320,12 @@ def oracles() -> dict[str, str]:
         " union all ".join(f"select '{n}' as table_name, count(*) as n_rows, {c} as n_columns from {t}" for n, t, c in counts),
         "f_translation", "f_reviews",
     )
-    q["parquet_roundtrip"] = q["daily_category_demand"] = q["daily_from_unified"] = sql(PANEL, "daily")
+    q["catalog_from_csv"] = q["catalog_row_counts"]
+    q["csv_rejects"] = """select 'order_id' as column_name, 0::bigint as n_rejected union all select 'freight_value', 0
+        union all select 'price', count(*) filter (where l_orderkey % 7 = 0 or l_orderkey % 11 = 0) from lineitem"""
+    q["absent_table"] = q["parquet_roundtrip"] = q["daily_category_demand"] = q["daily_from_unified"] = sql(PANEL, "daily")
     q["metrics_json_explode"] = sql(
-        "select category, mape, rmse, mae from scores where split = 'test' and model = 'ma7'", "scores"
+        "select category, mape, rmse, mae, model from scores where split = 'test'", "scores"
     )
     q["forecast_csv"] = sql(
         f"select {d('date')} as date, category, predicted_orders, predicted_lower, predicted_upper from band", "band"
@@ -324,7 +338,7 @@ def oracles() -> dict[str, str]:
     q["reviews_per_order"] = sql(f"select * replace ({r('review_score_mean')} as review_score_mean) from rev", "rev")
     money = ", ".join(f"cast({c} as double) as {c}" for c in ("price", "freight_value", "payment_value_sum"))
     q["unified_orders"] = sql(
-        f"""select * replace ({money}, {d("order_purchase_timestamp")} as order_purchase_timestamp,
+        f"""select * replace ({money}, {moment("order_purchase_timestamp")} as order_purchase_timestamp,
         {r("review_score_mean")} as review_score_mean, cast(review_score_count as double) as review_score_count)
         from unified""", "unified",
     )
@@ -526,9 +540,58 @@ def oracles() -> dict[str, str]:
         from (select category, (select split from spans where daily.date between lo and hi) as split from daily) group by 1)
         select category, greatest(tr - 30, 0) as train_windows, va as val_windows, tr - 30 >= 10 and va >= 5 as eligible from n"""
     )
-    q["train_report"] = sql(
-        """select category, 'trained' as status, '' as detail from labelled where split = 'train' group by 1
-        order by sum(order_count) desc, category limit 2""", "labelled",
+    eligible = """, n as (select category, count(*) filter (where split = 'train') as tr, count(*) filter (where split = 'val') as va
+        from (select category, (select split from spans where daily.date between lo and hi) as split from daily) group by 1),
+        e as (select *, tr - 30 >= 10 and va >= 5 as eligible from n)"""
+    q["train_report"] = (
+        sql("", "daily", "labelled").rstrip()
+        + eligible
+        + """ select category, case when tr = 0 then 'unseen' when eligible then 'trained' else 'skipped' end as status,
+        greatest(tr - 30, 0) as train_windows, va as val_windows,
+        case when va > 0 then 'boosted,mean_baseline' || case when eligible then ',sequence' else '' end else '' end as scored from e"""
+    )
+    tested = f"""select category, {d('date')} as date, 'boosted' as model, cast(order_count as double) as y, true as is_finite
+        from labelled where split = 'test'"""
+    q["gbt_forecast_checked"] = sql(tested, "labelled")
+    q["boosted_model_roundtrip"] = sql(f"select category, {d('date')} as date, true as same from labelled where split = 'test'", "labelled")
+    q["sequence_regression_checked"] = (
+        sql("", "daily", "labelled").rstrip()
+        + f""", w as (select category, date, order_count, row_number() over (partition by category order by date) as place from daily)
+        select category, {d("date")} as date, 'sequence' as model, cast(order_count as double) as y, true as sound
+        from w where place > 30 and date between date '2000-01-01' and date '2000-12-31'
+          and category in (select category from labelled where split = 'train')"""
+    )
+    q["ensemble_forecast_checked"] = (
+        sql("", "daily", "labelled", "ends").rstrip()
+        + f""" select category, {d("last_date + cast(k as int)")} as date, true as blended_between, true as band_fits
+        from ends, generate_series(1, 30) g(k)"""
+    )
+    q["ensemble_weights_fallback"] = (
+        sql("", "preds").rstrip()
+        + f""", one as (select category, model, 1e0/greatest({r("sqrt(avg((y-yhat)*(y-yhat)))", 2)}, 0.001) as inverse
+        from preds where date = date '2000-02-01' group by all)
+        select category, model, {r("inverse/sum(inverse) over (partition by category)")} as weight from one
+        union all select category, model, weight from (select distinct category from daily),
+        (values ('mean_baseline', 0.25e0), ('lag1', 0.4e0), ('ma7', 0.35e0)) s(model, weight)
+        where category not in (select category from one)"""
+    )
+    q["mean_baseline_unseen"] = (
+        sql("", "labelled").rstrip()
+        + f""", t as (select * from labelled where split = 'train' and category <> 'economy')
+        select category, {d("date")} as date, 'mean_baseline' as model, cast(order_count as double) as y,
+        {r("coalesce((select avg(order_count) from t where t.category = x.category), (select avg(order_count) from t))")} as yhat
+        from labelled x where split = 'test'"""
+    )
+    q["absent_model"] = sql(
+        f"select category, {d('date')} as date, 'sequence' as model, cast(order_count as double) as y, 100e0 as yhat from daily", "daily"
+    )
+    q["densified_panel"] = sql(
+        f"""select {d("s.date")} as date, category, coalesce(daily.order_count, 0) as order_count from
+        (select category, cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date from daily group by 1) s
+        left join daily using (category, date)""", "daily",
+    )
+    q["feature_counts"] = sql(
+        "select leak_free, cast(n as int) as n_features, (select count(*) from daily) as n_rows from (values (false, 61), (true, 56)) t(leak_free, n)", "daily"
     )
     q["model_roundtrip"] = sql(
         f"""select {key}, {r("a + b*month(date)")} as yhat from daily,
@@ -582,17 +645,19 @@ def oracles() -> dict[str, str]:
           case when bu < 0 then 'budget' end, case when sl < 0 or sl >= 1 then 'service_level' end) as errors, errors = '' from
           (select c_custkey as request_id, c_acctbal as st, c_acctbal + 500 as bu,
            coalesce(case when c_custkey % 3 <> 0 then (c_custkey % 110)/100e0 end, 0.95) as sl from customer)"""
+    asked_tables = ("train_mean", "snapshot", "weights", "ends")
     q["forecast_requests"] = (
-        sql("", "band", "ends").rstrip()
-        + f""", {ASKED} select request_id, category, days, {d("date")} as date, predicted_orders, cast(date - last_date as int) as days_ahead
-        from a join band using (category) join ends using (category) where days between 1 and 365 and date - last_date <= days"""
+        sql("", *asked_tables).rstrip()
+        + f""", {ASKED}, {LEVEL} select request_id, category, days, {d("last_date + cast(k as int)")} as date,
+        {whole("blended")} as predicted_orders, cast(k as int) as days_ahead
+        from asked_days join level using (category) join ends using (category)"""
     )
+    q["forecast_requests_short"] = "select s_suppkey as request_id, '' as category, 0::int as days, 0::bigint as n from supplier where false"
     q["forecast_request_summary"] = (
-        sql("", "band", "ends").rstrip()
-        + f""", {ASKED} select request_id, category, count(*) as forecast_days,
+        sql("", *asked_tables).rstrip()
+        + f""", {ASKED}, {LEVEL} select request_id, category, count(*) as forecast_days,
         cast(trunc(sum(blended)) as bigint) as total_forecast_orders, {r("avg(blended)", 1)} as avg_daily_forecast
-        from a join band using (category) join ends using (category)
-        where days between 1 and 365 and date - last_date <= days group by 1, 2"""
+        from asked_days join level using (category) group by 1, 2"""
     )
     q["forecast_requests_rejected"] = (
         sql("", "ends").rstrip()
@@ -640,15 +705,20 @@ def oracles() -> dict[str, str]:
     levels = sorted({0.3} | {round(0.8 + k / 100, 2) for k in range(20)})
     z_rows = ", ".join(f"({v!r}::double, {NormalDist().inv_cdf(v)!r}::double)" for v in levels)
     batch_items = """(select l_suppkey as scenario, p_brand as category, cast(count(*) as double) as forecast_demand,
-        count(*)*0.3e0 as forecast_std, cast(max(p_size) as double) as unit_cost, cast(min(p_size) % 9 as double) as current_stock,
+        count(*)*0.3e0 as forecast_std, cast(max(p_size) as double) as unit_cost, cast(min(p_size) % 9 - 1 as double) as current_stock,
         7 as lead_time_days, cast(count(*) % 5 as double) as storage_per_unit
-        from lineitem join part on l_partkey = p_partkey group by 1, 2)"""
+        from lineitem join part on l_partkey = p_partkey where l_suppkey % 9 <> 0 group by 1, 2)"""
     batch_limits = f"""join (select s_suppkey as scenario,
         coalesce(nullif(case when s_suppkey % 4 <> 0 then 200e0*(s_suppkey % 50) end, 0), 10000e0) as storage_capacity,
-        coalesce(nullif(abs(s_acctbal)*100, 0), 500000e0) as budget, zt.z, 0.25e0 as holding_rate, 0.4e0 as stockout_rate
+        coalesce(nullif(case when s_suppkey % 13 = 0 then -1 else abs(s_acctbal)*100 end, 0), 500000e0) as budget, zt.z, 0.25e0 as holding_rate, 0.4e0 as stockout_rate
         from supplier join (values {z_rows}) zt(level, z) on abs(zt.level - case when s_suppkey % 7 = 0 then 0.3e0
           when s_suppkey % 7 <> 1 then 0.8e0 + (s_suppkey % 21)/100e0 else 0.95e0 end) < 1e-9) using (scenario)"""
-    q["reorder_batch"] = "with " + plan_ctes(batch_items, batch_limits).lstrip() + f"""
+    q["plan_requests_rejected"] = f"""with items as {batch_items}, asked as (select s_suppkey as request_id, s_suppkey % 13 = 0 as bad from supplier)
+        select request_id, null::varchar as category, 'budget' as errors from asked where bad
+        union all select request_id, null, 'no items' from asked where not bad and request_id not in (select scenario from items where current_stock >= 0)
+        union all select scenario, category, 'current_stock' from items where current_stock < 0
+        union all select scenario, category, 'unknown request' from items where current_stock >= 0 and scenario not in (select request_id from asked)"""
+    q["reorder_batch"] = "with " + plan_ctes(f"(select * from {batch_items} where current_stock >= 0 and scenario % 13 <> 0)", batch_limits).lstrip() + f"""
         select scenario as request_id, category, status, {r("ss", 3)} as safety_stock, {r("q", 3)} as reorder_quantity,
         {r("hold", 3)} as holding_cost, {r("stockout", 3)} as stockout_cost from cost"""
     return q

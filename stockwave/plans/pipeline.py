@@ -4,7 +4,7 @@ Each job writes its result below one folder, and the next reads it from there, s
 computed once and can be run again on its own:
 
     unified_orders/  daily_category_demand/  features/           ingest and features
-    models/boosted  models/sequence  bounds/  weights/  metrics/  training
+    models/boosted  models/sequence  bounds/  weights/  metrics/  training_report/  training
     forecast/  forecast_csv/  plan/  plan_csv/                    forecast and replenishment
 """
 
@@ -16,6 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockwave.operators import evaluate, explore, features, forecast, ingest, models, replenish
 from stockwave.params import (
@@ -30,23 +31,35 @@ from stockwave.params import (
 )
 from stockwave.session import stage
 from stockwave.sources import files
+from stockwave.sources.schemas import PANEL_SCHEMA
 
 SEQUENCE_COLUMNS = (TARGET, *EXOGENOUS)
 
 
 def run_ingest(spark: SparkSession, tables: Mapping[str, DataFrame], out: str) -> tuple[DataFrame, DataFrame]:
-    """Store the order-item fact and the daily panel; the panel is read off the stored fact."""
+    """Store the order-item fact and the daily panel; the panel comes from the raw tables, without the wide fact."""
     files.save_table(ingest.unified_orders(tables), f"{out}/unified_orders")
     unified = files.load_table(spark, f"{out}/unified_orders")
-    files.save_table(ingest.aggregate_daily_category(unified), f"{out}/daily_category_demand")
-    return unified, files.load_table(spark, f"{out}/daily_category_demand")
+    files.save_table(ingest.daily_category_demand(tables), f"{out}/daily_category_demand")
+    return unified, load_panel(spark, out)
+
+
+def load_panel(spark: SparkSession, out: str) -> DataFrame:
+    return files.load_table(spark, f"{out}/daily_category_demand", PANEL_SCHEMA)
+
+
+def load_features(spark: SparkSession, out: str) -> DataFrame:
+    """The stored features; a category stays text, whatever its folder is called."""
+    stored = files.load_table(spark, f"{out}/features").schema
+    fields = [T.StructField("category", T.StringType()) if f.name == "category" else f for f in stored.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(f"{out}/features")
 
 
 def run_features(spark: SparkSession, out: str, holidays: Sequence[dt.date] = HOLIDAYS) -> DataFrame:
     """Store the feature matrix by category, so later reads of one category skip the others."""
-    panel = files.load_table(spark, f"{out}/daily_category_demand")
+    panel = load_panel(spark, out)
     files.save_table(features.feature_matrix(panel, holidays), f"{out}/features", partition_by="category")
-    return files.load_table(spark, f"{out}/features")
+    return load_features(spark, out)
 
 
 def sequence_inputs(matrix: DataFrame, bounds: DataFrame, length: int = SEQUENCE_LENGTH) -> DataFrame:
@@ -80,10 +93,13 @@ def run_training(
 
     The mean baseline is scored and reported, but as in the blend of the original study it gets a
     weight without contributing predictions; the weights of the other models are renormalised.
-    Categories without enough windows simply have no sequence predictions. An empty test split
-    gives empty metrics.
+    Categories without enough windows simply have no sequence predictions; ``training_report`` lists
+    them. Categories without validation rows get the static weights, those without training rows
+    the training mean of all. An empty test split gives empty metrics. Test windows are made of the
+    rows before each test day (one step ahead), while a forecast pads its windows, so errors grow
+    with the days ahead beyond what the test shows.
     """
-    matrix = files.load_table(spark, f"{out}/features")
+    matrix = load_features(spark, out)
     if top_n:
         train_rows, _, _ = features.train_val_test_split(matrix, splits)
         top = explore.top_n(train_rows, TARGET, top_n).select("category")
@@ -101,7 +117,8 @@ def run_training(
     sequence = models.fit_sequence_regression(window_train)
     files.save_model(boosted, f"{out}/models/boosted")
     files.save_model(sequence, f"{out}/models/sequence")
-    files.save_table(models.category_means(train), f"{out}/category_means")
+    categories = matrix.select("category").distinct()
+    files.save_table(models.with_train_mean(categories, train), f"{out}/category_means")
 
     on_val = explore.union_all(
         [
@@ -110,8 +127,11 @@ def run_training(
             sequence_predictions(sequence, window_val, bounds),
         ]
     )
-    files.save_table(models.ensemble_weights(evaluate.forecast_metrics(on_val)), f"{out}/weights")
+    val_metrics = stage(evaluate.forecast_metrics(on_val), "validation-metrics")
+    files.save_table(models.complete_weights(models.ensemble_weights(val_metrics), categories), f"{out}/weights")
     weights = files.load_table(spark, f"{out}/weights")
+    report = models.training_report(features.label_split(matrix, splits), train, val_metrics)
+    files.save_table(report, f"{out}/training_report")
 
     on_test = stage(
         models.score_boosted(boosted, test, train).unionByName(sequence_predictions(sequence, window_test, bounds)),
@@ -130,7 +150,7 @@ def run_forecast(
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast all trained categories at once; returns the stored forecast and its summary."""
     means = files.load_table(spark, f"{out}/category_means")
-    matrix = files.load_table(spark, f"{out}/features").join(means.select("category"), "category", "left_semi")
+    matrix = load_features(spark, out).join(means.select("category"), "category", "left_semi")
     bounds = files.load_table(spark, f"{out}/bounds")
     wanted = features.feature_columns(matrix)
     ahead = forecast.future_features(matrix, days, holidays, wanted).join(
@@ -174,7 +194,7 @@ def run_replenishment(
     first = ahead.groupBy(F.col("category").alias("_c")).agg(F.min("date").alias("_first"))
     month = ahead.join(first, F.col("category") == F.col("_c")).where(F.col("date") < F.date_add("_first", days))
     demand = month.groupBy("category").agg(F.sum("blended").alias("forecast_demand"))
-    panel = files.load_table(spark, f"{out}/daily_category_demand")
+    panel = load_panel(spark, out)
     config = replenish.cost_config(demand, panel)
     items = stage(replenish.items_from_forecast(demand.join(config, "category")), "items")
     limited = replenish.with_scenarios(items, scenarios)

@@ -1,7 +1,7 @@
 """Registered queries: every operator run over the whole given tables.
 
-Each takes (spark, folder) and returns a DataFrame. ``tidy`` fixes the output types: dates as ISO
-text, money as double, doubles at six digits. Queries that read the daily panel in several
+Each takes (spark, folder) and returns a DataFrame. ``tidy`` fixes the output types: dates and times
+as ISO text, money as double, doubles at six digits. Queries that read the daily panel in several
 branches store it first, so the order items are scanned once.
 """
 
@@ -19,10 +19,11 @@ from pyspark.sql import types as T
 
 from stockwave.functions.numeric import half_even
 from stockwave.operators import evaluate, explore, features, forecast, ingest, models, replenish, requests
-from stockwave.params import EXOGENOUS, TARGET, BoostingParams, Scenario, SplitDates, yearly_holidays
+from stockwave.params import EXOGENOUS, TARGET, Scenario, SplitDates, yearly_holidays
 from stockwave.plans import pipeline
 from stockwave.session import scratch_path, stage
 from stockwave.sources import files
+from stockwave.sources.schemas import PANEL_SCHEMA
 from stockwave.sources.star import read, retail_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,8 @@ SPLITS = SplitDates(
 MODELS = ("lag1", "ma7", "mean_baseline")
 HORIZON = 30
 FIRST_CUT = dt.date(1999, 12, 31)
+ONE_DAY = dt.date(2000, 2, 1)
+FALLBACK = {"mean_baseline": 0.25, "lag1": 0.4, "ma7": 0.35}
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -54,8 +57,10 @@ def tidy(df: DataFrame, as_double: Sequence[str] = ()) -> DataFrame:
             return f"rint(CAST({name} AS double) * 1e6D) / 1e6D + 0D AS {name}"
         if isinstance(f.dataType, T.DecimalType):
             return f"CAST({name} AS double) AS {name}"
-        if isinstance(f.dataType, (T.DateType, T.TimestampNTZType, T.TimestampType)):
-            return f"CAST(CAST({name} AS date) AS string) AS {name}"
+        if isinstance(f.dataType, T.DateType):
+            return f"CAST({name} AS string) AS {name}"
+        if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
+            return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss') AS {name}"
         return name
 
     return df.selectExpr(*[column(f) for f in df.schema.fields])
@@ -92,8 +97,8 @@ def future_predictions(panel: DataFrame, days: int = HORIZON) -> DataFrame:
     return models.naive_models(train, forecast.future_features(panel, days, HOLIDAYS))
 
 
-def forecast_of(panel: DataFrame) -> DataFrame:
-    return forecast.forecast_band(future_predictions(panel), validation_weights(panel), MODELS)
+def forecast_of(panel: DataFrame, days: int = HORIZON) -> DataFrame:
+    return forecast.forecast_band(future_predictions(panel, days), validation_weights(panel), MODELS)
 
 
 def sku_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,6 +148,34 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(files.load_csv(spark, path, schema))
 
 
+@query
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices of a CSV written with words and with amounts beyond the declared type."""
+    path = scratch_path(spark, "items-csv")
+    price, key = F.col("l_extendedprice").cast("string"), F.col("l_orderkey")
+    odd = F.when(key % 7 == 0, "n/a").when(key % 11 == 0, F.concat(F.lit("99999999"), price)).otherwise(price)
+    lines = read(spark, folder, "lineitem").select(key.alias("order_id"), odd.alias("price"), F.col("l_quantity").alias("freight_value"))
+    files.export_csv(lines, path)
+    return files.csv_rejects(spark, path, "order_id bigint, price decimal(12,2), freight_value decimal(12,2)")
+
+
+@query
+def catalog_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and columns of every table written as a folder of CSV files and read through the catalog."""
+    path = scratch_path(spark, "catalog-csv")
+    source = retail_tables(spark, folder)
+    for name, df in source.items():
+        files.export_csv(df, f"{path}/{name}")
+    return files.table_profile(files.load_catalog(spark, path, {name: name for name in source}))
+
+
+@query
+def absent_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table that was never written reads as empty: the panel and its union with that."""
+    never = files.load_table_or_empty(spark, scratch_path(spark, "never"), PANEL_SCHEMA)
+    return tidy(never.unionByName(panel_of(spark, folder)))
+
+
 @query
 def catalog_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return files.table_profile(retail_tables(spark, folder))
@@ -152,15 +185,18 @@ def catalog_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "panel-by-category")
     files.save_table(panel_of(spark, folder), path, partition_by="category")
-    return tidy(files.load_table(spark, path))
+    return tidy(files.load_table(spark, path, PANEL_SCHEMA))
 
 
 @query
 def metrics_json_explode(spark: SparkSession, folder: str) -> DataFrame:
-    predictions = naive_predictions(stored_panel(spark, folder), "test").where(F.col("model") == "ma7")
-    path = scratch_path(spark, "metrics-json")
-    files.save_metrics(evaluate.forecast_metrics(predictions, ["category"]), path)
-    return tidy(files.load_metrics(spark, path))
+    metrics = stage(evaluate.forecast_metrics(naive_predictions(stored_panel(spark, folder), "test")), "metrics")
+    loaded = []
+    for model in MODELS:
+        path = scratch_path(spark, "metrics-json")
+        files.save_metrics(metrics.where(F.col("model") == model).drop("model"), path)
+        loaded.append(files.load_metrics(spark, path).withColumn("model", F.lit(model)))
+    return tidy(explore.union_all(loaded))
 
 
 @query
@@ -538,25 +574,115 @@ def sequence_regression(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(pipeline.sequence_predictions(models.fit_sequence_regression(fit_on), val, bounds))
 
 
-SMALL_BOOST = BoostingParams(trees=20, learning_rate=0.2, depth=5, tolerance=0.001)
-
-
 @query
 def gbt_forecast(spark: SparkSession, folder: str) -> DataFrame:
     matrix = stage(features.feature_matrix(stored_panel(spark, folder), HOLIDAYS), "features")
     train, val, test = features.train_val_test_split(matrix, SPLITS)
-    model, _ = models.fit_pooled(train, val, SMALL_BOOST)
+    model, _ = models.fit_pooled(train, val)
     return tidy(models.score_boosted(model, test, train))
 
 
+def trained_pipeline(spark: SparkSession, folder: str, splits: SplitDates = SPLITS) -> str:
+    """A pipeline folder with the default models trained on the whole panel."""
+    out = scratch_path(spark, "pipeline")
+    files.save_table(panel_of(spark, folder), f"{out}/daily_category_demand")
+    pipeline.run_features(spark, out, HOLIDAYS)
+    pipeline.run_training(spark, out, splits)
+    return out
+
+
 @query
 def train_report(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per category of the pooled run, and whether each model has a finite validation error."""
+    report = files.load_table(spark, f"{trained_pipeline(spark, folder)}/training_report")
+    scored = F.coalesce(F.array_join(F.array_sort(F.map_keys(F.map_filter("scores", lambda _, v: (v >= 0) & (v < 1e300)))), ","), F.lit(""))
+    return report.select("category", "status", "train_windows", "val_windows", scored.alias("scored"))
+
+
+def finite(x: str):
+    return F.coalesce((F.col(x) > -1e300) & (F.col(x) < 1e300), F.lit(False))
+
+
+@query
+def gbt_forecast_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys and actuals scored by the boosted model with the default settings, and whether scores are finite."""
+    matrix = stage(features.feature_matrix(stored_panel(spark, folder), HOLIDAYS), "features")
+    train, val, test = features.train_val_test_split(matrix, SPLITS)
+    model, _ = models.fit_pooled(train, val)
+    return tidy(models.score_boosted(model, test, train).select("category", "date", "model", "y", finite("yhat").alias("is_finite")))
+
+
+@query
+def boosted_model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored and reloaded boosted model scores every test row as the fitted one does."""
     matrix = stage(features.feature_matrix(stored_panel(spark, folder), HOLIDAYS), "features")
-    train, val, _ = features.train_val_test_split(matrix, SPLITS)
-    _, report = models.fit_top_categories(train, val, 2, BoostingParams(trees=5, learning_rate=0.2, depth=4))
-    return report
+    train, val, test = features.train_val_test_split(matrix, SPLITS)
+    model, _ = models.fit_pooled(train, val)
+    path = scratch_path(spark, "boosted")
+    files.save_model(model, path)
+    first, second = (models.score_boosted(m, test, train) for m in (model, files.load_model(path)))
+    both = first.join(second.select("category", "date", F.col("yhat").alias("_again")), ["category", "date"])
+    return tidy(both.select("category", "date", (F.col("yhat") == F.col("_again")).alias("same")))
+
+
+@query
+def sequence_regression_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys and actuals scored by the window model, and whether scores are finite and not negative."""
+    scored = sequence_regression(spark, folder)
+    return scored.select("category", "date", "model", "y", (finite("yhat") & (F.col("yhat") >= 0)).alias("sound"))
+
+
+@query
+def ensemble_forecast_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of the model forecast, whether both models predicted, and whether blend and band fit their predictions."""
+    out = trained_pipeline(spark, folder)
+    stored, _ = pipeline.run_forecast(spark, out, HORIZON, HOLIDAYS)
+    low, high = F.least("boosted_prediction", "sequence_prediction"), F.greatest("boosted_prediction", "sequence_prediction")
+    between = (F.col("predicted_orders") >= low) & (F.col("predicted_orders") <= high)
+    band = (F.col("predicted_lower") == forecast.whole(F.col("blended") * 0.85)) & (F.col("predicted_upper") == forecast.whole(F.col("blended") * 1.15))
+    return tidy(stored.select("category", "date", (between & (F.col("predicted_orders") == forecast.whole(F.col("blended")))).alias("blended_between"), band.alias("band_fits")))
+
+
+@query
+def ensemble_weights_fallback(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights when one day validates: categories without a row that day get the static ones."""
+    panel = stored_panel(spark, folder)
+    rows = naive_predictions(panel, "val").where(F.col("date") == ONE_DAY)
+    known = models.ensemble_weights(evaluate.forecast_metrics(rows))
+    return tidy(models.complete_weights(known, panel, FALLBACK).select("category", "model", "weight"))
+
+
+@query
+def mean_baseline_unseen(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions for all categories by a mean fitted without one of them: that one gets the mean of all."""
+    panel = stored_panel(spark, folder)
+    train, _, test = features.train_val_test_split(panel, SPLITS)
+    return tidy(models.mean_baseline(train.where("category <> 'economy'"), test))
 
 
+@query
+def absent_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row scored by the stand-in for a model that was never fitted."""
+    return tidy(models.score_absent_model(panel_of(spark, folder), "sequence"))
+
+
+@query
+def densified_panel(spark: SparkSession, folder: str) -> DataFrame:
+    """The panel with a zero row for every day without demand between a category's first and last."""
+    return tidy(features.densify(stored_panel(spark, folder)).select("date", "category", TARGET))
+
+
+@query
+def feature_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and features a model gets, with and without same-day price and revenue."""
+    panel = stored_panel(spark, folder)
+    found = []
+    for leak_free in (False, True):
+        matrix = features.feature_matrix(panel, HOLIDAYS, leak_free=leak_free)
+        n = len(features.feature_columns(matrix))
+        found.append(matrix.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(leak_free).alias("leak_free"), F.lit(n).alias("n_features"), "n_rows"))
+    return explore.union_all(found)
+
 @query
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = stored_panel(spark, folder).select("date", "category", TARGET, F.month("date").alias("month"))
@@ -569,10 +695,7 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ensemble_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    out = scratch_path(spark, "pipeline")
-    files.save_table(panel_of(spark, folder), f"{out}/daily_category_demand")
-    pipeline.run_features(spark, out, HOLIDAYS)
-    pipeline.run_training(spark, out, SPLITS, params=SMALL_BOOST)
+    out = trained_pipeline(spark, folder)
     stored, _ = pipeline.run_forecast(spark, out, HORIZON, HOLIDAYS)
     return tidy(stored)
 
@@ -633,14 +756,14 @@ def forecast_requests_of(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "supplier").select(
         key.alias("request_id"),
         F.when(key % 3 == 0, "economy").when(key % 3 == 1, "small").otherwise("toys").alias("category"),
-        (key % 40 - 2).cast("int").alias("days"),
+        (key * 37 % 380 - 2).cast("int").alias("days"),
     )
 
 
 def answers_of(spark: SparkSession, folder: str) -> DataFrame:
     panel = stored_panel(spark, folder)
     spans = panel.groupBy("category").agg(F.max("date").alias("_last"))
-    numbered = forecast_of(panel).join(spans, "category").select(
+    numbered = forecast_of(panel, requests.MAX_DAYS).join(spans, "category").select(
         "category", "date", "blended", "predicted_orders", F.datediff("date", "_last").alias("days_ahead")
     )
     return requests.answer_forecast_requests(forecast_requests_of(spark, folder), numbered)
@@ -656,6 +779,12 @@ def forecast_request_summary(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(requests.summarise_answers(answers_of(spark, folder)))
 
 
+@query
+def forecast_requests_short(spark: SparkSession, folder: str) -> DataFrame:
+    """Answered requests with fewer days than asked, of all; none are expected."""
+    return requests.unanswered_days(forecast_requests_of(spark, folder), answers_of(spark, folder))
+
+
 @query
 def forecast_requests_rejected(spark: SparkSession, folder: str) -> DataFrame:
     return requests.rejected_forecast_requests(forecast_requests_of(spark, folder), panel_of(spark, folder))
@@ -748,27 +877,37 @@ def reorder_from_profile(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(replenish.plan_report(replenish.solve_plan(replenish.with_scenarios(items, (scenario,)))))
 
 
-@query
-def reorder_batch(spark: SparkSession, folder: str) -> DataFrame:
+def plan_requests_of(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Requests, some with a limit below 0 or without items, and their items, some with a stock below 0."""
     key = F.col("s_suppkey")
     asked = read(spark, folder, "supplier").select(
         key.alias("request_id"),
         F.when(key % 4 != 0, 200.0 * (key % 50)).alias("storage_capacity"),
-        (F.abs("s_acctbal") * 100).alias("budget"),
+        F.when(key % 13 == 0, -1.0).otherwise(F.abs("s_acctbal") * 100).alias("budget"),
         F.when(key % 7 == 0, 0.3).when(key % 7 != 1, 0.8 + (key % 21) / 100.0).alias("service_level"),
     )
     lines, parts = read(spark, folder, "lineitem"), read(spark, folder, "part")
     items = (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        lines.where(F.col("l_suppkey") % 9 != 0).join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(F.col("l_suppkey").alias("request_id"), F.col("p_brand").alias("category"))
         .agg(
             F.count(F.lit(1)).cast("double").alias("forecast_demand"),
             F.max("p_size").cast("double").alias("unit_cost"),
-            (F.min("p_size") % 9).cast("double").alias("current_stock"),
+            (F.min("p_size") % 9 - 1).cast("double").alias("current_stock"),
             (F.count(F.lit(1)) % 5).cast("double").alias("storage_per_unit"),
         )
     )
-    solved = requests.reorder_batch(asked, stage(items, "request-items"))
+    return asked, stage(items, "request-items")
+
+
+@query
+def plan_requests_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    return requests.rejected_plan_requests(*plan_requests_of(spark, folder))
+
+
+@query
+def reorder_batch(spark: SparkSession, folder: str) -> DataFrame:
+    solved = requests.reorder_batch(*plan_requests_of(spark, folder))
     return tidy(
         solved.select(
             "request_id", "category", "status",

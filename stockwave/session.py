@@ -8,10 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "stockwave", cores: str | None = None) -> SparkSession:
-    """Local session for tests and benchmarks; a cluster brings its own."""
+def build_session(app: str = "stockwave", cores: str | None = None, shared: str | None = None) -> SparkSession:
+    """Local session for tests and benchmarks; a cluster brings its own. ``shared``: folder for staged tables."""
     cores = cores or os.environ.get("BENCH_CPUS", "8")
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -21,8 +21,8 @@ def build_session(app: str = "stockwave", cores: str | None = None) -> SparkSess
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
     )
+    return (builder.config("spark.checkpoint.dir", shared) if shared else builder).getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -33,10 +33,22 @@ def load_csv(spark: SparkSession, path: str, schema: str, multiline: bool = Fals
     return raw.select(*declared, *[c for c in raw.columns if c not in {f.name for f in fields}])
 
 
+def csv_rejects(spark: SparkSession, path: str, schema: str, multiline: bool = False) -> DataFrame:
+    """Per declared column of a CSV: values present in the text that do not fit the type (column_name, n_rejected)."""
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
+    fields = [f for f in T.StructType.fromDDL(schema).fields if f.name in raw.columns]
+    lost = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in fields]
+    return raw.agg(*lost).unpivot([], [f.name for f in fields], "column_name", "n_rejected")
+
+
 def load_catalog(
     spark: SparkSession, folder: str, file_names: Mapping[str, str] | None = None
 ) -> dict[str, DataFrame]:
-    """The raw tables by name, each also registered as a temporary view."""
+    """The raw tables by name, each also registered as a temporary view.
+
+    A name may be a file or a folder of files. Reviews hold free text with line breaks, so each of
+    their files is one task: a large table should come as a folder of many.
+    """
     names = file_names or {table: f"{table}.csv" for table in RAW_SCHEMAS}
     catalog = {
         table: load_csv(spark, f"{folder.rstrip('/')}/{name}", RAW_SCHEMAS[table], table == "reviews")
@@ -71,7 +83,11 @@ def save_table(df: DataFrame, path: str, partition_by: str | None = None) -> Non
 
 
 def load_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Read a processed table; a missing path raises AnalysisException."""
+    """Read a processed table; a missing path raises AnalysisException.
+
+    A table stored by folders needs its ``schema``: without one, Spark takes a folder name such as
+    ``001`` for a number.
+    """
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
 

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from stockwave.session import build_session  # noqa: E402
+from stockwave.session import build_session, drop_staged  # noqa: E402
 from stockwave.sources.schemas import PANEL_SCHEMA  # noqa: E402
 
 
@@ -15,6 +15,7 @@ def spark():
     session = build_session("stockwave-tests", cores="8")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_staged(session)
     session.stop()
 
 

@@ -50,14 +50,20 @@ def skewed(spark):
 
 def test_hot_keys_finds_only_the_hot_key(skewed):
     big, _ = skewed
-    assert [r.k for r in hot_keys(big, "k", min_rows=1000).collect()] == [7]
-    assert hot_keys(big, "k", min_rows=1).count() <= MAX_HOT_KEYS
+    assert [r.k for r in hot_keys(big, "k", target_rows=1000).collect()] == [7]
+    assert hot_keys(big, "k", target_rows=1).count() <= MAX_HOT_KEYS
+
+
+def test_keys_of_a_small_share_are_split_by_their_size(spark):
+    key = F.when(F.col("id") % 300 == 0, -1).when(F.col("id") % 10 == 1, -2).otherwise(F.col("id"))
+    found = hot_keys(spark.range(300_000).select(key.alias("k")), "k", target_rows=900).collect()
+    assert {r.k: r["_hot"] for r in found if r.k < 0} == {-1: 2, -2: 34}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_plain_join(skewed, how):
     big, small = skewed
-    got = salted_join(big, small, "k", how, salts=8, min_rows=1000).select("k", "v", "w")
+    got = salted_join(big, small, "k", how, target_rows=1000).select("k", "v", "w")
     want = big.join(small, "k", how).select("k", "v", "w")
     assert got.count() == want.count()
     assert got.exceptAll(want).isEmpty()
@@ -68,7 +74,7 @@ def test_salted_join_spreads_the_hot_key(spark, skewed):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = salted_join(big, small, "k", "inner", salts=64, min_rows=1000)
+        joined = salted_join(big, small, "k", "inner", target_rows=200)
         spread = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -91,9 +91,9 @@ def test_daily_demand_by_definition(tables):
     assert len(rows) == 3
 
 
-@pytest.mark.parametrize("min_hot_rows", [10, 1_000_000])
-def test_both_ways_to_the_panel_agree(tables, min_hot_rows):
-    a = ingest.daily_category_demand(tables, min_hot_rows).toPandas().sort_values(["date", "category"], ignore_index=True)
+@pytest.mark.parametrize("target_rows", [10, 1_000_000])
+def test_both_ways_to_the_panel_agree(tables, target_rows):
+    a = ingest.daily_category_demand(tables, target_rows).toPandas().sort_values(["date", "category"], ignore_index=True)
     b = ingest.aggregate_daily_category(ingest.unified_orders(tables)).toPandas()
     b = b.sort_values(["date", "category"], ignore_index=True)
     pd.testing.assert_frame_equal(a, b[a.columns])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockwave.operators import evaluate, features, forecast, models
-from stockwave.params import BoostingParams, SplitDates
+from stockwave.params import STATIC_WEIGHTS, BoostingParams, SplitDates
 
 SPLIT = SplitDates(train=("2020-01-01", "2020-02-20"), val=("2020-02-21", "2020-03-05"), test=("2020-03-06", "2020-03-30"))
 
@@ -110,8 +110,6 @@ def test_per_category_training_reports_failures(spark, panel):
     status = {r.category: r.status for r in report.collect()}
     assert status["toys"] == "trained" and set(fitted) == {c for c, s in status.items() if s == "trained"}
     assert len(status) == 3
-    with pytest.raises(ValueError):
-        models.fit_top_categories(train, val, 100)
 
 
 def test_sequence_regression_learns_a_linear_rule(spark):
@@ -165,3 +163,28 @@ def test_forecast_band_and_summary(spark, panel):
     assert info.avg_historical_daily == pytest.approx(round(recent, 1))
     line = forecast.forecast_series(panel.where("category = 'toys'"), out).orderBy("date").collect()
     assert len(line) == 4 and line[0].kind == "actual"
+
+
+def test_unseen_categories_get_the_mean_of_all(spark, panel):
+    train, rows = panel.where("category = 'toys'"), panel.where("category in ('toys', 'books')")
+    got = models.mean_baseline(train, rows)
+    assert got.count() == rows.count()
+    assert got.select("yhat").distinct().count() == 1
+    assert models.with_category_mean(rows, train).where("category_mean is null").isEmpty()
+
+
+def test_static_weights_where_none_were_measured(spark):
+    known = spark.createDataFrame([("a", "boosted", 2.0, 1.0)], "category string, model string, rmse double, weight double")
+    categories = spark.createDataFrame([("a",), ("b",), ("b",)], "category string")
+    got = {(r.category, r.model): r.weight for r in models.complete_weights(known, categories).collect()}
+    assert got == {("a", "boosted"): 1.0} | {("b", m): w for m, w in STATIC_WEIGHTS.items()}
+    rows = spark.createDataFrame([("b", "2020-01-01", "boosted", 1.0, 7.0)], "category string, date string, model string, y double, yhat double")
+    assert models.blend(rows, models.complete_weights(known, categories)).first().yhat == 7.0
+
+
+def test_training_report(spark):
+    rows = [(c, "2020-01-01", s) for c, s, n in (("a", "train", 45), ("a", "val", 6), ("b", "train", 12), ("c", "val", 9)) for _ in range(n)]
+    split = spark.createDataFrame(rows, "category string, date string, split string")
+    metrics = spark.createDataFrame([("a", "boosted", 1.0), ("a", "sequence", 2.0), ("c", "boosted", 3.0)], "category string, model string, rmse double")
+    got = {r.category: (r.status, r.train_windows, r.val_windows, r.scores) for r in models.training_report(split, split.where("split = 'train'"), metrics).collect()}
+    assert got == {"a": ("trained", 15, 6, {"boosted": 1.0, "sequence": 2.0}), "b": ("skipped", 0, 0, None), "c": ("unseen", 0, 9, {"boosted": 3.0})}

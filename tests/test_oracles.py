@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from stockwave.plans.oracles import oracles
+from stockwave.plans.queries import registry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = oracle_sql()
+SQL = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -22,14 +24,14 @@ def con():
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(queries())
-    assert set(queries()) - set(SQL) == {"sequence_regression", "gbt_forecast", "ensemble_forecast"}
+    assert set(SQL) <= set(registry())
+    assert set(registry()) - set(SQL) == {"sequence_regression", "gbt_forecast", "ensemble_forecast"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, con, name, monkeypatch):
     monkeypatch.setattr(check, "FOLDER", FOLDER)
-    line = check.compare(spark, con, name, queries()[name], SQL[name])
+    line = check.compare(spark, con, name, registry()[name], SQL[name])
     assert line.startswith("OK"), line
 
 

@@ -192,3 +192,35 @@ def test_forecast_requests_filter_a_stored_forecast(spark):
     asked = spark.createDataFrame([(1, "a", 2), (2, "a", 400), (3, "zz", 2)], "request_id int, category string, days int")
     got = requests.answer_forecast_requests(asked, ahead).collect()
     assert sorted((r.request_id, r.days_ahead) for r in got) == [(1, 1), (1, 2)]
+
+
+def test_requests_are_answered_for_all_their_days(spark):
+    ahead = spark.createDataFrame([("a", k, k) for k in range(1, requests.MAX_DAYS + 1)], "category string, days_ahead int, predicted_orders int")
+    asked = spark.createDataFrame([(k, "a", k) for k in (1, 31, 200, 365)], "request_id int, category string, days int")
+    answers = requests.answer_forecast_requests(asked, ahead)
+    assert {r.request_id: r["count"] for r in answers.groupBy("request_id").count().collect()} == {1: 1, 31: 31, 200: 200, 365: 365}
+    assert requests.unanswered_days(asked, answers).isEmpty()
+    short = requests.answer_forecast_requests(asked, ahead.where("days_ahead <= 30"))
+    assert {(r.request_id, r.n) for r in requests.unanswered_days(asked, short).collect()} == {(31, 30), (200, 30), (365, 30)}
+
+
+def test_rejected_plan_requests(spark):
+    good, bad = SAMPLE[0], (*SAMPLE[1][:4], -5.0, 90.0, 7, -3.0)
+    items = spark.createDataFrame([(1, *good), (1, *bad), (2, *bad), (9, *good)], "request_id int, " + ITEM)
+    asked = spark.createDataFrame([(1, None, None, None), (2, None, None, None), (3, -1.0, None, 1.5), (4, 5.0, 5.0, 0.5)],
+                                  "request_id int, storage_capacity double, budget double, service_level double")
+    got = {(r.request_id, r.category, r.errors) for r in requests.rejected_plan_requests(asked, items).collect()}
+    assert got == {
+        (1, bad[0], "unit_cost,storage_per_unit"), (2, bad[0], "unit_cost,storage_per_unit"), (2, None, "no items"),
+        (3, None, "storage_capacity,service_level"), (4, None, "no items"), (9, good[0], "unknown request"),
+    }
+    assert {(r.request_id, r.category) for r in requests.reorder_batch(asked, items).collect()} == {(1, good[0])}
+
+
+def test_items_are_not_shuffled_by_scenario(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = solve(spark, SAMPLE, Scenario("a"), Scenario("b"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -95,29 +95,17 @@ def test_trained_categories_in_order(panel):
 
 
 def test_shared_folder_comes_from_the_session():
-    class Conf:
-        def __init__(self, folder):
-            self.folder = folder
-
-        def get(self, key, default):
-            assert key == "spark.checkpoint.dir"
-            return self.folder or default
-
-    class Context:
-        applicationId = "test-app"
-
-        def __init__(self, master):
-            self.master = master
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
 
     class Session:
-        def __init__(self, folder, master):
-            self.conf, self.sparkContext = Conf(folder), Context(master)
+        def __init__(self, **settings):
+            self.conf = Conf({key.replace("_", "."): value for key, value in settings.items()})
 
-    assert session.shared_dir(Session("s3a://bucket/tmp", "yarn")) == "s3a://bucket/tmp"
-    local = session.shared_dir(Session(None, "local[8]"))
-    assert local == session.shared_dir(Session(None, "local[8]"))
-    with pytest.raises(RuntimeError):
-        session.shared_dir(Session(None, "yarn"))
+    warehouse = "s3a://bucket/warehouse/"
+    assert session.shared_dir(Session(spark_checkpoint_dir="s3a://bucket/tmp", spark_sql_warehouse_dir=warehouse)) == "s3a://bucket/tmp"
+    assert session.shared_dir(Session(spark_sql_warehouse_dir=warehouse)) == "s3a://bucket/warehouse/_staged"
 
 
 def test_drop_staged_removes_only_its_folder(spark, panel, monkeypatch, tmp_path):
@@ -127,3 +115,24 @@ def test_drop_staged_removes_only_its_folder(spark, panel, monkeypatch, tmp_path
     assert (tmp_path / "app").exists()
     session.drop_staged(spark)
     assert not (tmp_path / "app").exists() and (tmp_path / "kept").exists()
+
+
+def test_a_category_named_like_a_number_stays_text(spark, tmp_path):
+    rows = [("2020-01-01", "001", 1), ("2020-01-02", "002", 2)]
+    df = spark.createDataFrame(rows, "date string, category string, order_count bigint").selectExpr("cast(date as date) as date", "category", "order_count")
+    path = str(tmp_path / "panel")
+    files.save_table(df, path, partition_by="category")
+    assert {r.category for r in files.load_table(spark, path, PANEL_SCHEMA).collect()} == {"001", "002"}
+
+
+def test_values_that_do_not_fit_are_counted(spark, tmp_path):
+    path = write(tmp_path, "items.csv", "order_id,price\n1,2.50\n2,abc\n3,99999999999999.00\n4,\n")
+    got = {r.column_name: r.n_rejected for r in files.csv_rejects(spark, path, "order_id bigint, price decimal(12,2)").collect()}
+    assert got == {"order_id": 0, "price": 2}
+
+
+def test_staged_tables_go_to_the_named_folder_and_are_dropped(spark, tmp_path):
+    df = stage(spark.range(3).toDF("x"), "named")
+    assert df.count() == 3 and "/stockwave/" in df.inputFiles()[0]
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        assert spark.conf.get("spark.sql.warehouse.dir").split(":", 1)[-1].lstrip("/") in df.inputFiles()[0]
