@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+ROWS_PER_BUCKET = 1024
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,21 +34,21 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterato
             yield batch.slice(at, rows)
 
 
-def hex_digits(n_rows: int, rows_per_bucket: int) -> int:
-    """How many leading hex digits of a digest split ``n_rows`` into buckets of about that many rows."""
-    return min(7, max(1, math.ceil(math.log(max(1, n_rows) / rows_per_bucket, 16)))) if n_rows > rows_per_bucket else 1
+def bucket_bits(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """How many leading bits of a digest split ``n_rows`` into buckets of about that many rows."""
+    return min(24, max(4, (n_rows // rows_per_bucket).bit_length()))
 
 
 def running_sum(
-    df: DataFrame, group: str, key: str, value: Column, ties: Sequence[str], name: str, n_rows: int, rows_per_bucket: int = 4096
+    df: DataFrame, group: str, key: str, value: Column, ties: Sequence[str], name: str, n_rows: int
 ) -> DataFrame:
     """Adds the sum of ``value`` over the rows before this one, per group, in the order of a hex digest.
 
-    A group may hold most rows: rows are dealt to (group, leading digits of the digest), sums per
+    A group may hold most rows: rows are dealt to (group, leading bits of the digest), sums per
     bucket are added up first, and the rows of one bucket start from the sum of the buckets before.
     ``df`` is read twice, so it should be a stored table. ``group`` is not null.
     """
-    bucket = F.conv(F.substring(key, 1, hex_digits(n_rows, rows_per_bucket)), 16, 10).cast("int")
+    bucket = F.shiftright(F.conv(F.substring(key, 1, 8), 16, 10).cast("long"), 32 - bucket_bits(n_rows)).cast("int")
     rows = df.withColumn("_bucket", bucket).withColumn("_value", value)
     earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy(group, "_bucket").agg(F.sum("_value").alias("_sum"))

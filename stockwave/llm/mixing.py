@@ -12,12 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockwave.llm.common import hex_digits, running_sum, table, word_count
+from stockwave.llm.common import bucket_bits, running_sum, table, word_count
 from stockwave.session import stage
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-ROWS_PER_BUCKET = 4096
 
 
 def target_shares(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -62,13 +61,13 @@ def mix_plan(
     n_rows = items.count()
     t = targets.withColumnRenamed("source", "_source")
     placed = items.join(t, items.source.eqNullSafe(t._source)).drop("_source")
-    placed = running_sum(placed, "src", "key", F.col("size"), ["size"], "_start", n_rows, ROWS_PER_BUCKET)
+    placed = running_sum(placed, "src", "key", F.col("size"), ["size"], "_start", n_rows)
     placed = stage(placed.withColumn("_end", F.col("_start") + F.col("size")), "mix-placed")
 
     def finish(epoch):
         return (F.col("_end") + epoch * F.col("source_size")).cast("double") / F.col("target")
 
-    slots = 16 ** hex_digits(n_rows, ROWS_PER_BUCKET)
+    slots = 1 << bucket_bits(n_rows)
 
     def slot(at):  # times beyond 2 are rare (a document larger than its source's target): they share a slot
         return F.floor(F.least(at, F.lit(2.0)) * slots).cast("long")
