@@ -1,16 +1,8 @@
-import random
-
 import pytest
 
-SF = "/root/testdata/sf0.001"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, digest string, length int"
-WORDS = [a + b for a in ("ka", "lo", "mi", "nu", "pe", "ri", "so", "tu") for b in ("n", "r", "st", "l", "m", "x")]
-
-
-def sentence(seed: int, n: int) -> str:
-    draw = random.Random(seed)
-    return " ".join(draw.choice(WORDS) + str(draw.randrange(3)) for _ in range(n))
+from samples import sentence
 
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, digest string, length int"
 
 @pytest.fixture(scope="session")
 def odd_docs(spark):

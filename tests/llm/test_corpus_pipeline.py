@@ -5,7 +5,7 @@ from stockwave.llm import ngram_join, packing, pii, quality_model
 from stockwave.llm.common import table
 from stockwave.session import stage
 
-from conftest import SF
+from samples import SF
 from test_packing import check
 from test_ngram_join import shingle_set
 

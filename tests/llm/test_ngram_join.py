@@ -7,7 +7,7 @@ from stockwave.llm import ngram_join
 from stockwave.llm.common import table
 from stockwave.llm.components import components
 
-from conftest import SF, sentence
+from samples import SF, sentence
 
 
 def shingle_set(text):

@@ -5,7 +5,7 @@ import pytest
 from stockwave.llm import pii
 from stockwave.llm.common import table
 
-from conftest import SF
+from samples import SF
 
 PATTERNS = (
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -6,7 +6,7 @@ import pytest
 from stockwave.llm import quality_model as qm
 from stockwave.llm.common import table
 
-from conftest import SF, sentence
+from samples import SF, sentence
 
 
 @pytest.fixture(scope="module")

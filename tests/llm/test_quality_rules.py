@@ -7,7 +7,7 @@ import pytest
 from stockwave.llm import quality_rules
 from stockwave.llm.common import table
 
-from conftest import SF
+from samples import SF
 
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

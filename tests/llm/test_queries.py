@@ -8,7 +8,7 @@ import pytest
 import check
 from stockwave.llm.queries import ORACLES, QUERIES
 
-from conftest import SF
+from samples import SF
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 

@@ -5,7 +5,7 @@ import pytest
 from stockwave.llm import repeats
 from stockwave.llm.common import table
 
-from conftest import SF, sentence
+from samples import SF, sentence
 
 
 def brute(rows, min_words=repeats.MIN_WORDS, ends=r"\n+|(?<=[.!?])[ \t]+"):

@@ -5,7 +5,7 @@ import pytest
 from stockwave.llm import url_filter
 from stockwave.llm.common import table
 
-from conftest import SF
+from samples import SF
 
 
 @pytest.fixture(scope="module")
