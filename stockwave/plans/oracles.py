@@ -345,7 +345,7 @@ def oracles() -> dict[str, str]:
     nulls = " union all ".join(
         f"select '{c}' as column_name, count(*) filter (where {c} is null) as n_null from unified" for c in UNIFIED_COLUMNS
     )
-    q["null_profile"] = sql(f"select * from ({nulls}) where n_null > 0 order by n_null desc limit 20", "unified")
+    q["null_profile"] = sql(f"select * from ({nulls}) where n_null > 0 order by n_null desc, column_name limit 20", "unified")
 
     key = f"{d('date')} as date, category"
     q["lag_features"] = sql(f"select {key}, order_count, {cast_double(LAG_NAMES)} from lagged", "lagged")
