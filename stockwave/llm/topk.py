@@ -246,12 +246,12 @@ def op1_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 OP1_SQL = """
 with v as (
-  select distinct vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v from embeddings
+  select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
 scored as (
   select q.vec_id as query_id, c.vec_id,
-    list_sum(list_transform(list_zip(q.v, c.v), x -> coalesce(x[1], 0) * coalesce(x[2], 0)))::bigint as score
+    list_sum(list_transform(list_zip(q.v, c.v), lambda x: coalesce(x[1], 0) * coalesce(x[2], 0)))::bigint as score
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
 ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
 select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
