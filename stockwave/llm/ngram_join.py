@@ -9,9 +9,9 @@ only as many as the principle asks for, largest subsets first: an order that bot
 share, so none is lost.
 
 Documents with equal sets form one class. Classes that share an index entry are verified by
-intersecting their sets: first against one leader per entry, then, where an entry still holds
-classes that could be linked and are not yet connected, pair by pair. Since Jaccard distance is a
-metric, a class much nearer to the leader than another cannot be linked to it.
+intersecting their sets: first against one leader per entry, then, where classes could still be
+linked and are not yet connected, against each other. Since Jaccard distance is a metric, classes
+whose distances from a leader differ by more than a link allows cannot be linked.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,7 +35,10 @@ FIRST_BAND = 4  # smaller sets are linked to equal ones only
 BANDS = 26
 CHANCE = 0.1  # cost model: chance that a shingle is shared by an unrelated text; short texts, more often
 SPURIOUS = 200.0  # cost model: what verifying the matches of an empty subset costs, in index rows
-WIDTH = 64  # leaders per entry and round after the first
+APART = 0.2  # the greatest Jaccard distance of a link
+NEAR = 0.7  # Jaccard distance up to which classes are near to a leader
+BLOCK_SHINGLES = 500_000  # shingles of the sets that are compared in one task, on either side
+WIDTH = 64  # classes per entry and round that are compared with the others of the entry, where far from their leader
 CACHED_WORDS = 100_000
 MASK = (1 << 64) - 1
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -244,36 +248,89 @@ def connected(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame
     own = shingle_sets(docs, active)
     sets = stage(own, "ngram-sets")
 
-    # round 1: every class of an entry against the one that shares the most entries
+    # every class of an entry against the one that shares the most entries, its leader
     by_entry = Window.partitionBy("entry")
     leader = F.max(F.struct("weight", "class")).over(by_entry)["class"]
     ranked = members.join(active.select("class", "weight"), "class").withColumn("leader", leader).where("class <> leader").drop("weight")
     ranked = stage(ranked, "ngram-star")
     tried = stage(with_distance(ranked.select(F.col("class").alias("a"), F.col("leader").alias("b")).distinct(), sets), "ngram-tried")
     links = tried.where(is_link(80)).select("a", "b")
+    known = components(links).withColumnRenamed("node", "class")
+
+    # classes that their leader is near to but not connected with, against all that are near to it
     away = (1 - F.col("shared") / F.col("united")).alias("away")
-    near = ranked.join(tried.select(F.col("a").alias("class"), F.col("b").alias("leader"), away, is_link(80).alias("linked")), ["class", "leader"])
-    nearest = F.min(F.when(~F.col("linked"), F.col("away"))).over(by_entry)
-    # what is linked to the leader matters only as far as one that is not linked may lie within 0.2 of it
-    open_ = near.withColumn("_nearest", nearest).where(~F.col("linked") | (F.col("away") >= F.col("_nearest") - 0.2 - 1e-9))
+    star = stage(tried.select(F.col("a").alias("class"), F.col("b").alias("leader"), away), "ngram-distances")
+    found = near_links(star.where(F.col("away") <= NEAR), known, active, sets)
+    links = stage(links.unionByName(found), "ngram-links")
     known = components(links).withColumnRenamed("node", "class")
-    left = stage(unsettled(open_.select("entry", "class"), known), "ngram-open")
 
-    # further rounds: WIDTH classes of each open entry against the others
-    while left.limit(1).count():
+    # of two classes that could be linked and are not both near, both are farther than this
+    far = ranked.join(star.where(F.col("away") > NEAR - APART), ["class", "leader"])
+    left = stage(unsettled(far.select("entry", "class"), known), "ngram-open")
+    while left.limit(1).count():  # WIDTH classes of each open entry against the others
         ordered = left.withColumn("rank", F.row_number().over(by_entry.orderBy("class")))
         ordered = stage(ordered.join(active.select("class", "n"), "class"), "ngram-ranked")
         a = ordered.where(F.col("rank") <= WIDTH).select("entry", F.col("class").alias("a"), F.col("rank").alias("ra"), F.col("n").alias("na"), F.col("component").alias("ca"))
         b = ordered.select("entry", F.col("class").alias("b"), F.col("rank").alias("rb"), F.col("n").alias("nb"), F.col("component").alias("cb"))
         may = (F.col("ra") < F.col("rb")) & (F.col("ca") != F.col("cb")) & (F.col("na") * 5 >= F.col("nb") * 4) & (F.col("nb") * 5 >= F.col("na") * 4)
         pairs = a.join(b, "entry").where(may).select("a", "b").distinct()
-        links = links.unionByName(with_distance(pairs, sets).where(is_link(80)).select("a", "b"))
-        links = stage(links, "ngram-links")
+        links = stage(links.unionByName(with_distance(pairs, sets).where(is_link(80)).select("a", "b")), "ngram-links")
         known = components(links).withColumnRenamed("node", "class")
         left = stage(unsettled(ordered.where(F.col("rank") > WIDTH).select("entry", "class"), known), "ngram-open")
     return known
 
 
+def near_links(star: DataFrame, known: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that connect classes with what is near to the same leader: at least one per class and component linked to it.
+
+    Only classes outside the leader's component are asked, against all others, in blocks of bounded
+    size: as sets are compared within a block, no pairs are listed. Classes whose distances from the
+    leader differ by more than a link allows are passed over.
+    """
+    of_leader = known.select(F.col("class").alias("leader"), F.col("component").alias("_leader_component"))
+    placed = star.join(known, "class", "left").join(of_leader, "leader", "left").join(active.select("class", "n"), "class")
+    component = F.coalesce("component", "class")
+    placed = placed.select("leader", "class", "away", "n", component.alias("component"), (component != F.coalesce("_leader_component", "leader")).alias("open"))
+    placed = stage(placed, "ngram-near")
+    open_n = F.when(F.col("open"), F.col("n"))
+    sizes = placed.groupBy("leader").agg(
+        F.ceil(F.sum(open_n) / BLOCK_SHINGLES).cast("int").alias("n_asked"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("n_parts"),
+        F.min(F.when(F.col("open"), F.col("away"))).alias("nearest"), F.count(F.lit(1)).alias("n_classes"),
+    ).where("n_asked is not null and n_classes > 1")
+    rows = placed.join(sizes, "leader").where(F.col("away") >= F.col("nearest") - APART - 1e-9).join(sets, "class")
+
+    def dealt(by: str, salt: int) -> Column:
+        return F.pmod(F.xxhash64("class", F.lit(salt)), F.col(by)).cast("int")
+
+    columns = ["leader", "asked", "part", "class", "away", "component", "shingles"]
+    each_part = F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))
+    each_asked = F.explode(F.sequence(F.lit(0), F.col("n_asked") - 1))
+    asked = rows.where("open").withColumn("asked", dealt("n_asked", 1)).withColumn("part", each_part).select(*columns)
+    parts = rows.withColumn("part", dealt("n_parts", 2)).withColumn("asked", each_asked).select(*[F.col(c).alias(c) for c in columns])
+    key = ["leader", "asked", "part"]
+    return asked.groupBy(*key).cogroup(parts.groupBy(*key)).applyInPandas(match, "a long, b long")
+
+
+def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """One link of every class on the left with every other component on the right that it is linked to."""
+    links = []
+    if len(left) and len(right):
+        sizes = right["shingles"].map(len).to_numpy()
+        flat, owner = np.concatenate(right["shingles"].to_list()), np.repeat(np.arange(len(right)), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        classes, components_, away = (right[c].to_numpy() for c in ("class", "component", "away"))
+        for name, component, distance, own in zip(left["class"], left["component"], left["away"], left["shingles"]):
+            low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+            n = high - low
+            hits = np.arange(n.sum()) + np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+            shared = np.bincount(owner[hits], minlength=len(right))
+            linked = (100 * shared >= 80 * (sizes + len(own) - shared)) & (components_ != component) & (np.abs(away - distance) <= APART + 1e-9)
+            _, first = np.unique(components_[linked], return_index=True)
+            links += [(name, b) for b in classes[linked][first].tolist()]
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
 def unsettled(members: DataFrame, known: DataFrame) -> DataFrame:
     """Members of entries that hold classes of two components or more, with their component."""
     found = members.join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
