@@ -65,7 +65,7 @@ def mix_plan(
     placed = stage(placed.withColumn("_end", F.col("_start") + F.col("size")), "mix-placed")
 
     def finish(epoch):
-        return (F.col("_end") + epoch * F.col("source_size")).cast("double") / F.col("target")
+        return F.try_divide((F.col("_end") + epoch * F.col("source_size")).cast("double"), F.col("target"))
 
     slots = 1 << bucket_bits(n_rows)
 

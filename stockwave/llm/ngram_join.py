@@ -257,52 +257,62 @@ def connected(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame
     links = tried.where(is_link(80)).select("a", "b")
     known = components(links).withColumnRenamed("node", "class")
 
-    # classes that their leader is near to but not connected with, against all that are near to it
+    # each class joins the largest group of a leader it is near to, and groups are settled within
     away = (1 - F.col("shared") / F.col("united")).alias("away")
     star = stage(tried.select(F.col("a").alias("class"), F.col("b").alias("leader"), away), "ngram-distances")
-    found = near_links(star.where(F.col("away") <= NEAR), known, active, sets)
-    links = stage(links.unionByName(found), "ngram-links")
+    near = star.where(F.col("away") <= NEAR)
+    size = near.groupBy("leader").agg(F.count(F.lit(1)).alias("size"))
+    chosen = near.join(size, "leader").groupBy("class").agg(F.max(F.struct("size", "leader", "away")).alias("best")).select("class", "best.leader", "best.away")
+    heads = chosen.select(F.col("leader").alias("class")).distinct()
+    own = heads.select("class", F.col("class").alias("leader"), F.lit(0.0).alias("away"))
+    grouped = stage(chosen.join(heads, "class", "left_anti").unionByName(own), "ngram-groups")
+    group_of = grouped.select("class", F.col("leader").alias("grp"))
+    links = stage(links.unionByName(near_links(grouped, known, group_of.withColumn("grp", F.col("class")), active, sets)), "ngram-links")
+    known = components(links).withColumnRenamed("node", "class")
+
+    # then classes of different groups that are near to one leader
+    links = stage(links.unionByName(near_links(near, known, group_of, active, sets)), "ngram-links")
     known = components(links).withColumnRenamed("node", "class")
 
     # of two classes that could be linked and are not both near, both are farther than this
     far = ranked.join(star.where(F.col("away") > NEAR - APART), ["class", "leader"])
-    left = stage(unsettled(far.select("entry", "class"), known), "ngram-open")
+    left = stage(unsettled(far.select("entry", "class"), known, group_of), "ngram-open")
     while left.limit(1).count():  # WIDTH classes of each open entry against the others
         ordered = left.withColumn("rank", F.row_number().over(by_entry.orderBy("class")))
         ordered = stage(ordered.join(active.select("class", "n"), "class"), "ngram-ranked")
-        a = ordered.where(F.col("rank") <= WIDTH).select("entry", F.col("class").alias("a"), F.col("rank").alias("ra"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        b = ordered.select("entry", F.col("class").alias("b"), F.col("rank").alias("rb"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        may = (F.col("ra") < F.col("rb")) & (F.col("ca") != F.col("cb")) & (F.col("na") * 5 >= F.col("nb") * 4) & (F.col("nb") * 5 >= F.col("na") * 4)
-        pairs = a.join(b, "entry").where(may).select("a", "b").distinct()
+        a = ordered.where(F.col("rank") <= WIDTH).select("entry", *[F.col(c).alias(f"{c}_a") for c in ("class", "rank", "n", "component", "grp")])
+        b = ordered.select("entry", *[F.col(c).alias(f"{c}_b") for c in ("class", "rank", "n", "component", "grp")])
+        may = F.expr("rank_a < rank_b and component_a <> component_b and grp_a <> grp_b and n_a * 5 >= n_b * 4 and n_b * 5 >= n_a * 4")
+        pairs = a.join(b, "entry").where(may).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
         links = stage(links.unionByName(with_distance(pairs, sets).where(is_link(80)).select("a", "b")), "ngram-links")
         known = components(links).withColumnRenamed("node", "class")
-        left = stage(unsettled(ordered.where(F.col("rank") > WIDTH).select("entry", "class"), known), "ngram-open")
+        left = stage(unsettled(ordered.where(F.col("rank") > WIDTH).select("entry", "class"), known, group_of), "ngram-open")
     return known
 
 
-def near_links(star: DataFrame, known: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
+def near_links(star: DataFrame, known: DataFrame, group_of: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
     """Links that connect classes with what is near to the same leader: at least one per class and component linked to it.
 
-    Only classes outside the leader's component are asked, against all others, in blocks of bounded
-    size: as sets are compared within a block, no pairs are listed. Classes whose distances from the
-    leader differ by more than a link allows are passed over.
+    Only classes outside the leader's component are asked, against those of other groups, in blocks of
+    bounded size: as sets are compared within a block, no pairs are listed. Classes whose distances
+    from the leader differ by more than a link allows are passed over.
     """
     of_leader = known.select(F.col("class").alias("leader"), F.col("component").alias("_leader_component"))
-    placed = star.join(known, "class", "left").join(of_leader, "leader", "left").join(active.select("class", "n"), "class")
+    placed = star.join(known, "class", "left").join(of_leader, "leader", "left").join(group_of, "class", "left").join(active.select("class", "n"), "class")
     component = F.coalesce("component", "class")
-    placed = placed.select("leader", "class", "away", "n", component.alias("component"), (component != F.coalesce("_leader_component", "leader")).alias("open"))
+    placed = placed.select("leader", "class", "away", "n", F.coalesce("grp", "class").alias("grp"), component.alias("component"), (component != F.coalesce("_leader_component", "leader")).alias("open"))
     placed = stage(placed, "ngram-near")
     open_n = F.when(F.col("open"), F.col("n"))
     sizes = placed.groupBy("leader").agg(
         F.ceil(F.sum(open_n) / BLOCK_SHINGLES).cast("int").alias("n_asked"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("n_parts"),
-        F.min(F.when(F.col("open"), F.col("away"))).alias("nearest"), F.count(F.lit(1)).alias("n_classes"),
-    ).where("n_asked is not null and n_classes > 1")
+        F.min(F.when(F.col("open"), F.col("away"))).alias("nearest"), F.min("grp").alias("low"), F.max("grp").alias("high"),
+    ).where("n_asked is not null and low <> high")
     rows = placed.join(sizes, "leader").where(F.col("away") >= F.col("nearest") - APART - 1e-9).join(sets, "class")
 
     def dealt(by: str, salt: int) -> Column:
         return F.pmod(F.xxhash64("class", F.lit(salt)), F.col(by)).cast("int")
 
-    columns = ["leader", "asked", "part", "class", "away", "component", "shingles"]
+    columns = ["leader", "asked", "part", "class", "away", "component", "grp", "shingles"]
     each_part = F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))
     each_asked = F.explode(F.sequence(F.lit(0), F.col("n_asked") - 1))
     asked = rows.where("open").withColumn("asked", dealt("n_asked", 1)).withColumn("part", each_part).select(*columns)
@@ -319,24 +329,25 @@ def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         flat, owner = np.concatenate(right["shingles"].to_list()), np.repeat(np.arange(len(right)), sizes)
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], owner[order]
-        classes, components_, away = (right[c].to_numpy() for c in ("class", "component", "away"))
-        for name, component, distance, own in zip(left["class"], left["component"], left["away"], left["shingles"]):
+        classes, components_, away, groups_ = (right[c].to_numpy() for c in ("class", "component", "away", "grp"))
+        for name, component, distance, grp, own in zip(*[left[c] for c in ("class", "component", "away", "grp", "shingles")]):
             low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
             n = high - low
             hits = np.arange(n.sum()) + np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
             shared = np.bincount(owner[hits], minlength=len(right))
-            linked = (100 * shared >= 80 * (sizes + len(own) - shared)) & (components_ != component) & (np.abs(away - distance) <= APART + 1e-9)
+            linked = (100 * shared >= 80 * (sizes + len(own) - shared)) & (components_ != component) & (groups_ != grp) & (np.abs(away - distance) <= APART + 1e-9)
             _, first = np.unique(components_[linked], return_index=True)
             links += [(name, b) for b in classes[linked][first].tolist()]
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def unsettled(members: DataFrame, known: DataFrame) -> DataFrame:
-    """Members of entries that hold classes of two components or more, with their component."""
-    found = members.join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
+def unsettled(members: DataFrame, known: DataFrame, group_of: DataFrame) -> DataFrame:
+    """Members of entries that hold two components and two groups or more, with component and group."""
+    found = members.join(known, "class", "left").join(group_of, "class", "left")
+    found = found.select("entry", "class", F.coalesce("component", "class").alias("component"), F.coalesce("grp", "class").alias("grp"))
     by_entry = Window.partitionBy("entry")
-    mixed = found.withColumn("_low", F.min("component").over(by_entry)).withColumn("_high", F.max("component").over(by_entry))
-    return mixed.where("_low <> _high").drop("_low", "_high")
+    mixed = found.select("*", *[f(c).over(by_entry).alias(f"{c}_{name}") for c in ("component", "grp") for name, f in (("low", F.min), ("high", F.max))])
+    return mixed.where("component_low <> component_high and grp_low <> grp_high").select("entry", "class", "component", "grp")
 
 
 def shingle_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
