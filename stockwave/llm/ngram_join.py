@@ -9,8 +9,8 @@ only as many as the principle asks for, largest subsets first: an order that bot
 share, so none is lost.
 
 Documents with equal sets form one class. Classes that share an index entry are verified by
-intersecting their sets: first against one leader per entry, then, where classes could still be
-linked and are not yet connected, against each other. Since Jaccard distance is a metric, classes
+intersecting their sets: first against one leader per entry, then, where they are not yet
+connected, against the others that have that leader, in blocks. Since Jaccard distance is a metric, classes
 whose distances from a leader differ by more than a link allows cannot be linked.
 """
 
@@ -36,9 +36,8 @@ BANDS = 26
 CHANCE = 0.1  # cost model: chance that a shingle is shared by an unrelated text; short texts, more often
 SPURIOUS = 200.0  # cost model: what verifying the matches of an empty subset costs, in index rows
 APART = 0.2  # the greatest Jaccard distance of a link
-NEAR = 0.7  # Jaccard distance up to which classes are near to a leader
+NEAR = 0.7  # Jaccard distance up to which a class joins the group of a leader
 BLOCK_SHINGLES = 500_000  # shingles of the sets that are compared in one task, on either side
-WIDTH = 64  # classes per entry and round that are compared with the others of the entry, where far from their leader
 CACHED_WORDS = 100_000
 MASK = (1 << 64) - 1
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -267,31 +266,21 @@ def connected(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame
     own = heads.select("class", F.col("class").alias("leader"), F.lit(0.0).alias("away"))
     grouped = stage(chosen.join(heads, "class", "left_anti").unionByName(own), "ngram-groups")
     group_of = grouped.select("class", F.col("leader").alias("grp"))
-    links = stage(links.unionByName(near_links(grouped, known, group_of.withColumn("grp", F.col("class")), active, sets)), "ngram-links")
-    known = components(links).withColumnRenamed("node", "class")
+    found = leader_links(grouped, known, group_of.withColumn("grp", F.col("class")), active, sets)
+    known = joined_by(known, found)
 
-    # then classes of different groups that are near to one leader
-    links = stage(links.unionByName(near_links(near, known, group_of, active, sets)), "ngram-links")
-    known = components(links).withColumnRenamed("node", "class")
+    # then all classes of different groups that have a leader in common
+    return joined_by(known, leader_links(star, known, group_of, active, sets))
+
+
+def joined_by(known: DataFrame, links: DataFrame) -> DataFrame:
+    """(class, component) after more links."""
+    edges = known.select(F.col("class").alias("a"), F.col("component").alias("b")).unionByName(links)
+    return components(edges).withColumnRenamed("node", "class")
 
-    # of two classes that could be linked and are not both near, both are farther than this
-    far = ranked.join(star.where(F.col("away") > NEAR - APART), ["class", "leader"])
-    left = stage(unsettled(far.select("entry", "class"), known, group_of), "ngram-open")
-    while left.limit(1).count():  # WIDTH classes of each open entry against the others
-        ordered = left.withColumn("rank", F.row_number().over(by_entry.orderBy("class")))
-        ordered = stage(ordered.join(active.select("class", "n"), "class"), "ngram-ranked")
-        a = ordered.where(F.col("rank") <= WIDTH).select("entry", *[F.col(c).alias(f"{c}_a") for c in ("class", "rank", "n", "component", "grp")])
-        b = ordered.select("entry", *[F.col(c).alias(f"{c}_b") for c in ("class", "rank", "n", "component", "grp")])
-        may = F.expr("rank_a < rank_b and component_a <> component_b and grp_a <> grp_b and n_a * 5 >= n_b * 4 and n_b * 5 >= n_a * 4")
-        pairs = a.join(b, "entry").where(may).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
-        links = stage(links.unionByName(with_distance(pairs, sets).where(is_link(80)).select("a", "b")), "ngram-links")
-        known = components(links).withColumnRenamed("node", "class")
-        left = stage(unsettled(ordered.where(F.col("rank") > WIDTH).select("entry", "class"), known, group_of), "ngram-open")
-    return known
-
-
-def near_links(star: DataFrame, known: DataFrame, group_of: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links that connect classes with what is near to the same leader: at least one per class and component linked to it.
+
+def leader_links(star: DataFrame, known: DataFrame, group_of: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between classes that have a leader in common: at least one per class and component linked to it.
 
     Only classes outside the leader's component are asked, against those of other groups, in blocks of
     bounded size: as sets are compared within a block, no pairs are listed. Classes whose distances
@@ -341,15 +330,6 @@ def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def unsettled(members: DataFrame, known: DataFrame, group_of: DataFrame) -> DataFrame:
-    """Members of entries that hold two components and two groups or more, with component and group."""
-    found = members.join(known, "class", "left").join(group_of, "class", "left")
-    found = found.select("entry", "class", F.coalesce("component", "class").alias("component"), F.coalesce("grp", "class").alias("grp"))
-    by_entry = Window.partitionBy("entry")
-    mixed = found.select("*", *[f(c).over(by_entry).alias(f"{c}_{name}") for c in ("component", "grp") for name, f in (("low", F.min), ("high", F.max))])
-    return mixed.where("component_low <> component_high and grp_low <> grp_high").select("entry", "class", "component", "grp")
-
-
 def shingle_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
     """class and shingles of the classes in ``active``, each from the text of its first document."""
     wanted = active.select(F.col("class").alias("_class"), F.col("first.doc_id").alias("_doc"), F.col("first.digest").alias("_digest"))

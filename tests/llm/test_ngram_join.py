@@ -88,8 +88,8 @@ def test_chain_of_copies(spark):
 
 
 def test_many_texts_in_one_entry(spark, monkeypatch):
-    """More open classes in an entry than one round can lead."""
-    monkeypatch.setattr(ngram_join, "WIDTH", 3)
+    """Open classes of a leader in more than one block."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300)
     draw = random.Random(6)
     passage = sentence(12, 40)
     texts = [f"{passage} {sentence(100 + i // 2, 12)}" for i in range(60)]
