@@ -37,6 +37,7 @@ CHANCE = 0.1  # cost model: chance that a shingle is shared by an unrelated text
 SPURIOUS = 200.0  # cost model: what verifying the matches of an empty subset costs, in index rows
 APART = 0.2  # the greatest Jaccard distance of a link
 NEAR = 0.7  # Jaccard distance up to which a class joins the group of a leader
+FILTER_BITS = 1 << 27  # of the bitmap of wanted texts, 16 MB
 BLOCK_SHINGLES = 500_000  # shingles of the sets that are compared in one task, on either side
 CACHED_WORDS = 100_000
 MASK = (1 << 64) - 1
@@ -331,24 +332,43 @@ def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 
 
 def shingle_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
-    """class and shingles of the classes in ``active``, each from the text of its first document."""
-    wanted = active.select(F.col("class").alias("_class"), F.col("first.doc_id").alias("_doc"), F.col("first.digest").alias("_digest"))
-    texts = docs.select("doc_id", "text", F.md5("text").alias("digest"))
-    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("digest") == F.col("_digest")))
+    """class and shingles of the classes in ``active``, each from the text of its first document.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
-        for batch in small_batches(batches):
-            names, parts = [], []
-            for text, name in zip(batch.column("text").to_pylist(), batch.column("_class").to_pylist()):
-                names.append(name)
-                parts.append(shingles(text, hashes))
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-            flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["class", "shingles"])
+    A bitmap of the wanted texts' digests, of ``FILTER_BITS`` bits at most, lets a scan of ``docs`` pass over
+    almost all other texts, so that sets are shuffled and not texts. Where it is full it spares
+    nothing; the join with the wanted classes decides.
+    """
+    n = active.count()
+    n_bits = min(FILTER_BITS, 1 << max(15, (16 * n).bit_length()))
+    position = F.pmod(F.xxhash64("digest"), F.lit(n_bits)).cast("long") + 1  # bitmaps count from 1
+    wanted = active.select("class", F.col("first.digest").alias("digest"))
+    at = wanted.select(position.alias("p")).select(F.expr("bitmap_bucket_number(p)").alias("bucket"), F.expr("bitmap_bit_position(p)").alias("bit"))
+    parts = at.groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect()  # n_bits / 32768 rows of 4 KB
+    bitmap = np.zeros(n_bits // 8, np.uint8)
+    for row in parts:
+        bitmap[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(bytes(row.bits), np.uint8)
 
-    found = texts.select("text", "_class").mapInArrow(run, "class long, shingles array<long>")
-    return found.groupBy("class").agg(F.first("shingles").alias("shingles"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, seen = word_hashes(), set()
+        for batch in batches:
+            bit = batch.column("p").to_numpy() - 1
+            wanted_rows = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7)) & 1)
+            for small in small_batches(iter([batch.take(pa.array(wanted_rows))])):
+                names, sets = [], []
+                for text in small.column("text").to_pylist():
+                    own = shingles(text, hashes)
+                    name = class_of(own) if len(own) else None
+                    if name is not None and name not in seen:
+                        seen.add(name)
+                        names.append(name)
+                        sets.append(own)
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+                flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["class", "shingles"])
+
+    rows = docs.select("text", F.md5("text").alias("digest")).where("digest is not null").select("text", position.alias("p"))
+    found = rows.mapInArrow(run, "class long, shingles array<long>")
+    return found.join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.first("shingles").alias("shingles"))
 
 
 def resolved(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
