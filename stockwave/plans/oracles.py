@@ -713,9 +713,11 @@ def oracles() -> dict[str, str]:
         coalesce(nullif(case when s_suppkey % 13 = 0 then -1 else abs(s_acctbal)*100 end, 0), 500000e0) as budget, zt.z, 0.25e0 as holding_rate, 0.4e0 as stockout_rate
         from supplier join (values {z_rows}) zt(level, z) on abs(zt.level - case when s_suppkey % 7 = 0 then 0.3e0
           when s_suppkey % 7 <> 1 then 0.8e0 + (s_suppkey % 21)/100e0 else 0.95e0 end) < 1e-9) using (scenario)"""
-    q["plan_requests_rejected"] = f"""with items as {batch_items}, asked as (select s_suppkey as request_id, s_suppkey % 13 = 0 as bad from supplier)
-        select request_id, null::varchar as category, 'budget' as errors from asked where bad
-        union all select request_id, null, 'no items' from asked where not bad and request_id not in (select scenario from items where current_stock >= 0)
+    q["plan_requests_rejected"] = f"""with items as {batch_items}, asked as (select s_suppkey as request_id,
+          concat_ws(',', case when s_suppkey % 13 = 0 then 'budget' end,
+            case when s_suppkey % 7 not in (0, 1) and s_suppkey % 21 = 20 then 'service_level' end) as broken from supplier)
+        select request_id, null::varchar as category, broken as errors from asked where broken <> ''
+        union all select request_id, null, 'no items' from asked where broken = '' and request_id not in (select scenario from items where current_stock >= 0)
         union all select scenario, category, 'current_stock' from items where current_stock < 0
         union all select scenario, category, 'unknown request' from items where current_stock >= 0 and scenario not in (select request_id from asked)"""
     q["reorder_batch"] = "with " + plan_ctes(f"(select * from {batch_items} where current_stock >= 0 and scenario % 13 <> 0)", batch_limits).lstrip() + f"""
