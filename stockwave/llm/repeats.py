@@ -1,7 +1,9 @@
-"""Substring deduplication by hashing normalised units: lines, paragraphs, or the sentences of lines.
+"""Substring deduplication by hashing normalised units.
 
 Digests of all units are grouped over the whole corpus; of equal units the earliest stays, by document
-and place, and all others are listed for removal with their offsets in the original text.
+and place, and all others are listed for removal with their offsets in the original text. A unit is a
+line, a paragraph or a sentence; passages are found from units of all kinds at once, from runs of short
+ones, and from runs of words whose place depends on the words only, so that no mark is needed.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockwave.llm.common import small_batches, table
@@ -24,6 +26,15 @@ ENDS = {"paragraph": r"\n[ \t\r]*\n\s*", "line": r"\n+", "sentence": r"\n+|(?<=[
 UNIT = "sentence"
 MIN_WORDS = 8  # shorter units repeat by chance
 
+#: Scripts written without blanks: each character is a token, and two count as one word.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff00-\uff65\U00020000-\U0003ffff"
+MARKS = ".!?\u2026\u0589\u061f\u06d4\u0964\u0965\u1362\u104a\u104b\u17d4\u17d5\u3002\uff01\uff0e\uff1f\uff61"
+CLOSERS = "\"')]}\u00bb\u2019\u201d\u300d\u300f\u3011\uff09"
+RUN_WORDS = 16  # of a run that starts at a chosen word instead of a mark
+WINDOW = 16  # of this many successive words one at least starts such a run
+FILTER_BITS = 1 << 28  # of the bitmap of repeated digests
+BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xC2B2AE3D27D4EB4F)  # odd, for sums modulo 2^64
+
 
 def cut(text: str, ends: re.Pattern, min_words: int) -> Iterator[tuple[int, int, int, str]]:
     """(start, end, words, normal form) of the units of a text: lower case, single blanks."""
@@ -75,16 +86,211 @@ def repeated_units(docs: DataFrame, unit: str = UNIT, min_words: int = MIN_WORDS
     return again.where(~same).select("doc_id", "start", "end", "n_words", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start")).distinct()
 
 
-def without_repeats(docs: DataFrame, unit: str = UNIT, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` without the repeated units of their texts; other columns stay."""
-    spans = repeated_units(docs, unit, min_words).groupBy(F.col("doc_id").alias("_doc"))
+class Powers:
+    """Powers of the bases and of their inverses, as far as asked for."""
+
+    def __init__(self):
+        self.known = 0
+
+    def upto(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        if n > self.known:
+            self.known = max(1 << 14, 2 * n)
+            self.tables = [tuple(self.table(x) for x in (b, pow(b, -1, 1 << 64))) for b in BASES]
+        return self.tables
+
+    def table(self, base: int) -> np.ndarray:
+        factors = np.full(self.known + 1, base, np.uint64)
+        factors[0] = 1
+        return np.multiply.accumulate(factors)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def kinds_of_characters() -> np.ndarray:
+    """Per code point: 1 for white space, 2 for a script without blanks, plus 4 for a mark and 8 for a closing quote or bracket."""
+    kinds = np.zeros(0x110000, np.uint8)
+    bounds = re.findall("(.)-(.)", UNSPACED)
+    for low, high in bounds:
+        kinds[ord(low) : ord(high) + 1] = 2
+    for c in range(0x3001):
+        if chr(c).isspace():
+            kinds[c] = 1
+    for more, characters in ((4, MARKS), (8, CLOSERS)):
+        kinds[[ord(c) for c in characters]] += more
+    return kinds
+
+
+def prefix_sums(values: np.ndarray, power: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * power[: len(values)], dtype=np.uint64)])
+
+
+def passages(text: str, kinds: np.ndarray, powers: Powers) -> np.ndarray | None:
+    """Rows of (start and end, first token and token after the last, high, low) of all units of a text, sorted; two numbers of 32 bits are one of 64.
+
+    Units are the paragraphs, lines and sentences of ``MIN_WORDS`` words or more; from every mark the
+    shortest run up to a mark that has as many; and runs of ``RUN_WORDS`` words from words chosen by the
+    hash of the four words there, the least in a window. A shared passage of ``RUN_WORDS + WINDOW - 1`` words
+    in any place has a unit in common.
+    """
+    lower = text.lower()
+    if len(lower) != len(text):  # offsets are those of the text
+        lower = "".join(x if len(x := c.lower()) == 1 else c for c in text)
+    chars = np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = kinds[chars]
+    blank, single = (kind & 1) > 0, (kind & 2) > 0
+    if not len(chars) or blank.all():
+        return None
+    before = np.concatenate([[True], blank[:-1]])
+    cut_here = ~blank & (before | single | np.concatenate([[False], single[:-1]]))
+    starts = np.flatnonzero(cut_here)
+    n = len(starts)
+    stops = np.concatenate([starts[1:], [len(chars)]])
+    blanks = np.concatenate([[0], np.cumsum(blank)])
+    ends = stops - (blanks[stops] - blanks[starts])  # blanks follow the token
+    (p0, q0), *doubles = powers.upto(len(chars) + 1)
+    sums = prefix_sums(mixed(chars.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)), p0)
+    token = mixed((sums[ends] - sums[starts]) * q0[starts] + (ends - starts).astype(np.uint64))
+    word_start = before[starts]
+    weight = np.concatenate([[0], np.cumsum(np.where(single[starts] & ~word_start, 1, 2))])
+
+    newlines = np.concatenate([[0], np.cumsum(chars == 10)])
+    n_newlines = newlines[stops] - newlines[ends]
+    last = chars[ends - 1]
+    after = chars[np.minimum(ends, len(chars) - 1)]
+    full_stop = ((last == 46) | (last == 33) | (last == 63)) & (stops > ends) & ((after == 32) | (after == 9))
+    tail = ends - 1
+    closing = (kind[tail] & 8) > 0
+    for _ in range(3):  # the mark before closing quotes
+        tail = np.where(((kind[tail] & 8) > 0) & (tail > starts), tail - 1, tail)
+    mark = (n_newlines > 0) | (((kind[tail] & 4) > 0) & ((stops > ends) | single[starts])) | (closing & single[starts])
+
+    found = []
+    for end in (n_newlines > 1, n_newlines > 0, (n_newlines > 0) | full_stop):
+        end = end.copy()
+        end[-1] = True
+        b = np.flatnonzero(end) + 1
+        found.append(np.stack([np.concatenate([[0], b[:-1]]), b], 1))
+    mark[-1] = True
+    b = np.flatnonzero(mark) + 1
+    a = np.concatenate([[0], b[:-1]])
+    at = np.searchsorted(weight[b], weight[a] + 2 * MIN_WORDS)
+    found.append(np.stack([a[at < len(b)], b[at[at < len(b)]]], 1))
+    pairs = np.concatenate(found)
+    pairs = pairs[weight[pairs[:, 1]] - weight[pairs[:, 0]] >= 2 * MIN_WORDS]
+    if not len(pairs):
+        return None
+    joined = np.unique(pairs[:, 0] * (n + 1) + pairs[:, 1])
+    a, b = joined // (n + 1), joined % (n + 1)
+    digests = []
+    for salt, (p, q) in enumerate(doubles, 1):
+        sums = prefix_sums(mixed(token + np.uint64(salt)), p)
+        digests.append(mixed((sums[b] - sums[a]) * q[a] + (b - a).astype(np.uint64)).view(np.int64))
+    return np.stack([starts[a] << 32 | ends[b - 1], a << 32 | b, *digests], 1)
+
+
+PLACE = ["place", "tokens", "high", "low"]
+
+
+def repeated_digests(docs: DataFrame) -> np.ndarray:
+    """A bitmap of ``FILTER_BITS`` bits at most of the digests that occur twice or more; only 64 bits per unit are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, powers = kinds_of_characters(), Powers()
+        for batch in small_batches(batches):
+            found = [x[:, 3] for t in batch.column("text").to_pylist() if t and (x := passages(t, kinds, powers)) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))], ["low"])
+
+    keys = docs.select("text").mapInArrow(run, "low long")
+    many = stage(keys.groupBy("low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("low"), "repeated-digests")
+    n_bits = min(FILTER_BITS, 1 << max(15, (16 * many.count()).bit_length()))
+    p = F.col("low").bitwiseAND(F.lit(n_bits - 1)) + 1  # bitmaps count from 1
+    at = many.select(p.alias("p")).select(F.expr("bitmap_bucket_number(p)").alias("bucket"), F.expr("bitmap_bit_position(p)").alias("bit"))
+    bitmap = np.zeros(n_bits // 8, np.uint8)
+    for row in at.groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).toLocalIterator():
+        bitmap[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(bytes(row.bits), np.uint8)
+    return bitmap
+
+
+def copy_of(text: str) -> Column:
+    """24 bits of the hash of a text: tells the texts of one doc_id apart."""
+    return F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFF))
+
+
+def passage_units(docs: DataFrame) -> DataFrame:
+    """doc_id, copy (hash of the text) and the units of every row whose digest the bitmap holds to be repeated."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(repeated_digests(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, powers, bits = kinds_of_characters(), Powers(), bitmap.value
+        for batch in small_batches(batches):
+            owner, found = [np.zeros(0, np.int64)], [np.zeros((0, len(PLACE)), np.int64)]
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                own = passages(text, kinds, powers) if text else None
+                if own is not None:
+                    p = own[:, 3] & (len(bits) * 8 - 1)
+                    own = own[(bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0]
+                    owner.append(np.full(len(own), i))
+                    found.append(own)
+            rows, which = np.concatenate(found), pa.array(np.concatenate(owner))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(which), batch.column("copy").take(which), *(pa.array(c) for c in rows.T.copy())], ["doc_id", "copy", *PLACE])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", copy_of("text").alias("copy"), "text").mapInArrow(run, f"doc_id {kind}, copy long, " + ", ".join(f"{c} long" for c in PLACE))
+
+
+def passage_spans(docs: DataFrame) -> DataFrame:
+    """The columns of ``repeated_passages``, and copy, the hash of the text in which a span lies."""
+    found = stage(passage_units(docs), "passage-units")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "place", "copy", "tokens")
+    firsts = found.groupBy("high", "low").agg(F.min(first).alias("first"))
+    again = found.join(firsts, ["high", "low"])
+
+    def high(pair: str) -> Column:
+        return F.shiftright(pair, 32)
+
+    def low(pair: str) -> Column:
+        return F.col(pair).bitwiseAND(F.lit(0xFFFFFFFF))
+
+    on_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (high("place") < low("first.place"))  # itself, or a run that overlaps it
+    kept = [F.col("first.doc_id").alias("kept_doc_id"), F.col("first.copy").alias("kept_copy"), high("first.place").alias("kept_start")]
+    listed = again.where(~on_first).select("doc_id", "copy", "place", "tokens", *kept, (high("tokens") - high("first.tokens")).alias("shift"))
+    # units of one passage are one span; a window holds units of one document
+    key = ["doc_id", "copy", "kept_doc_id", "kept_copy", "shift"]
+    order = Window.partitionBy(*key).orderBy("tokens")
+    so_far = F.max(low("tokens")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = listed.withColumn("_so_far", so_far).withColumn("_new", F.when(high("tokens") <= F.col("_so_far"), 0).otherwise(1))
+    spans = fresh.withColumn("_span", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*key, "_span")
+    n_words = F.max(low("tokens")) - F.min(high("tokens"))
+    spans = spans.agg(F.min(high("place")).alias("start"), F.max(low("place")).alias("end"), n_words.alias("n_words"), F.min("kept_start").alias("kept_start"))
+    return spans.select("doc_id", "copy", "start", "end", "n_words", "kept_doc_id", "kept_start")
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """Spans to remove, as in ``repeated_units``, from units of all kinds and runs of them (see ``passages``).
+
+    Units that meet and repeat the same place are one span; spans that repeat different places may overlap.
+    A run that overlaps its own first occurrence stays. n_words counts characters where there are no blanks. Rows with one doc_id count as one document. The
+    table is read twice: only units whose digest occurs twice are written with their places.
+    """
+    return passage_spans(docs).drop("copy").distinct()
+
+
+def without_repeats(docs: DataFrame, unit: str | None = None, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without the repeated passages of their texts, or the repeated units of one kind; other columns stay."""
+    own = copy_of("text") if unit is None else F.lit(0).cast("long")
+    spans = passage_spans(docs) if unit is None else repeated_units(docs, unit, min_words).withColumn("copy", own)
+    spans = spans.groupBy(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"))
     spans = spans.agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))  # of one document
 
     @F.pandas_udf("string")
     def drop(texts: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([without(t, s) for t, s in zip(texts, found)], dtype=object)
 
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    joined = docs.withColumn("_own", own).join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_copy")), "left")
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(drop("text", "_spans"))
     return joined.withColumn("text", text).select(*docs.columns)
 
@@ -93,11 +299,11 @@ def without(text: str | None, spans) -> str | None:
     if text is None or spans is None:
         return text
     out, at = [], 0
-    for s in spans:
+    for s in spans:  # sorted; they may overlap
         out.append(text[at : s["start"]])
-        at = s["end"]
+        at = max(at, s["end"])
     return "".join([*out, text[at:]])
 
 
 def op5_unit_hashing(spark: SparkSession, folder: str) -> DataFrame:
-    return repeated_units(table(spark, folder, "documents"))
+    return repeated_passages(table(spark, folder, "documents"))

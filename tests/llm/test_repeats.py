@@ -63,3 +63,51 @@ def test_other_units(spark, unit):
     assert {r.doc_id for r in found} == {2, 3}
     n = {"paragraph": 2, "line": 3, "sentence": 4}[unit]
     assert len(found) == 2 * n and {r.kept_doc_id for r in found} == {1}
+
+
+def shared(kind):
+    words = sentence(900, 56).split()
+    pieces = [words[i : i + 4] for i in range(0, 56, 4)]
+    if kind == "sentences":
+        return ". ".join(map(" ".join, pieces)) + "."
+    if kind == "lines":
+        return "\n".join(map(" ".join, pieces))
+    if kind == "unmarked":
+        return " ".join(words)
+    return "".join(chr(0x4E00 + i * 37 % 5000) + "。" * (i % 9 == 8) for i in range(110))  # without blanks
+
+
+@pytest.mark.parametrize("kind", ["sentences", "lines", "unspaced"])
+def test_passages_of_any_form(spark, kind):
+    passage = shared(kind)
+    rows = [(i, f"{sentence(i, 30)}{' ' if kind != 'lines' else chr(10)}{passage} {sentence(50 + i, 30)}") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = repeats.repeated_passages(docs).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3, 4} and {r.kept_doc_id for r in found} == {0}
+    texts = dict(rows)
+    for r in found:
+        own, kept = texts[r.doc_id][r.start : r.end], texts[r.kept_doc_id][r.kept_start :]
+        assert kept.startswith(own) and own in passage
+        assert kind == "unspaced" or r.n_words == len(own.split())
+        assert len(own) >= 0.6 * len(passage)
+    clean = {r.doc_id: r.text for r in repeats.without_repeats(docs).collect()}
+    assert clean[0] == texts[0]
+    assert all(clean[i].startswith(sentence(i, 30)) and clean[i].endswith(sentence(50 + i, 30)) for i in clean)
+
+
+def test_a_whole_line_of_short_sentences(spark):
+    docs = spark.createDataFrame([(i, f"{sentence(i, 9)}\nOne two. Three four. Five six. Seven eight.\n{sentence(20 + i, 9)}") for i in range(2)], "doc_id long, text string")
+    assert [(r.doc_id, r.n_words, r.kept_doc_id) for r in repeats.repeated_passages(docs).collect()] == [(1, 8, 0)]
+
+
+def test_passages_hold_all_repeated_units(spark):
+    docs = table(spark, SF, "documents")
+    covered = {}
+    for r in repeats.repeated_passages(docs).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    assert all(set(range(start, end)) <= covered[doc_id] for doc_id, start, end, *_ in brute(docs.collect()))
+
+
+def test_a_run_that_overlaps_itself_stays(spark):
+    docs = spark.createDataFrame([(1, " ".join(["ha."] * 40))], "doc_id long, text string")
+    assert repeats.without_repeats(docs).collect()[0].text.split() == ["ha."] * 8
