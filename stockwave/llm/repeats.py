@@ -179,6 +179,15 @@ def passages(text: str, kinds: np.ndarray, powers: Powers) -> np.ndarray | None:
     a = np.concatenate([[0], b[:-1]])
     at = np.searchsorted(weight[b], weight[a] + 2 * MIN_WORDS)
     found.append(np.stack([a[at < len(b)], b[at[at < len(b)]]], 1))
+    if n >= 4:
+        p, q = doubles[0]
+        own = prefix_sums(token, p)
+        gram = mixed((own[4:] - own[:-4]) * q[: n - 3])
+        if len(gram) >= WINDOW:
+            view = np.lib.stride_tricks.sliding_window_view(gram, WINDOW)
+            a = np.unique(view.argmin(1) + np.arange(len(view)))
+            b = np.searchsorted(weight, weight[a] + 2 * RUN_WORDS)
+            found.append(np.stack([a[b <= n], b[b <= n]], 1))
     pairs = np.concatenate(found)
     pairs = pairs[weight[pairs[:, 1]] - weight[pairs[:, 0]] >= 2 * MIN_WORDS]
     if not len(pairs):

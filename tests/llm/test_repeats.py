@@ -77,7 +77,7 @@ def shared(kind):
     return "".join(chr(0x4E00 + i * 37 % 5000) + "。" * (i % 9 == 8) for i in range(110))  # without blanks
 
 
-@pytest.mark.parametrize("kind", ["sentences", "lines", "unspaced"])
+@pytest.mark.parametrize("kind", ["sentences", "lines", "unmarked", "unspaced"])
 def test_passages_of_any_form(spark, kind):
     passage = shared(kind)
     rows = [(i, f"{sentence(i, 30)}{' ' if kind != 'lines' else chr(10)}{passage} {sentence(50 + i, 30)}") for i in range(5)]
