@@ -26,7 +26,7 @@ TRUST = 0.8  # score from which a pattern speaks for its instances
 BELIEF = 0.9  # score from which an instance is reported
 SMOOTHING = 1.0
 CONTEXT_CHARS = 48
-MIN_DIGITS, MAX_DIGITS = 7, 20  # of a number-like candidate; longer runs are tables, not identifiers
+MIN_DIGITS, MAX_DIGITS = 7, 20  # of a number-like candidate; the groups of a longer run are candidates of their own
 MAX_IDENTIFIER = 128  # characters of a candidate word
 MIN_MIXED_DIGITS = 4  # of a candidate with letters
 
@@ -35,7 +35,8 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-NUMBER = re.compile(r"(?<![0-9])\(?[0-9](?:[\x20().-]{0,2}[0-9])+")
+NUMBER = re.compile(r"(?<![0-9])\(?[0-9](?:(?!\.\x20)[\x20().-]{0,2}[0-9])+")  # a full stop and a blank end a sentence
+GROUP = re.compile(r"\(?[0-9][^\x20]*")  # of a number, up to the next blank
 TELLING = re.compile(r"[0-9@]")
 BLANK = frozenset(" \t\n\v\f\r")
 EDGES = ".,;:!?()\"'[]{}<>*$%&#|="
@@ -119,6 +120,10 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[i
         if n_digits >= MIN_DIGITS and (start == 0 or not text[start - 1].isalnum()) and (number.end() == n or not text[number.end()].isalnum()):
             if n_digits <= MAX_DIGITS:
                 yield start, number.end()
+            else:
+                for group in GROUP.finditer(text, start, number.end()):
+                    if MIN_DIGITS <= len(digits_of(group.group())) <= MAX_DIGITS:
+                        yield group.span()
             pos = number.end()
             continue
         left, right = start, start + 1

@@ -97,3 +97,13 @@ def test_query_columns(spark):
         assert r.base_sha256 == pii.digest_of(base)
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in range(4)]
         assert set(f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in base) <= set(r.spans.split(",")) | {""}
+
+
+@pytest.mark.parametrize("text, parts", [
+    ("so 0175557713 0175557714 0175557715 it", ["0175557713", "0175557714", "0175557715"]),
+    ("so 0175557713. 0175557714. 0175557715 it", ["0175557713", "0175557714", "0175557715"]),
+    ("at 017 555 7713. 24 hours", ["017 555 7713"]),
+    ("at (017) 555-7713 now", ["(017) 555-7713"[1:]]),
+])
+def test_numbers_side_by_side(text, parts):
+    assert [text[a:b] for a, b in pii.candidates(text, [])] == parts
