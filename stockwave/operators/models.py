@@ -6,17 +6,20 @@ Predictions are long, (category, date, model, y, yhat), and are matched by key,
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockwave.operators.explore import top_n
 from stockwave.operators.features import feature_columns, series
 from stockwave.params import SEQUENCE_LENGTH, STATIC_WEIGHTS, TARGET, BoostingParams
+from stockwave.session import stage
 
 ABSENT_MODEL_VALUE = 100.0
 PREDICTION = ("category", "date", "model", "y", "yhat")
@@ -223,30 +226,79 @@ def score_sequences(model: PipelineModel, windows: DataFrame) -> DataFrame:
 # --- boosted trees ---------------------------------------------------------------------------
 
 
+class BoostedFit(NamedTuple):
+    """A boosted model cut at its best round, the rounds fitted to find it, and the error of each on the held-out rows."""
+
+    model: PipelineModel
+    rounds: int
+    errors: list[float]
+
+    @property
+    def trees(self) -> int:
+        return self.model.stages[-1].getNumTrees
+
+
+def patient_best(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The best place before ``patience`` places bring no gain, and whether that has ended the search."""
+    best = 0
+    for place, error in enumerate(errors):
+        if error < errors[best]:
+            best = place
+        elif place - best >= patience:
+            return best, True
+    return best, False
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first ``n`` rounds."""
+    context = SparkContext._active_spark_context
+    regression = context._jvm.org.apache.spark.ml.regression
+    trees = context._gateway.new_array(regression.DecisionTreeRegressionModel, n)
+    weights = context._gateway.new_array(context._jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(model._java_obj.trees()[:n], model.treeWeights[:n])):
+        trees[i], weights[i] = tree, weight
+    cut = GBTRegressionModel(regression.GBTRegressionModel(model.uid, trees, weights, model.numFeatures))
+    return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
 def fit_boosted(
     features: DataFrame, columns: Sequence[str] | None = None, params: BoostingParams = BoostingParams(),
     validation: str | None = None,
-) -> PipelineModel:
+) -> BoostedFit:
     """Gradient-boosted trees on the feature columns.
 
-    ``validation`` names a boolean column; its rows decide when to stop adding trees.
+    ``validation`` names a boolean column. The error on its rows is measured after every round, and the
+    best round is kept once ``params.patience`` more bring no gain. Rounds are fitted in runs of doubling
+    length; a seed gives the same trees in each, so a longer run only adds to a shorter one. Without such
+    rows all ``params.trees`` rounds are kept.
     """
     columns = list(columns or feature_columns(features))
     assembler = VectorAssembler(inputCols=columns, outputCol="inputs")
-    trees = GBTRegressor(
-        featuresCol="inputs",
-        labelCol=TARGET,
-        predictionCol="yhat",
-        maxIter=params.trees,
-        stepSize=params.learning_rate,
-        maxDepth=params.depth,
-        subsamplingRate=params.row_share,
-        featureSubsetStrategy=str(params.column_share),
-        validationTol=params.tolerance,
-        seed=params.seed,
-        validationIndicatorCol=validation,
-    )
-    return Pipeline(stages=[assembler, trees]).fit(features)
+    held_out = F.col(validation) if validation else F.lit(False)
+    rows = assembler.transform(features).select("inputs", F.col(TARGET).cast("double").alias(TARGET), held_out.alias("_held_out"))
+    rows = stage(rows, "boosting-inputs")
+    train, val = rows.where(~F.col("_held_out")), rows.where("_held_out")
+    measured = bool(validation) and not val.isEmpty()
+    rounds = min(params.trees, 3 * params.patience) if measured else params.trees
+    while True:
+        trees = GBTRegressor(
+            featuresCol="inputs",
+            labelCol=TARGET,
+            predictionCol="yhat",
+            maxIter=rounds,
+            stepSize=params.learning_rate,
+            maxDepth=params.depth,
+            subsamplingRate=params.row_share,
+            featureSubsetStrategy=str(params.column_share),
+            seed=params.seed,
+        ).fit(train)
+        if not measured:
+            return BoostedFit(PipelineModel([assembler, trees]), rounds, [])
+        errors = trees.evaluateEachIteration(val, "squared")
+        best, settled = patient_best(errors, params.patience)
+        if settled or rounds >= params.trees:
+            return BoostedFit(PipelineModel([assembler, first_trees(trees, best + 1)]), rounds, errors)
+        rounds = min(params.trees, 2 * rounds)
 
 
 def with_category_mean(df: DataFrame, train: DataFrame) -> DataFrame:
@@ -256,25 +308,28 @@ def with_category_mean(df: DataFrame, train: DataFrame) -> DataFrame:
 
 def fit_pooled(
     train: DataFrame, val: DataFrame, params: BoostingParams = BoostingParams()
-) -> tuple[PipelineModel, list[str]]:
+) -> tuple[BoostedFit, list[str]]:
     """One boosted model for all categories: cost grows with rows, not with categories."""
     columns = [*feature_columns(train), "category_mean"]
     rows = train.withColumn("_held_out", F.lit(False)).unionByName(val.withColumn("_held_out", F.lit(True)))
     return fit_boosted(with_category_mean(rows, train), columns, params, "_held_out"), columns
 
 
-def score_boosted(model: PipelineModel, rows: DataFrame, train: DataFrame) -> DataFrame:
+def score_boosted(model: PipelineModel | BoostedFit, rows: DataFrame, train: DataFrame) -> DataFrame:
+    model = model.model if isinstance(model, BoostedFit) else model
     return as_predictions(model.transform(with_category_mean(rows, train)), "boosted", F.col("yhat"))
 
 
 def training_report(
-    split_rows: DataFrame, train: DataFrame, metrics: DataFrame, length: int = SEQUENCE_LENGTH
+    split_rows: DataFrame, train: DataFrame, metrics: DataFrame, length: int = SEQUENCE_LENGTH,
+    boosted: BoostedFit | None = None,
 ) -> DataFrame:
-    """One row per category of a pooled run: status, window counts and validation errors per model.
+    """One row per category of a pooled run: status, window counts, validation errors per model, and boosting rounds.
 
     ``trained``: by both models; ``skipped``: too few windows for the window model; ``unseen``: no
     training row, so scored with the mean of all. ``metrics`` has (category, model, rmse) on the
-    validation rows; ``scores`` is null where a category has none.
+    validation rows; ``scores`` is null where a category has none. ``rounds`` were boosted, and the first
+    ``best_round`` kept; both are null without ``boosted``.
     """
     seen = train.select("category").distinct().withColumn("_seen", F.lit(True))
     by_model = metrics.groupBy("category").agg(
@@ -282,28 +337,42 @@ def training_report(
     )
     status = F.when(F.col("_seen").isNull(), "unseen").when(F.col("eligible"), "trained").otherwise("skipped")
     rows = sequence_eligibility(split_rows, length).join(seen, "category", "left").join(by_model, "category", "left")
-    return rows.select("category", status.alias("status"), "train_windows", "val_windows", "scores")
+    rounds, best = (boosted.rounds, boosted.trees) if boosted else (None, None)
+    return rows.select(
+        "category", status.alias("status"), "train_windows", "val_windows", "scores",
+        F.lit(rounds).cast("int").alias("rounds"), F.lit(best).cast("int").alias("best_round"),
+    )
 
 
 def fit_top_categories(
-    train: DataFrame, val: DataFrame, n: int = 5, params: BoostingParams = BoostingParams()
+    train: DataFrame, val: DataFrame, n: int | None = 5, params: BoostingParams = BoostingParams(), at_once: int = 4
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """One boosted model for each of the ``n`` largest categories; a failure does not stop the rest.
 
-    The loop runs over at most ``n`` names on the driver; the fits themselves are distributed, one
-    after the other, so the time grows with ``n`` and ``fit_pooled`` suits many categories better.
-    Returns the models and a report (category, status, detail).
+    ``at_once`` categories are fitted at a time: each runs its jobs from a thread of its own that inherits the
+    caller's job properties, so Spark fills cores that one category leaves idle (under fair scheduling
+    each thread has a pool of its own). The driver holds at most ``n`` names and models; ``fit_pooled`` suits
+    very many categories better. Without ``n`` all categories are fitted. Returns the models and
+    a report: category, status, trees, rounds, rmse on the validation rows (null without), detail of a failure.
     """
-    names = [r["category"] for r in top_n(train, TARGET, n).collect()]  # n rows
-    models: dict[str, PipelineModel] = {}
-    report = []
-    rows = train.withColumn("_held_out", F.lit(False)).unionByName(val.withColumn("_held_out", F.lit(True)))
-    for name in names:
+    spark = train.sparkSession
+    ranked = train.groupBy("category").agg(F.sum(TARGET).alias("_total")).orderBy(F.desc("_total"), "category")
+    names = [r["category"] for r in (ranked if n is None else ranked.limit(n)).collect()]
+    rows = stage(train.withColumn("_held_out", F.lit(False)).unionByName(val.withColumn("_held_out", F.lit(True))), "category-rows")
+    columns = feature_columns(train)
+
+    def fit_one(name: str) -> tuple[str, BoostedFit | None, str]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"category-{name}")
         try:
-            models[name] = fit_boosted(
-                rows.where(F.col("category") == name), feature_columns(train), params, "_held_out"
-            )
-            report.append((name, "trained", ""))
+            return name, fit_boosted(rows.where(F.col("category") == name), columns, params, "_held_out"), ""
         except Exception as error:  # noqa: BLE001 - reported per category
-            report.append((name, "failed", str(error)))
-    return models, train.sparkSession.createDataFrame(report, "category string, status string, detail string")
+            return name, None, f"{type(error).__name__}: {error}"
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(fit_one), names))
+    report = [
+        (name, "trained", fit.trees, fit.rounds, min(fit.errors[: fit.trees]) ** 0.5 if fit.errors else None, "") if fit else (name, "failed", None, None, None, detail)
+        for name, fit, detail in done
+    ]
+    schema = "category string, status string, trees int, rounds int, rmse double, detail string"
+    return {name: fit.model for name, fit, _ in done if fit}, spark.createDataFrame(report, schema)

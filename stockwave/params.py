@@ -49,6 +49,7 @@ def yearly_holidays(first_year: int, last_year: int) -> tuple[dt.date, ...]:
     return tuple(dt.date(y, m, d) for y in range(first_year, last_year + 1) for m, d in month_days)
 
 
+# --- fixed values: split dates and boosting settings -----------------------------------------
 @dataclass(frozen=True)
 class SplitDates:
     """Inclusive bounds of the chronological train / validation / test split."""
@@ -70,7 +71,7 @@ class BoostingParams:
     depth: int = 6
     row_share: float = 0.8
     column_share: float = 0.8
-    tolerance: float = 0.01
+    patience: int = 20
     seed: int = RANDOM_SEED
 
 
@@ -102,5 +103,7 @@ ITEM_DEFAULTS = {
     "lead_time_days": 7,
     "storage_per_unit": 1.0,
 }
+
+# --- fixed values: demand variation and price markup assumed where none is known --------------
 DEMAND_VARIATION = 0.3
 PRICE_MARKUP = 1.6

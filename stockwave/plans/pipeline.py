@@ -115,7 +115,7 @@ def run_training(
 
     boosted, columns = models.fit_pooled(train, val, params)
     sequence = models.fit_sequence_regression(window_train)
-    files.save_model(boosted, f"{out}/models/boosted")
+    files.save_model(boosted.model, f"{out}/models/boosted")
     files.save_model(sequence, f"{out}/models/sequence")
     categories = matrix.select("category").distinct()
     files.save_table(models.with_train_mean(categories, train), f"{out}/category_means")
@@ -130,7 +130,7 @@ def run_training(
     val_metrics = stage(evaluate.forecast_metrics(on_val), "validation-metrics")
     files.save_table(models.complete_weights(models.ensemble_weights(val_metrics), categories), f"{out}/weights")
     weights = files.load_table(spark, f"{out}/weights")
-    report = models.training_report(features.label_split(matrix, splits), train, val_metrics)
+    report = models.training_report(features.label_split(matrix, splits), train, val_metrics, boosted=boosted)
     files.save_table(report, f"{out}/training_report")
 
     on_test = stage(

@@ -97,19 +97,43 @@ def test_pooled_trees_beat_the_mean(panel):
     matrix = features.feature_matrix(panel, ()).where("category <> 'single'").cache()
     train, val, _ = features.train_val_test_split(matrix, SPLIT)
     model, columns = models.fit_pooled(train, val, BoostingParams(trees=8, depth=4, learning_rate=0.3))
-    assert len(columns) == 62
+    assert len(columns) == 62 and model.rounds == 8 and 1 < model.trees <= 8
     mine = evaluate.forecast_metrics(models.score_boosted(model, train, train), ["model"]).first().rmse
     base = evaluate.forecast_metrics(models.mean_baseline(train, train), ["model"]).first().rmse
     assert mine < base
 
 
+def test_best_round_with_patience():
+    assert models.patient_best([5, 4, 3, 3, 3.5], 2) == (2, True)
+    assert models.patient_best([5, 4, 4.5, 3, 4, 3.5], 3) == (3, False)
+    assert models.patient_best([5, 6, 7, 1], 2) == (0, True)
+    assert models.patient_best([], 2) == (0, False)
+
+
+def test_boosting_goes_on_to_its_best_round(panel):
+    """Runs of 6, 12, ... rounds: the kept model is the start of the longest, cut where the held-out error is least."""
+    rows = features.feature_matrix(panel, ()).where("category <> 'single'").withColumn("held", F.col("date") > "2020-02-20").cache()
+    params = BoostingParams(trees=40, depth=3, learning_rate=0.1, patience=2)
+    found = models.fit_boosted(rows, ["order_count_lag_1", "day_of_week", "total_revenue"], params, "held")
+    best, settled = models.patient_best(found.errors, 2)
+    assert found.trees == best + 1 and len(found.errors) == found.rounds and (settled or found.rounds == 40)
+    held = rows.where("held")
+    error = found.model.transform(held).agg(F.avg((F.col("order_count") - F.col("yhat")) ** 2)).first()[0]
+    assert error == pytest.approx(found.errors[best])
+    short = models.fit_boosted(rows.where("not held"), ["order_count_lag_1", "day_of_week", "total_revenue"], BoostingParams(trees=found.trees, depth=3, learning_rate=0.1))
+    both = found.model.transform(held).select("category", "date", "yhat").join(short.model.transform(held).select("category", "date", F.col("yhat").alias("again")), ["category", "date"])
+    assert short.errors == [] and both.where(F.abs(F.col("yhat") - F.col("again")) > 1e-9).isEmpty()
+
+
 def test_per_category_training_reports_failures(spark, panel):
-    matrix = features.feature_matrix(panel, ()).cache()
+    matrix = features.feature_matrix(panel, ()).withColumn("avg_price", F.when(F.col("category") != "books", F.col("avg_price"))).cache()
     train, val, _ = features.train_val_test_split(matrix, SPLIT)
-    fitted, report = models.fit_top_categories(train, val, 3, BoostingParams(trees=2, depth=2))
-    status = {r.category: r.status for r in report.collect()}
-    assert status["toys"] == "trained" and set(fitted) == {c for c, s in status.items() if s == "trained"}
-    assert len(status) == 3
+    fitted, report = models.fit_top_categories(train, val, 3, BoostingParams(trees=6, depth=2, learning_rate=0.3), at_once=2)
+    rows = {r.category: r for r in report.collect()}
+    assert {c: r.status for c, r in rows.items()} == {"toys": "trained", "books": "failed", "single": "trained"}
+    assert set(fitted) == {"toys", "single"} and rows["books"].trees is None and rows["books"].detail
+    assert rows["toys"].rmse > 0 and rows["toys"].trees <= rows["toys"].rounds and rows["single"].rmse is None
+    assert models.fit_top_categories(train, val, 1, BoostingParams(trees=2, depth=2))[1].count() == 1
 
 
 def test_sequence_regression_learns_a_linear_rule(spark):
@@ -186,5 +210,5 @@ def test_training_report(spark):
     rows = [(c, "2020-01-01", s) for c, s, n in (("a", "train", 45), ("a", "val", 6), ("b", "train", 12), ("c", "val", 9)) for _ in range(n)]
     split = spark.createDataFrame(rows, "category string, date string, split string")
     metrics = spark.createDataFrame([("a", "boosted", 1.0), ("a", "sequence", 2.0), ("c", "boosted", 3.0)], "category string, model string, rmse double")
-    got = {r.category: (r.status, r.train_windows, r.val_windows, r.scores) for r in models.training_report(split, split.where("split = 'train'"), metrics).collect()}
+    got = {r.category: tuple(r)[1:5] for r in models.training_report(split, split.where("split = 'train'"), metrics).collect()}
     assert got == {"a": ("trained", 15, 6, {"boosted": 1.0, "sequence": 2.0}), "b": ("skipped", 0, 0, None), "c": ("unseen", 0, 9, {"boosted": 3.0})}
