@@ -57,7 +57,7 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _with_category(lines: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+def with_category(lines: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Attach product columns and the translated category name.
 
     Products meet the translation first, at product grain, so items are never shuffled by one of a
@@ -84,7 +84,7 @@ def unified_orders(tables: Mapping[str, DataFrame], drop: Sequence[str] = UNUSED
     )
     lines = salted_join(tables["order_items"], per_order, "order_id", "inner")
     return (
-        _with_category(lines, tables)
+        with_category(lines, tables)
         .join(tables["sellers"], "seller_id", "left")
         .drop(*drop)
     )
@@ -124,7 +124,7 @@ def daily_category_demand(tables: Mapping[str, DataFrame], target_rows: int = TA
     items = tables["order_items"]
     price, price_factor = minor_units(items, "price")
     freight, freight_factor = minor_units(items, "freight_value")
-    lines = _with_category(
+    lines = with_category(
         items.select(
             "order_id", "product_id", price.alias("price"), freight.alias("freight"), row_slots().alias("_slot")
         ),

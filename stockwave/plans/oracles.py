@@ -376,6 +376,80 @@ def oracles() -> dict[str, str]:
           from daily, generate_series(0, 4) g(k) where date <= date '1999-12-31' + cast(90*k + 60 as int)) group by 1, 2""", "daily",
     )
 
+    # folds of the linear models: rows with the inputs of one line or two, training and validation rows per fold
+    x = """x as materialized (select category, date, cast(order_count as double) as y, cast(coalesce(order_count_lag_1, 0) as double) as a,
+        cast(coalesce(order_count_lag_7, 0) as double) as b from lagged),
+      f as (select cast(k as int) as fold, date '1999-12-31' + cast(90*k as int) as cut from generate_series(0, 4) g(k))"""
+    q["walk_forward_scores"] = (
+        sql("", "lagged").rstrip()
+        + f""", {x},
+      m as (select category, fold, cut, count(*) as n_train, avg(y) as mean, coalesce(regr_slope(y, a), 0) as slope,
+        coalesce(regr_intercept(y, a), avg(y)) as level from x join f on date <= cut group by all),
+      p as (select category, fold, n_train, y, unnest(['linear', 'mean_baseline']) as model,
+        unnest([greatest(level + slope*a, 0), mean]) as yhat from m join x using (category) where date > cut and date <= cut + 60)
+      select category, fold, model, n_train, {r("coalesce(avg(case when y <> 0 then abs((y-yhat)/y) end)*100, 0)", 2)} as mape,
+        {r("sqrt(avg((y-yhat)*(y-yhat)))", 2)} as rmse, {r("avg(abs(y-yhat))", 2)} as mae, count(*) as n_val from p group by all"""
+    )
+    two = """n_train, (sbb*say - sab*sby) / (saa*sbb - sab*sab) as first, (saa*sby - sab*say) / (saa*sbb - sab*sab) as second, ma, mb, my"""
+    sums = """count(*) as n_train, regr_sxx(y, a) as saa, regr_sxx(y, b) as sbb, regr_sxy(y, a) as say, regr_sxy(y, b) as sby,
+        regr_sxy(b, a) as sab, avg(a) as ma, avg(b) as mb, avg(y) as my"""
+    q["walk_forward_models"] = (
+        sql("", "lagged").rstrip()
+        + f""", {x},
+      s as (select category, fold, {sums} from x join f on date <= cut group by all),
+      m as (select category, fold, {two} from s)
+      select category, fold, n_train, {r("my - first*ma - second*mb")} as constant, {r("first")} as first, {r("second")} as second from m"""
+    )
+    q["tuning_checked"] = sql(
+        """select * from (values (0, 1, 4, 0, 4), (1, 2, 2, 0, 2), (2, 4, 1, 0, 1), (3, 5, 2, 1, 2)) t(rung, folds, n_trials, n_best, n_scored),
+        (select cast(count(*) as bigint) as n_refit from daily)""", "daily",
+    )
+    q["recursive_forecast"] = (
+        sql("", "lagged", "ends").replace("with ", "with recursive ", 1).rstrip()
+        + f""", {x},
+      s as (select category, {sums} from x group by all),
+      m as (select category, {two} from s),
+      past as (select category, list(y order by date) as ys from x group by 1),
+      walk as (
+        select category, 0 as days_ahead, list_slice(ys, len(ys) - 6, len(ys)) as ys, cast(null as double) as yhat from past
+        union all
+        select category, days_ahead + 1, list_append(ys[2:], v), v from (
+          select walk.category, days_ahead, ys, greatest(my - first*ma - second*mb + first*ys[7] + second*ys[1], 0) as v
+          from walk join m on walk.category = m.category where days_ahead < {HORIZON}) t)
+      select category, {d("last_date + cast(days_ahead as int)")} as date, cast(days_ahead as int) as days_ahead, {r("yhat")} as yhat
+      from walk join ends using (category) where days_ahead > 0"""
+    )
+    q["seasonal_fit_checked"] = sql(
+        f"""select category, count(*) as n_train, {r("stddev_pop(order_count)")} as mean_rmse, true as seasonal_is_below
+        from labelled where split = 'train' group by 1""", "labelled",
+    )
+    q["conformal_band"] = (
+        sql("", "daily", "spans").rstrip()
+        + f""", dense as materialized (
+          select s.category, s.date, cast(coalesce(order_count, 0) as double) as y
+          from (select category, unnest(generate_series(min(date), max(date), interval 1 day))::date as date from daily group by 1) s
+          left join daily using (category, date)),
+      origin as (select category, date as origin, avg(y) over (partition by category order by date rows between 6 preceding and current row) as yhat from dense),
+      p as materialized (
+        select o.category, cast(h as int) as days_ahead, split, y, yhat, abs(y - yhat) as e
+        from origin o cross join generate_series(1, 14) g(h) join dense t on t.category = o.category and t.date = o.origin + cast(h as int)
+        join spans on t.date between lo and hi),
+      spanned as (
+        select category, 'day' as span, days_ahead as ahead, split, y, yhat, e from p
+        union all select category, 'week', cast(ceil(days_ahead / 7.0) as int), split, y, yhat, e from p),
+      q as (
+        select category, span, ahead, list_sort(list(e))[cast(ceil((count(*) + 1) * 0.9e0) as bigint)] as radius
+        from spanned where split = 'val' group by all)
+      select category, span, ahead, count(*) as n,
+        {r("avg(case when y between greatest(yhat - radius, 0) and yhat + radius then 1e0 else 0e0 end)")} as coverage, {r("avg(radius)")} as radius
+      from spanned join q using (category, span, ahead) where split = 'test' group by all"""
+    )
+    q["distinct_orders"] = sql(
+        """select level, key, count(distinct order_id) as n_orders, true as sketch_is_near from (
+          select order_id, unnest(['all', 'category', 'year', 'month']) as level,
+            unnest(['all', coalesce(product_category_name_english, 'unknown'), strftime(order_purchase_timestamp, '%Y'), strftime(order_purchase_timestamp, '%Y-%m')]) as key
+          from unified) group by all""", "unified",
+    )
     q["daily_total"] = sql(f"select {d('date')} as date, cast(sum(order_count) as bigint) as order_count from daily group by date", "daily")
     q["top_categories"] = sql(
         "select category, cast(sum(order_count) as bigint) as order_count from daily group by 1 order by 2 desc, 1 limit 4", "daily"
@@ -548,11 +622,22 @@ def oracles() -> dict[str, str]:
         + eligible
         + """ select category, case when tr = 0 then 'unseen' when eligible then 'trained' else 'skipped' end as status,
         greatest(tr - 30, 0) as train_windows, va as val_windows,
-        case when va > 0 then 'boosted,mean_baseline' || case when eligible then ',sequence' else '' end else '' end as scored from e"""
+        case when va > 0 then 'boosted,mean_baseline' || case when eligible then ',sequence' else '' end else '' end as scored,
+        true as best_of_several_rounds from e"""
     )
     tested = f"""select category, {d('date')} as date, 'boosted' as model, cast(order_count as double) as y, true as is_finite
         from labelled where split = 'test'"""
     q["gbt_forecast_checked"] = sql(tested, "labelled")
+    q["boosted_errors"] = sql(
+        f"""select split, {r("sqrt(avg(power(y - yhat, 2)) filter (model = 'lag1'))")} as lag1,
+        {r("sqrt(avg(power(y - yhat, 2)) filter (model = 'mean_baseline'))")} as mean_baseline,
+        true as boosted_is_below, true as several_trees from preds where split in ('val', 'test') group by 1""", "preds",
+    )
+    q["models_per_category"] = sql(
+        """select category, case when category = 'economy' then 'failed' else 'trained' end as status,
+        case when category <> 'economy' then true end as several_trees, case when category <> 'economy' then true end as has_error,
+        category = 'economy' as has_detail, category <> 'economy' as has_model from train_mean""", "train_mean",
+    )
     q["boosted_model_roundtrip"] = sql(f"select category, {d('date')} as date, true as same from labelled where split = 'test'", "labelled")
     q["sequence_regression_checked"] = (
         sql("", "daily", "labelled").rstrip()

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockwave.functions.numeric import half_even
-from stockwave.operators import evaluate, explore, features, forecast, ingest, models, replenish, requests
+from stockwave.operators import (
+    backtest, evaluate, explore, features, forecast, ingest, models, replenish, requests, seasonal, sketches,
+)
 from stockwave.params import EXOGENOUS, TARGET, Scenario, SplitDates, yearly_holidays
 from stockwave.plans import pipeline
 from stockwave.session import scratch_path, stage
@@ -36,6 +38,7 @@ MODELS = ("lag1", "ma7", "mean_baseline")
 HORIZON = 30
 FIRST_CUT = dt.date(1999, 12, 31)
 ONE_DAY = dt.date(2000, 2, 1)
+SEASON_ORIGIN = dt.date(1995, 1, 1)
 FALLBACK = {"mean_baseline": 0.25, "lag1": 0.4, "ma7": 0.35}
 
 _REGISTRY: dict[str, Query] = {}
@@ -323,9 +326,69 @@ def walk_forward_folds(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+FOLDS = backtest.Folds(FIRST_CUT, 5, 90, 60)
+LAG_INPUTS = seasonal.lag_inputs()
+TRIALS = tuple(
+    backtest.Trial(f"{name}-{ridge:g}", columns, ridge)
+    for name, columns in (("previous", LAG_INPUTS[:1]), ("week", LAG_INPUTS[1:]), ("all", LAG_INPUTS))
+    for ridge in (0.0, 10.0, 1000.0)
+)
+
+
+def lag_rows(panel: DataFrame) -> DataFrame:
+    """The stored inputs of the linear models."""
+    columns = [*features.lag_columns(lags=seasonal.LAGS), *features.rolling_columns(windows=seasonal.MEANS)]
+    return stage(panel.select("date", "category", TARGET, *columns).na.fill(0), "lag-rows")
+
+
+@query
+def walk_forward_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Errors per category and fold of a line through the previous row, and of the training mean."""
+    return tidy(backtest.walk_forward_scores(lag_rows(stored_panel(spark, folder)), LAG_INPUTS[:1], FOLDS))
+
+
+@query
+def walk_forward_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Coefficients per category and fold on two lags, all folds solved from one pass."""
+    found = backtest.fold_models(lag_rows(stored_panel(spark, folder)), LAG_INPUTS[:2], FOLDS)
+    names = ("constant", "first", "second")
+    return tidy(found.select("category", "fold", "n_train", *[F.get("coefficients", F.lit(i)).alias(n) for i, n in enumerate(names)]))
+
+
+@query
+def tuning_trials(spark: SparkSession, folder: str) -> DataFrame:
+    """Trials of linear models by successive halving over the folds; each parameter set once."""
+    trials, _ = backtest.tune(lag_rows(stored_panel(spark, folder)), TRIALS, FOLDS)
+    return tidy(trials.withColumn("columns", F.array_join("columns", ",")))
+
+
+@query
+def tuning_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Rung and folds that each trial reached, one best among the last, and the rows that it was fitted on again."""
+    rows = lag_rows(stored_panel(spark, folder))
+    trials, refit = backtest.tune(rows, TRIALS, FOLDS)
+    per_rung = trials.groupBy("rung", "folds").agg(F.count(F.lit(1)).alias("n_trials"), F.count_if("is_best").alias("n_best"), F.count_if(F.col("rmse") > 0).alias("n_scored"))
+    return per_rung.select("*", refit.agg(F.sum("n_train")).scalar().alias("n_refit"))
+
+
 # --- exploration -----------------------------------------------------------------------------
 
 
+@query
+def distinct_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct orders of roll-ups, exact, and whether stored sketches give them within 2 percent."""
+    orders = stage(sketches.order_days(retail_tables(spark, folder)), "order-days")
+    stored = stage(sketches.order_sketches(orders), "order-sketches")
+    levels = {"all": F.lit("all"), "category": F.col("category"), "year": F.year("date").cast("string"), "month": F.date_format("date", "yyyy-MM")}
+    found = []
+    for level, key in levels.items():
+        exact = orders.groupBy(key.alias("key")).agg(F.count_distinct("order_id").alias("n_orders"))
+        estimate = sketches.distinct_orders(stored.withColumn("key", key), ["key"]).withColumnRenamed("n_orders", "estimate")
+        near = F.abs(F.col("estimate") - F.col("n_orders")) <= 0.02 * F.col("n_orders")
+        found.append(exact.join(estimate, "key").select(F.lit(level).alias("level"), "key", "n_orders", near.alias("sketch_is_near")))
+    return explore.union_all(found)
+
+
 @query
 def daily_total(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(explore.daily_total(panel_of(spark, folder)))
@@ -593,10 +656,11 @@ def trained_pipeline(spark: SparkSession, folder: str, splits: SplitDates = SPLI
 
 @query
 def train_report(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per category of the pooled run, and whether each model has a finite validation error."""
+    """One row per category of the pooled run, whether each model has a finite validation error, and whether boosting went beyond one round to its best."""
     report = files.load_table(spark, f"{trained_pipeline(spark, folder)}/training_report")
     scored = F.coalesce(F.array_join(F.array_sort(F.map_keys(F.map_filter("scores", lambda _, v: (v >= 0) & (v < 1e300)))), ","), F.lit(""))
-    return report.select("category", "status", "train_windows", "val_windows", scored.alias("scored"))
+    several, kept = F.col("best_round") > 1, F.col("best_round") <= F.col("rounds")
+    return report.select("category", "status", "train_windows", "val_windows", scored.alias("scored"), (several & kept).alias("best_of_several_rounds"))
 
 
 def finite(x: str):
@@ -619,12 +683,40 @@ def boosted_model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     train, val, test = features.train_val_test_split(matrix, SPLITS)
     model, _ = models.fit_pooled(train, val)
     path = scratch_path(spark, "boosted")
-    files.save_model(model, path)
+    files.save_model(model.model, path)
     first, second = (models.score_boosted(m, test, train) for m in (model, files.load_model(path)))
     both = first.join(second.select("category", "date", F.col("yhat").alias("_again")), ["category", "date"])
     return tidy(both.select("category", "date", (F.col("yhat") == F.col("_again")).alias("same")))
 
 
+@query
+def boosted_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Per split: errors of the previous row and the training mean, and whether the boosted model, of more than one tree, is below both."""
+    panel = stored_panel(spark, folder)
+    matrix = stage(features.feature_matrix(panel, HOLIDAYS), "features")
+    train, val, test = features.train_val_test_split(matrix, SPLITS)
+    model, _ = models.fit_pooled(train, val)
+    found = []
+    for split, rows in (("val", val), ("test", test)):
+        scored = naive_predictions(panel, split).where("model <> 'ma7'").unionByName(models.score_boosted(model, rows, train))
+        errors = scored.groupBy(F.lit(split).alias("split")).pivot("model", ["lag1", "mean_baseline", "boosted"]).agg(F.sqrt(F.avg((F.col("y") - F.col("yhat")) ** 2)))
+        found.append(errors)
+    below = (F.col("boosted") < F.col("lag1")) & (F.col("boosted") < F.col("mean_baseline"))
+    return tidy(explore.union_all(found).select("split", "lag1", "mean_baseline", below.alias("boosted_is_below"), F.lit(model.trees > 1).alias("several_trees")))
+
+
+@query
+def models_per_category(spark: SparkSession, folder: str) -> DataFrame:
+    """A boosted model for each category, one of them without any value of a feature, which is reported and stops no other."""
+    matrix = stage(features.feature_matrix(stored_panel(spark, folder), HOLIDAYS), "features")
+    broken = matrix.withColumn("avg_price", F.when(F.col("category") != "economy", F.col("avg_price")))
+    train, val, _ = features.train_val_test_split(broken, SPLITS)
+    fitted, report = models.fit_top_categories(train, val, n=None)
+    has_detail = F.length("detail") > 0
+    stored = F.col("category").isin(*fitted) if fitted else F.lit(False)
+    return report.select("category", "status", (F.col("trees") > 1).alias("several_trees"), (F.col("rmse") > 0).alias("has_error"), has_detail.alias("has_detail"), stored.alias("has_model"))
+
+
 @query
 def sequence_regression_checked(spark: SparkSession, folder: str) -> DataFrame:
     """Keys and actuals scored by the window model, and whether scores are finite and not negative."""
@@ -703,6 +795,46 @@ def ensemble_forecast(spark: SparkSession, folder: str) -> DataFrame:
 # --- forecasts -------------------------------------------------------------------------------
 
 
+@query
+def recursive_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Each day's prediction feeds the lags of the days after; a line on the last value and the one a week before."""
+    panel = stored_panel(spark, folder)
+    model = seasonal.fit_lags(lag_rows(panel), means=())
+    return tidy(seasonal.recursive_forecast(panel, model, HORIZON, means=()))
+
+
+@query
+def seasonal_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Trend with yearly and weekly seasons, fitted on the training rows and scored on the test rows."""
+    train, _, test = features.train_val_test_split(stored_panel(spark, folder), SPLITS)
+    return tidy(seasonal.score_seasonal(seasonal.fit_seasonal(train, SEASON_ORIGIN), test, SEASON_ORIGIN))
+
+
+@query
+def seasonal_fit_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Per category: training rows, error of the training mean, and whether the seasonal model's is below it."""
+    train, _, _ = features.train_val_test_split(stored_panel(spark, folder), SPLITS)
+    scored = seasonal.score_seasonal(seasonal.fit_seasonal(train, SEASON_ORIGIN), train, SEASON_ORIGIN).unionByName(models.mean_baseline(train, train))
+    error = F.sqrt(F.avg((F.col("y") - F.col("yhat")) ** 2))
+    found = scored.groupBy("category").pivot("model", ["mean_baseline", "seasonal"]).agg(error.alias("rmse"), F.count(F.lit(1)).alias("n"))
+    return tidy(found.select("category", F.col("seasonal_n").alias("n_train"), F.col("mean_baseline_rmse").alias("mean_rmse"), (F.col("seasonal_rmse") < F.col("mean_baseline_rmse")).alias("seasonal_is_below")))
+
+
+@query
+def conformal_band(spark: SparkSession, folder: str) -> DataFrame:
+    """Bands from validation errors, per category and days ahead, and the share of test actuals within them."""
+    daily = stage(features.densify(stored_panel(spark, folder)), "daily")
+    predictions = stage(sketches.snapshot_predictions(daily, 14), "snapshots")
+    _, val, test = features.train_val_test_split(predictions, SPLITS)
+    keys = ["category", "days_ahead"]
+    stored = stage(sketches.error_sketches(val, keys), "error-sketches")
+    weeks = sketches.merge_error_sketches(stored.withColumn("week", F.ceil(F.col("days_ahead") / 7).cast("int")), ["category", "week"])
+    by_day = sketches.band_coverage(sketches.with_band(test, stored, keys), keys).select("category", F.lit("day").alias("span"), F.col("days_ahead").alias("ahead"), "n", "coverage", "radius")
+    in_weeks = test.withColumn("week", F.ceil(F.col("days_ahead") / 7).cast("int"))
+    by_week = sketches.band_coverage(sketches.with_band(in_weeks, weeks, ["category", "week"]), ["category", "week"]).select("category", F.lit("week").alias("span"), F.col("week").alias("ahead"), "n", "coverage", "radius")
+    return tidy(by_day.unionByName(by_week))
+
+
 @query
 def future_spine(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(forecast.future_spine(panel_of(spark, folder), 90))
