@@ -323,7 +323,7 @@ def oracles() -> dict[str, str]:
     q["catalog_from_csv"] = q["catalog_row_counts"]
     q["csv_rejects"] = """select 'order_id' as column_name, 0::bigint as n_rejected union all select 'freight_value', 0
         union all select 'price', count(*) filter (where l_orderkey % 7 = 0 or l_orderkey % 11 = 0) from lineitem"""
-    q["absent_table"] = q["parquet_roundtrip"] = q["daily_category_demand"] = q["daily_from_unified"] = sql(PANEL, "daily")
+    q["absent_table"] = q["late_days_refresh"] = q["parquet_roundtrip"] = q["daily_category_demand"] = q["daily_from_unified"] = sql(PANEL, "daily")
     q["metrics_json_explode"] = sql(
         "select category, mape, rmse, mae, model from scores where split = 'test'", "scores"
     )

@@ -22,7 +22,7 @@ from stockwave.operators import (
     backtest, evaluate, explore, features, forecast, ingest, models, replenish, requests, seasonal, sketches,
 )
 from stockwave.params import EXOGENOUS, TARGET, Scenario, SplitDates, yearly_holidays
-from stockwave.plans import pipeline
+from stockwave.plans import pipeline, refresh
 from stockwave.session import scratch_path, stage
 from stockwave.sources import files
 from stockwave.sources.schemas import PANEL_SCHEMA
@@ -326,6 +326,19 @@ def walk_forward_folds(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def late_days_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily panel from files that arrive in three loads, each with rows of all days; one load finds nothing new."""
+    facts = stage(ingest.unified_orders(retail_tables(spark, folder)), "facts")
+    out = scratch_path(spark, "refresh")
+    for part in (0, 1, 1, 2):
+        load = f"{out}/inbox/load-{part}"
+        if not files.path_exists(spark, load):
+            facts.where(F.pmod(F.xxhash64("order_id", "product_id"), F.lit(3)) == part).write.parquet(load)
+        panel = refresh.refresh(spark, f"{out}/inbox", f"{out}/stored")
+    return tidy(panel)
+
+
 FOLDS = backtest.Folds(FIRST_CUT, 5, 90, 60)
 LAG_INPUTS = seasonal.lag_inputs()
 TRIALS = tuple(
