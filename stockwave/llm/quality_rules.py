@@ -26,9 +26,14 @@ CLASSES = ("upper", "digit", "symbol", "stop", "space", "other")
 COUNTED = {"upper": r"\p{Lu}", "digit": "0-9", "symbol": "#*$%&|<>", "stop": ".,;:!?"}
 
 
-def only(text: Column, chars: str) -> Column:
-    """How many characters of a text are in a class."""
-    return F.length(F.regexp_replace(text, f"[^{chars}]+", ""))
+def class_counts(text: Column) -> Column:
+    """How many characters of a text are in each of ``COUNTED``, as an array: others are cut away once, then each class counts what is left."""
+    every = "".join(COUNTED.values())
+
+    def counts(left: Column) -> Column:
+        return F.array(*[F.length(F.regexp_replace(left, f"[^{chars}]+", "")) for chars in COUNTED.values()])
+
+    return let(F.regexp_replace(text, f"[^{every}]+", ""), counts)
 
 
 def repeated_window_words(words: Column) -> Column:
@@ -64,13 +69,16 @@ def measures(docs: DataFrame) -> DataFrame:
     words = F.filter(F.split(body, SPACE), lambda w: w != "")
     lines = F.filter(F.split(body, "\n"), lambda line: F.regexp_like(line, F.lit(WORD)))
     word_chars = F.length(F.regexp_replace(body, SPACE, ""))
-    counts = {name: only(body, chars) for name, chars in COUNTED.items()}
-    counts["space"] = F.length(body) - word_chars
-    rest = F.length(body) - reduce(Column.__add__, counts.values())
-    classes = F.array(*[F.col(f"n_{c}") for c in COUNTED], F.col("n_space"), F.col("n_other"))
     dup = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
-    raw = docs.select("doc_id", "lang", word_chars.alias("word_chars"), dup.alias("n_dup_lines"), words.alias("words"), *[c.alias(f"n_{n}") for n, c in counts.items()], rest.alias("n_other"))
-    return raw.select("doc_id", "lang", "word_chars", F.col("n_symbol").alias("n_symbols"), "n_dup_lines", "words", classes.alias("classes"))
+    raw = docs.select("doc_id", "lang", word_chars.alias("word_chars"), F.length(body).alias("n_chars"), dup.alias("n_dup_lines"), words.alias("words"), class_counts(body).alias("counted"))
+    return raw.select("doc_id", "lang", "word_chars", F.get("counted", F.lit(list(COUNTED).index("symbol"))).alias("n_symbols"), "n_dup_lines", "words", all_classes().alias("classes"))
+
+
+def all_classes() -> Column:
+    """Counts of all ``CLASSES`` from counted (an array), n_chars and word_chars."""
+    space = F.col("n_chars") - F.col("word_chars")
+    other = F.col("word_chars") - reduce(Column.__add__, [F.get("counted", F.lit(i)) for i in range(len(COUNTED))])
+    return F.concat("counted", F.array(space, other))
 
 
 def references(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
@@ -79,10 +87,9 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
     Counts cover all documents. Words of equal count are ranked by code point.
     """
     body = F.coalesce("text", F.lit(""))
-    counts = {name: only(body, chars) for name, chars in COUNTED.items()}
-    counts["space"] = F.length(body) - F.length(F.regexp_replace(body, SPACE, ""))
-    counts["other"] = F.length(body) - reduce(Column.__add__, counts.values())
-    totals = docs.select("lang", *[c.alias(n) for n, c in counts.items()]).groupBy("lang").agg(*[F.sum(c).alias(c) for c in CLASSES])
+    counted = docs.select("lang", class_counts(body).alias("counted"), F.length(body).alias("n_chars"), F.length(F.regexp_replace(body, SPACE, "")).alias("word_chars"))
+    per_class = counted.select("lang", all_classes().alias("classes"))
+    totals = per_class.groupBy("lang").agg(*[F.sum(F.get("classes", F.lit(i))).alias(c) for i, c in enumerate(CLASSES)])
     chars = reduce(Column.__add__, [F.col(c) for c in CLASSES])
     shares = totals.select("lang", F.array(*[F.when(chars > 0, F.col(c) / chars).otherwise(0.0) for c in CLASSES]).alias("class_shares"))
 
@@ -136,7 +143,12 @@ def judge(
 
     def values(words: Column) -> Column:
         n = F.size(words)
-        p_words = F.transform("common_words", lambda w: (n - F.size(F.array_remove(words, w))) / F.greatest(n, F.lit(1)))
+        longest = F.aggregate("common_words", F.lit(0), lambda most, w: F.greatest(most, F.octet_length(w)))
+        # what no common word can equal goes first, so that few words are compared with all of them
+        p_words = let(
+            let(longest, lambda most: F.filter(words, lambda w: (F.octet_length(w) <= most) & F.array_contains("common_words", w))),
+            lambda own: F.transform("common_words", lambda w: (F.size(own) - F.size(F.array_remove(own, w))) / F.greatest(n, F.lit(1))),
+        )
         return F.struct(
             n.cast("long").alias("n_words"),
             repeated_window_words(words).cast("long").alias("n_repeat_words"),
