@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -34,6 +35,43 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterato
             yield batch.slice(at, rows)
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name, also with dots; ``run`` gives its columns in the order of ``schema``."""
+    names, places = df.columns, [f"c{i}" for i in range(len(schema))]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(pa.RecordBatch.from_arrays(b.columns, names) for b in batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, places)
+
+    sent = T.StructType([T.StructField(c, f.dataType) for c, f in zip(places, schema)])
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, sent).toDF(*schema.names)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores in front as keep them apart from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name)
+        found.append(name)
+    return found
+
+
+def has_map(kind: T.DataType) -> bool:
+    """Whether a type cannot be sorted by, as it holds a map in any depth."""
+    if isinstance(kind, T.StructType):
+        return any(has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType)) or isinstance(kind, T.ArrayType) and has_map(kind.elementType)
+
+
+def row_order(df: DataFrame) -> list[Column]:
+    """Sort keys that tell all different rows apart: columns that hold maps are compared as JSON."""
+    quoted = [(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    return [F.to_json(F.struct(c.alias("c"))) if has_map(kind) else c for c, kind in quoted]
+
+
 def bucket_bits(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
     """How many leading bits of a digest split ``n_rows`` into buckets of about that many rows."""
     return min(24, max(4, (n_rows // rows_per_bucket).bit_length()))

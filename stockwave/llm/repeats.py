@@ -12,13 +12,14 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockwave.llm.common import small_batches, table
+from stockwave.functions.skew import MAX_HOT_KEYS, salted_join
+from stockwave.llm.common import map_arrow, small_batches, table, unused
 from stockwave.session import stage
 
 #: What ends a unit. Passages that many documents share often lie within a line, hence sentences.
@@ -32,6 +33,7 @@ MARKS = ".!?\u2026\u0589\u061f\u06d4\u0964\u0965\u1362\u104a\u104b\u17d4\u17d5\u
 CLOSERS = "\"')]}\u00bb\u2019\u201d\u300d\u300f\u3011\uff09"
 RUN_WORDS = 16  # of a run that starts at a chosen word instead of a mark
 WINDOW = 16  # of this many successive words one at least starts such a run
+HOT_UNITS = 50_000  # occurrences of a unit that one task of the join should take
 FILTER_BITS = 1 << 28  # of the bitmap of repeated digests
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xC2B2AE3D27D4EB4F)  # odd, for sums modulo 2^64
 
@@ -254,9 +256,12 @@ def passage_units(docs: DataFrame) -> DataFrame:
 def passage_spans(docs: DataFrame) -> DataFrame:
     """The columns of ``repeated_passages``, and copy, the hash of the text in which a span lies."""
     found = stage(passage_units(docs), "passage-units")
-    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "place", "copy", "tokens")
-    firsts = found.groupBy("high", "low").agg(F.min(first).alias("first"))
-    again = found.join(firsts, ["high", "low"])
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "copy", "place", "tokens")
+    firsts = found.groupBy("high", "low").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = stage(firsts.where("n > 1").withColumnsRenamed({"high": "first_high"}), "first-units")  # others stand for themselves
+    most = firsts.groupBy("low").agg(F.max("n").alias("n")).where(F.col("n") > HOT_UNITS)
+    hot = most.orderBy(F.desc("n"), "low").limit(MAX_HOT_KEYS).select("low", F.ceil(F.col("n") / HOT_UNITS).cast("int").alias("_hot"))
+    again = salted_join(found, firsts.drop("n"), "low", hot=hot).where("high = first_high")
 
     def high(pair: str) -> Column:
         return F.shiftright(pair, 32)
@@ -264,7 +269,8 @@ def passage_spans(docs: DataFrame) -> DataFrame:
     def low(pair: str) -> Column:
         return F.col(pair).bitwiseAND(F.lit(0xFFFFFFFF))
 
-    on_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (high("place") < low("first.place"))  # itself, or a run that overlaps it
+    same_text = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("copy") == F.col("first.copy"))
+    on_first = same_text & (high("place") < low("first.place"))  # itself, or a run that overlaps it
     kept = [F.col("first.doc_id").alias("kept_doc_id"), F.col("first.copy").alias("kept_copy"), high("first.place").alias("kept_start")]
     listed = again.where(~on_first).select("doc_id", "copy", "place", "tokens", *kept, (high("tokens") - high("first.tokens")).alias("shift"))
     # units of one passage are one span; a window holds units of one document
@@ -282,7 +288,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """Spans to remove, as in ``repeated_units``, from units of all kinds and runs of them (see ``passages``).
 
     Units that meet and repeat the same place are one span; spans that repeat different places may overlap.
-    A run that overlaps its own first occurrence stays. n_words counts characters where there are no blanks. Rows with one doc_id count as one document. The
+    A run that overlaps its own first occurrence stays. n_words counts characters where there are no blanks. Different texts of
+    one doc_id, or of none, are documents of their own, ranked by the hash of the text; the same row again is the same document. The
     table is read twice: only units whose digest occurs twice are written with their places.
     """
     return passage_spans(docs).drop("copy").distinct()
@@ -292,16 +299,23 @@ def without_repeats(docs: DataFrame, unit: str | None = None, min_words: int = M
     """``docs`` without the repeated passages of their texts, or the repeated units of one kind; other columns stay."""
     own = copy_of("text") if unit is None else F.lit(0).cast("long")
     spans = passage_spans(docs) if unit is None else repeated_units(docs, unit, min_words).withColumn("copy", own)
-    spans = spans.groupBy(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"))
-    spans = spans.agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))  # of one document
-
-    @F.pandas_udf("string")
-    def drop(texts: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([without(t, s) for t, s in zip(texts, found)], dtype=object)
+    doc, copy, mine, listed = unused(docs, "doc", "copy", "own_copy", "spans")
+    spans = spans.groupBy(F.col("doc_id").alias(doc), F.col("copy").alias(copy))
+    spans = spans.agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(listed))  # of one document
+    columns = docs.columns
 
-    joined = docs.withColumn("_own", own).join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_copy")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(drop("text", "_spans"))
-    return joined.withColumn("text", text).select(*docs.columns)
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = columns.index("text")
+        for batch in small_batches(batches):
+            found = batch.column(listed)
+            some = pc.fill_null(pc.greater(pc.list_value_length(found), 0), False)
+            clean = [without(t, f) for t, f in zip(batch.column("text").filter(some).to_pylist(), found.filter(some).to_pylist())]
+            out = list(batch.columns[: len(columns)])
+            out[at] = pc.replace_with_mask(out[at], some, pa.array(clean, out[at].type))
+            yield pa.RecordBatch.from_arrays(out, columns)
+
+    joined = docs.withColumn(mine, own).join(spans, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(mine) == F.col(copy)), "left")
+    return map_arrow(joined.select(*[f"`{c}`" for c in columns], listed), drop, docs.schema)
 
 
 def without(text: str | None, spans) -> str | None:

@@ -95,6 +95,62 @@ def test_passages_of_any_form(spark, kind):
     assert all(clean[i].startswith(sentence(i, 30)) and clean[i].endswith(sentence(50 + i, 30)) for i in clean)
 
 
+def brute_passages(rows):
+    """The spans of ``repeated_passages`` from the units of every text, in plain Python."""
+    kinds, powers = repeats.kinds_of_characters(), repeats.Powers()
+    units, firsts, groups = [], {}, {}
+    for doc_id, text in {(r.doc_id, r.text) for r in rows if r.text}:
+        found = repeats.passages(text, kinds, powers)
+        for place, tokens, high, low in found if found is not None else []:
+            units.append(((doc_id is None, doc_id or 0, text), int(place), int(tokens), (int(high), int(low))))
+    ranks = {key: n for n, key in enumerate(sorted({u[0] for u in units}, key=lambda k: (k[0], k[1], hash_of[k[2]])))}
+    for doc, place, tokens, digest in units:
+        firsts[digest] = min(firsts.get(digest, (1 << 62,)), (ranks[doc], place, tokens, doc))
+    for doc, place, tokens, digest in units:
+        rank, first_place, first_tokens, first_doc = firsts[digest]
+        if ranks[doc] != rank or place >> 32 >= first_place & 0xFFFFFFFF:
+            groups.setdefault((doc, first_doc, (tokens >> 32) - (first_tokens >> 32)), []).append((tokens >> 32, tokens & 0xFFFFFFFF, place, first_place))
+    out = []
+    for (doc, first_doc, _), found in groups.items():
+        until = -1
+        for a, b, place, first_place in sorted(found):
+            if a > until:
+                out.append([doc, place >> 32, place & 0xFFFFFFFF, a, b, first_doc, first_place >> 32])
+            span = out[-1]
+            span[2], span[4], until = max(span[2], place & 0xFFFFFFFF), max(span[4], b), max(until, b)
+    ids = [(None if d[0] else d[1], s, e, b - a, None if f[0] else f[1], k) for d, s, e, a, b, f, k in out]
+    return sorted(set(ids), key=repr)
+
+
+hash_of = {}
+
+
+def compare_passages(docs):
+    hash_of.update({r.text: r.copy for r in docs.select("text", repeats.copy_of("text").alias("copy")).collect()})
+    found = [tuple(r) for r in repeats.repeated_passages(docs).collect()]
+    assert sorted(found, key=repr) == brute_passages(docs.select("doc_id", "text").collect()) and len(found) == len(set(found))
+
+
+@pytest.mark.parametrize("hot", [50_000, 3])
+def test_passages_equal_brute_force(spark, odd_docs, hot, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_UNITS", hot)
+    compare_passages(table(spark, SF, "documents").limit(120))
+    compare_passages(odd_docs)
+    passage = sentence(70, 60)
+    rows = [(i, f"{sentence(n, 20)} {passage} {sentence(40 + n, 20)}") for n, i in enumerate((1, 1, 2, None, None))] + [(2, f"{passage}.\n{passage}"), (2, f"{passage}.\n{passage}")]
+    compare_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+
+
+@pytest.mark.parametrize("ids", [(7, 7), (None, None), (7, 8)])
+def test_two_texts_of_one_id(spark, ids):
+    """A passage that two texts of one doc_id share is as repeated as that of two documents."""
+    passage = sentence(70, 60)
+    docs = spark.createDataFrame([(i, f"{sentence(n, 20)}. {passage}. {sentence(40 + n, 20)}") for n, i in enumerate(ids)], "doc_id long, text string")
+    assert sum(r.n_words for r in repeats.repeated_passages(docs).collect()) == 60
+    texts = [r.text for r in repeats.without_repeats(docs).collect()]
+    assert sorted(t.count(passage) for t in texts) == [0, 1]
+
+
 def test_a_whole_line_of_short_sentences(spark):
     docs = spark.createDataFrame([(i, f"{sentence(i, 9)}\nOne two. Three four. Five six. Seven eight.\n{sentence(20 + i, 9)}") for i in range(2)], "doc_id long, text string")
     assert [(r.doc_id, r.n_words, r.kept_doc_id) for r in repeats.repeated_passages(docs).collect()] == [(1, 8, 0)]
