@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockwave.llm.common import let, table
+from stockwave.llm.common import let, map_arrow, table
 from stockwave.llm.fm_index import FMIndex
 from stockwave.session import stage
 
@@ -210,7 +210,7 @@ def find_leaks(
     made for earlier blocks of the benchmark are stored in between.
     """
     kept = [c for c in (docs.columns if carry is None else carry) if c not in RESULTS]
-    read = docs.select(*kept, *([] if text in kept else [text]))
+    read = docs.select(*[f"`{c}`" for c in kept], *([] if text in kept else [f"`{text}`"]))
     hidden = "_" * (1 + max(map(len, read.columns))) + "hit_words"  # no column is called that
     items = T.ArrayType(benchmark.schema[item].dataType)
     none = F.array().cast("array<struct<start:int,end:int>>")
@@ -219,11 +219,11 @@ def find_leaks(
 
     def searched(rows: DataFrame, ids: list, texts: list) -> DataFrame:
         sent = context.broadcast((ids, texts))
-        return rows.mapInArrow(lambda batches: mark(batches, *sent.value, window, text, n_kept), schema)
+        return map_arrow(rows, lambda batches: mark(batches, *sent.value, window, text, n_kept), schema)
 
     for ids, texts in benchmark_blocks(benchmark, item, text):
         found, blocks = searched(stage(found, "leaks") if blocks else found, ids, texts), blocks + 1
-    return (found if blocks else searched(found, [], [])).select(*kept, *RESULTS)
+    return (found if blocks else searched(found, [], [])).select(*[f"`{c}`" for c in kept], *RESULTS)
 
 
 def mark(batches: Iterator[pa.RecordBatch], ids: list, texts: list, window: int, text: str, n_kept: int) -> Iterator[pa.RecordBatch]:
@@ -260,7 +260,7 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, te
     bounds = F.concat(F.array(F.lit(0)), F.flatten(F.transform(spans, lambda s: F.array(s["start"], s["end"]))), F.array(F.char_length(own)))
     clean = let(bounds, lambda b: F.array_join(F.transform(F.sequence(F.lit(0), F.size(spans)), lambda i: F.substring(own, F.get(b, 2 * i) + 1, F.get(b, 2 * i + 1) - F.get(b, 2 * i))), ""))
     found = found.withColumn(clash.get(text, text), F.when(F.size(spans) == 0, own).otherwise(clean))
-    return found.drop(*RESULTS).withColumnsRenamed({v: k for k, v in clash.items()}).select(*docs.columns)
+    return found.drop(*RESULTS).withColumnsRenamed({v: k for k, v in clash.items()}).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op11_fm_index(spark: SparkSession, folder: str) -> DataFrame:

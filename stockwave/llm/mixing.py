@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockwave.llm.common import bucket_bits, running_sum, table, word_count
+from stockwave.llm.common import bucket_bits, row_order, running_sum, table, unused, word_count
 from stockwave.session import stage
 
 WEIGHTS = (5, 2, 1)
@@ -115,14 +115,15 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     Rows equal in doc_id and text share their copies as evenly as possible. ``docs`` should be stored.
     """
     plan = mix_plan(docs, **options)
-    counts = plan.groupBy("doc_id", "digest").agg(F.sum("epochs").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    counts = counts.where("_copies > 0").withColumnsRenamed({"doc_id": "_doc", "digest": "_digest"})
-    keyed = docs.withColumn("_text_digest", F.md5(F.col("text")))
-    joined = keyed.join(counts, keyed.doc_id.eqNullSafe(counts._doc) & keyed._text_digest.eqNullSafe(counts._digest))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_text_digest").orderBy(*[c for c, kind in docs.dtypes if not kind.startswith("map")]))
-    own = F.floor(F.col("_copies") / F.col("_rows")) + F.when(nth <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    copies = joined.withColumn("_own", own).where("_own > 0").withColumn("_own", F.explode(F.sequence(F.lit(1), F.col("_own"))))
-    return copies.select(*docs.columns)
+    doc, digest, own, copies, rows = unused(docs, "doc", "digest", "own_digest", "copies", "rows")
+    counts = plan.groupBy(F.col("doc_id").alias(doc), F.col("digest").alias(digest)).agg(F.sum("epochs").alias(copies), F.count(F.lit(1)).alias(rows))
+    counts = counts.where(F.col(copies) > 0)
+    keyed = docs.withColumn(own, F.md5(F.col("text")))
+    joined = keyed.join(counts, F.col("doc_id").eqNullSafe(F.col(doc)) & F.col(own).eqNullSafe(F.col(digest)))
+    nth = F.row_number().over(Window.partitionBy("doc_id", own).orderBy(*row_order(docs)))
+    share = F.floor(F.col(copies) / F.col(rows)) + F.when(nth <= F.col(copies) % F.col(rows), 1).otherwise(0)
+    taken = joined.withColumn(copies, share).where(F.col(copies) > 0).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return taken.select(*[f"`{c}`" for c in docs.columns])
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:

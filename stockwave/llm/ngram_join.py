@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockwave.llm.common import small_batches, table, word_count
+from stockwave.llm.common import row_order, small_batches, table, unused, word_count
 from stockwave.llm.components import components
 from stockwave.session import stage
 
@@ -54,7 +54,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """64-bit hash per word, remembered; forgets all when full."""
+    """64-bit hash per word, remembered while a task lasts; forgets all when full."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHED_WORDS:
@@ -65,12 +65,6 @@ class WordHashes(dict):
         return value
 
 
-@functools.cache
-def word_hashes() -> WordHashes:
-    """One per Python worker, so that its tasks share what is remembered."""
-    return WordHashes()
-
-
 @functools.cache
 def powers(size: int) -> list[np.uint64]:
     return [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(size)]
@@ -176,7 +170,7 @@ def indexed(docs: DataFrame) -> DataFrame:
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, digest string, n long, class long, entries array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = word_hashes(), set()
+        hashes, seen = WordHashes(), set()
         for batch in small_batches(batches):
             sizes, classes, parts = [], [], []
             for text in batch.column("text").to_pylist():
@@ -349,7 +343,7 @@ def shingle_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
         bitmap[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(bytes(row.bits), np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = word_hashes(), set()
+        hashes, seen = WordHashes(), set()
         for batch in batches:
             bit = batch.column("p").to_numpy() - 1
             wanted_rows = np.flatnonzero((bitmap[bit >> 3] >> (bit & 7)) & 1)
@@ -404,13 +398,14 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Rows without words are linked with nothing and stay.
     """
     _, by_class = resolved(docs)
-    heads = by_class.select(F.col("head.doc_id").alias("_doc"), F.col("head.digest").alias("_digest")).distinct()
-    keyed = docs.withColumn("_own_digest", F.md5("text"))
-    texts = keyed.where(word_count(F.col("text")) > 0)
-    kept = texts.join(heads, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own_digest") == F.col("_digest")))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_own_digest").orderBy(*[c for c, kind in docs.dtypes if not kind.startswith("map")]))
-    one = kept.withColumn("_nth", nth).where("_nth = 1")  # the same row again
-    return one.select(*docs.columns).unionByName(docs.where(word_count(F.col("text")) == 0))
+    doc, digest, own, place = unused(docs, "doc", "digest", "own_digest", "place")
+    heads = by_class.select(F.col("head.doc_id").alias(doc), F.col("head.digest").alias(digest)).distinct()
+    texts = docs.withColumn(own, F.md5("text")).where(word_count(F.col("text")) > 0)
+    kept = texts.join(heads, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(digest)))
+    nth = F.row_number().over(Window.partitionBy("doc_id", own).orderBy(*row_order(docs)))
+    one = kept.withColumn(place, nth).where(F.col(place) == 1)  # the same row again
+    columns = [f"`{c}`" for c in docs.columns]
+    return one.select(*columns).unionByName(docs.where(word_count(F.col("text")) == 0))
 
 
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,11 +12,12 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockwave.llm.common import table
+from stockwave.llm.common import map_arrow, small_batches, table, unused
 from stockwave.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -151,14 +152,18 @@ def patterns_at(text: str, start: int, end: int) -> list[str]:
 SPANS = "array<struct<kind: int, start: int, end: int>>"
 INSTANCES = "array<struct<instance: string, shape: string, kind: int, start: int, end: int, patterns: array<string>>>"
 
+_PLACE = [("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]
+SPANS_TYPE = pa.list_(pa.struct(_PLACE))
+INSTANCES_TYPE = pa.list_(pa.struct([("instance", pa.string()), ("shape", pa.string()), *_PLACE, ("patterns", pa.list_(pa.string()))]))
+
 
 def extract(docs: DataFrame) -> DataFrame:
     """doc_id, digest (MD5 of the text), base spans and all instances with their contexts, per row of ``docs``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
             spans, instances = [], []
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 text = text or ""
                 found = base_spans(text)
                 spans.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
@@ -167,11 +172,12 @@ def extract(docs: DataFrame) -> DataFrame:
                     {"instance": text[s:e].lower(), "shape": shape_of(text[s:e]), "kind": k, "start": s, "end": e, "patterns": patterns_at(text, s, e)}
                     for k, s, e in every
                 ])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "spans": spans, "instances": instances})
+            columns = [batch.column("doc_id"), batch.column("digest"), pa.array(spans, SPANS_TYPE), pa.array(instances, INSTANCES_TYPE)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "spans", "instances"])
 
     kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select("doc_id", F.md5("text").alias("digest"), "text")
-    return rows.mapInPandas(run, f"doc_id {kind}, digest string, spans {SPANS}, instances {INSTANCES}")
+    return rows.mapInArrow(run, f"doc_id {kind}, digest string, spans {SPANS}, instances {INSTANCES}")
 
 
 def bootstrap(extracted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -221,17 +227,29 @@ def find(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` with every span of the text replaced by its kind in angle brackets; overlapping spans become one."""
-    spans = find(docs, rounds).where(F.size("spans") > 0).select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), F.col("spans").alias("_spans")).distinct()
-
-    @F.pandas_udf("string")
-    def replace(texts: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([masked(t, s) for t, s in zip(texts, found)], dtype=object)
+    """``docs`` with every span of the text replaced by its kind in angle brackets; overlapping spans become one.
 
-    keyed = docs.withColumn("_own_digest", F.md5("text"))
-    joined = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("_own_digest").eqNullSafe(F.col("_digest")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(replace("text", "_spans"))
-    return joined.withColumn("text", text).select(*docs.columns)
+    Rows, their other columns and null texts stay as they are, repeated rows and ids included; an empty table gives no
+    rows. Texts are read as in ``find``.
+    """
+    doc, digest, own, listed_ = unused(docs, "doc", "digest", "own_digest", "spans")
+    spans = find(docs, rounds).where(F.size("spans") > 0)
+    spans = spans.select(F.col("doc_id").alias(doc), F.col("digest").alias(digest), F.col("spans").alias(listed_)).distinct()
+    columns = docs.columns
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = columns.index("text")
+        for batch in small_batches(batches):
+            found = batch.column(listed_)
+            some = pc.fill_null(pc.greater(pc.list_value_length(found), 0), False)
+            clean = [masked(t, f) for t, f in zip(batch.column("text").filter(some).to_pylist(), found.filter(some).to_pylist())]
+            out = list(batch.columns[: len(columns)])
+            out[at] = pc.replace_with_mask(out[at], some, pa.array(clean, out[at].type))
+            yield pa.RecordBatch.from_arrays(out, columns)
+
+    keyed = docs.withColumn(own, F.md5("text"))
+    joined = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col(doc)) & F.col(own).eqNullSafe(F.col(digest)), "left")
+    return map_arrow(joined.select(*[f"`{c}`" for c in columns], listed_), replace, docs.schema)
 
 
 def with_length(docs: DataFrame) -> DataFrame:

@@ -13,13 +13,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import FMClassifier
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stockwave.llm.common import table
+from stockwave.llm.common import map_arrow, small_batches, table, unused
 from stockwave.session import stage
 
 WORD_SLOTS = 4096
@@ -35,7 +36,7 @@ SIZE = WORD_SLOTS + STRUCTURE
 
 
 class WordSlots(dict):
-    """Hash slot of a word, remembered; forgets all when full."""
+    """Hash slot of a word, remembered while a task lasts; forgets all when full."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHED_WORDS:
@@ -46,12 +47,6 @@ class WordSlots(dict):
         return slot
 
 
-@functools.cache
-def word_slots() -> WordSlots:
-    """One per Python worker, so that its tasks share what is remembered."""
-    return WordSlots()
-
-
 @functools.cache
 def class_of_byte() -> np.ndarray:
     """Class number per byte; bytes of other characters share the last one."""
@@ -117,15 +112,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, factor
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slots, classes = word_slots(), class_of_byte()
-        for batch in batches:
-            found = [features(t, n, slots, classes) for t, n in zip(batch["text"], batch["n_chars"])]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "digest": batch["digest"], "at": [f[0] for f in found], "x": [f[1] for f in found]})
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, classes = WordSlots(), class_of_byte()
+        for batch in small_batches(batches):
+            found = [features(t, n, slots, classes) for t, n in zip(batch.column("text").to_pylist(), batch.column("n_chars").to_pylist())]
+            at, x = pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), batch.column("digest"), at, x], ["doc_id", "label", "digest", "at", "x"])
 
     rows = with_size(docs).select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars"), F.md5("text").alias("digest"))
     rows = rows.join(F.broadcast(chosen), "doc_id")  # at most max_rows ids
-    rows = rows.mapInPandas(extract, f"doc_id {dict(labels.dtypes)['doc_id']}, label double, digest string, at array<int>, x array<double>")
+    rows = rows.mapInArrow(extract, f"doc_id {dict(docs.dtypes)['doc_id']}, label double, digest string, at array<int>, x array<double>")
     rows = stage(rows.groupBy("doc_id").agg(F.min("label").alias("label"), F.min_by(F.struct("at", "x"), F.coalesce("digest", F.lit(""))).alias("f")), "fit-rows")
     share = rows.agg(F.avg("label")).head()[0]
     if share is None or share in (0.0, 1.0):
@@ -140,17 +136,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, factor
 def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` (text and perhaps n_chars) with a score from 0 to 1, the probability of label 1.
 
-    Null and empty texts are scored from their structure. Equal rows score alike; other columns stay.
+    Null and empty texts are scored from their structure. Equal rows score alike; other columns stay, and one
+    that is called ``name`` is replaced.
     """
-
-    @F.pandas_udf("double")
-    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        slots, classes = word_slots(), class_of_byte()
-        for texts, sizes in batches:
-            yield pd.Series([model.score(*features(t, n, slots, classes)) for t, n in zip(texts, sizes)], dtype="float64")
-
-    size = F.col("n_chars") if "n_chars" in docs.columns else F.length("text")
-    return docs.withColumn(name, score("text", size.cast("double")))
+    kept = [c for c in docs.columns if c != name]
+    (size,) = unused(docs, "size")
+    length = F.col("n_chars") if "n_chars" in docs.columns else F.length("text")
+    rows = docs.select(*[f"`{c}`" for c in kept], length.cast("double").alias(size))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, classes = WordSlots(), class_of_byte()
+        for batch in small_batches(batches):
+            texts, sizes = batch.column("text").to_pylist(), batch.column(size).to_pylist()
+            scores = [model.score(*features(t, n, slots, classes)) for t, n in zip(texts, sizes)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(scores, pa.float64())], [*kept, name])
+
+    return map_arrow(rows, score, T.StructType([*[docs.schema[c] for c in kept], T.StructField(name, T.DoubleType())]))
 
 
 def op10_factorisation_machine(spark: SparkSession, folder: str) -> DataFrame:
