@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockwave.functions.numeric import half_even, normal_quantile, normal_quantile_scalar
+from stockwave.functions.skew import salted_join
 from stockwave.params import (
     DEMAND_VARIATION,
     ITEM_DEFAULTS,
@@ -32,6 +33,7 @@ from stockwave.params import (
 BUCKETS_PER_OCTAVE = 64
 SLICES_PER_BUCKET = 4096
 UNLIMITED_BUCKET = 1 << 20
+BROADCAST_KEYS = 10_000  # sums of so many scenarios are small
 
 
 # --- items -----------------------------------------------------------------------------------
@@ -193,12 +195,16 @@ def _fill_shares(candidates: DataFrame, key: str) -> DataFrame:
     return placed.select(key, "_density", share.alias("_share"))
 
 
-def solve_plan(items: DataFrame, key: str = "scenario", low_service: bool = False) -> DataFrame:
+def solve_plan(
+    items: DataFrame, key: str = "scenario", low_service: bool = False, n_keys: int | None = None,
+    hot: DataFrame | None = None, slot: str | None = None,
+) -> DataFrame:
     """Exact optimal order quantities, unrounded, for items that carry their limits.
 
     ``items`` is read by a sum per scenario and by the projection; pass a stored table when it is
-    costly. The sums of a list of scenarios are a row each and are broadcast, so items are not shuffled by
-    one of a few names; those of requests are not. ``low_service`` adds the filling step that scenarios with a service level under one
+    costly. The sums of a list of scenarios, whose length ``n_keys`` the caller knows, are broadcast up to
+    ``BROADCAST_KEYS`` of them, so items are not shuffled by one of a few names. Otherwise they meet their items in a join
+    that is salted by the ``hot`` keys and the ``slot`` column of the items, where these are given. ``low_service`` adds the filling step that scenarios with a service level under one
     half need; it changes nothing for the others.
     """
     demand, stock, cost = F.col("forecast_demand"), F.col("current_stock"), F.col("unit_cost")
@@ -210,7 +216,11 @@ def solve_plan(items: DataFrame, key: str = "scenario", low_service: bool = Fals
         F.sum(cost * F.col("_need")).alias("_money_need"),
     )
     fits = (F.col("_volume_need") <= F.col("storage_capacity")) & (F.col("_money_need") <= F.col("budget"))
-    base = needed.join(F.broadcast(loads) if key == "scenario" else loads, key).withColumn("status", F.when(fits, "Optimal").otherwise("Infeasible"))
+    if n_keys is not None and n_keys <= BROADCAST_KEYS:
+        joined = needed.join(F.broadcast(loads), key)
+    else:
+        joined = needed.join(loads, key) if hot is None else salted_join(needed, loads, key, hot=hot, slot=slot)
+    base = joined.withColumn("status", F.when(fits, "Optimal").otherwise("Infeasible"))
     quantity = F.col("_need")
     if low_service:
         short = F.greatest(F.lit(0.0), demand - stock)

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockwave.functions.numeric import half_even
-from stockwave.functions.skew import salted_join
+from stockwave.functions.skew import hot_keys, row_slots, salted_join
 from stockwave.operators.replenish import items_from_forecast, solve_plan, with_request_limits
+from stockwave.session import stage
 
 # Request defaults and bounds.
 DEFAULT_DAYS, MIN_DAYS, MAX_DAYS = 30, 1, 365
@@ -91,13 +92,15 @@ def reorder_batch(requests: DataFrame, items: DataFrame) -> DataFrame:
 
     Both tables carry ``request_id``. Items without a demand or other fields get the defaults.
     Rejected requests and items take no part; ``rejected_plan_requests`` lists them. ``items`` is a stored
-    table: its items meet their limits in a salted join, so a request with most items is many tasks,
-    and sums per request are combined before they are shuffled.
+    table: its items meet their limits, and then the sums of their request, in salted joins, so a request with most
+    items is many tasks, and sums per request are combined before they are shuffled.
     """
     limits = with_request_limits(validate_plan_requests(requests).where("valid").drop("valid", "errors"))
     sound = validate_items(items).where("valid").drop("valid", "errors")
-    full = items_from_forecast(sound, keep=("request_id",))
-    return solve_plan(salted_join(full, limits, "request_id"), "request_id", low_service=True)
+    hot = stage(hot_keys(items, "request_id"), "hot-requests")
+    full = items_from_forecast(sound, keep=("request_id",)).withColumn("_slot", row_slots())
+    limited = salted_join(full, limits, "request_id", hot=hot, slot="_slot")
+    return solve_plan(limited, "request_id", low_service=True, hot=hot, slot="_slot").drop("_slot")
 
 
 def rejected_plan_requests(requests: DataFrame, items: DataFrame) -> DataFrame:

@@ -199,7 +199,7 @@ def run_replenishment(
     items = stage(replenish.items_from_forecast(demand.join(config, "category")), "items")
     limited = replenish.with_scenarios(items, scenarios)
     low = any((s.service_level or 0.95) < 0.5 for s in scenarios)
-    plan = replenish.solve_plan(limited, low_service=low)
+    plan = replenish.solve_plan(limited, low_service=low, n_keys=len(scenarios))
     files.save_table(plan, f"{out}/plan")
     stored = files.load_table(spark, f"{out}/plan")
     report = replenish.plan_report(stored)

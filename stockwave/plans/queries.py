@@ -972,7 +972,7 @@ def safety_stock(spark: SparkSession, folder: str) -> DataFrame:
 
 def sku_plan(spark: SparkSession, folder: str, scenarios: Sequence[Scenario], low_service: bool = False) -> DataFrame:
     items = stage(sku_items(spark, folder), "items")
-    return replenish.solve_plan(replenish.with_scenarios(items, scenarios), low_service=low_service)
+    return replenish.solve_plan(replenish.with_scenarios(items, scenarios), low_service=low_service, n_keys=len(scenarios))
 
 
 @query
@@ -1009,7 +1009,7 @@ def naive_vs_optimal_cost(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def reorder_from_latest(spark: SparkSession, folder: str) -> DataFrame:
     items = stage(replenish.items_from_forecast(explore.latest_per_category(panel_of(spark, folder))), "items")
-    plan = replenish.solve_plan(replenish.with_scenarios(items, (Scenario("latest"),)))
+    plan = replenish.solve_plan(replenish.with_scenarios(items, (Scenario("latest"),)), n_keys=1)
     return tidy(replenish.plan_report(plan))
 
 
@@ -1019,7 +1019,7 @@ def reorder_from_profile(spark: SparkSession, folder: str) -> DataFrame:
     profile = stage(explore.demand_profile(panel, 30, 10), "profile")
     items = stage(replenish.items_from_profile(replenish.cost_config(profile, panel), profile), "items")
     scenario = Scenario("profile", storage_capacity=1e12, budget=1e13)
-    return tidy(replenish.plan_report(replenish.solve_plan(replenish.with_scenarios(items, (scenario,)))))
+    return tidy(replenish.plan_report(replenish.solve_plan(replenish.with_scenarios(items, (scenario,)), n_keys=1)))
 
 
 def plan_requests_of(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

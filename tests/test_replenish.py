@@ -28,7 +28,7 @@ MORE = [
 
 def solve(spark, rows, *scenarios, low=False):
     items = spark.createDataFrame(rows, ITEM)
-    return replenish.solve_plan(replenish.with_scenarios(items, scenarios or (Scenario(),)), low_service=low)
+    return replenish.solve_plan(replenish.with_scenarios(items, scenarios or (Scenario(),)), low_service=low, n_keys=max(1, len(scenarios)))
 
 
 def test_published_sample(spark):
