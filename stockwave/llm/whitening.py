@@ -10,6 +10,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -109,7 +110,7 @@ def fit(rows: DataFrame, components: int | None = None) -> Whitening:
     if not n or not dim:
         return Whitening(n, [], np.zeros(0), np.zeros((0, 0)), 0.0, None)
     sums = [int(s) for s in distinct.agg(*[F.sum(F.get("x", F.lit(i)).cast("decimal(20,0)")) for i in range(dim)]).head()]
-    centred = block_matrix(distinct, n, np.array([s / n for s in sums]))
+    centred = block_matrix(distinct, n, np.array([s / n for s in sums])).persist(StorageLevel.MEMORY_AND_DISK)  # two products read it
     covariance = squared(centred) / n
     values, axes = np.linalg.eigh(covariance)
     values, axes = values[::-1], axes[:, ::-1]
@@ -118,10 +119,11 @@ def fit(rows: DataFrame, components: int | None = None) -> Whitening:
     if len(kept):
         axes = axes * np.sign(axes[np.abs(axes).argmax(0), np.arange(len(kept))])
     found = Whitening(n, sums, values, axes, float(np.trace(covariance)), None)
-    if not len(kept):
-        return found
-    error = np.abs(squared(projected(centred, found.matrix)) / n - np.eye(len(kept))).max()
-    return found._replace(identity_error=float(error))
+    if len(kept):
+        error = np.abs(squared(projected(centred, found.matrix)) / n - np.eye(len(kept))).max()
+        found = found._replace(identity_error=float(error))
+    centred._java_matrix_wrapper._java_model.blocks().unpersist(False)
+    return found
 
 
 def apply(rows: DataFrame, model: Whitening) -> DataFrame:
