@@ -2,8 +2,8 @@
 
 The fixed patterns give the seeds. Every identifier-like string of the corpus, seed or not, is an
 instance; the words around it make lexical patterns. Patterns are scored by the share of their
-instances that are believed to be of a kind, instances by the patterns that hold them, in turn;
-strings that trusted patterns agree on are reported as further spans of that kind.
+instances that are believed to be of a kind, instances by the patterns that hold them, in turn, until
+the beliefs settle; strings that trusted patterns agree on are reported as further spans of that kind.
 """
 
 from __future__ import annotations
@@ -21,15 +21,16 @@ from stockwave.llm.common import map_arrow, small_batches, table, unused
 from stockwave.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+SETTLED = 1e-3  # rounds end when the beliefs together grow by less than this share
 MIN_SUPPORT = 3  # believed instances a pattern needs
 TRUST = 0.8  # score from which a pattern speaks for its instances
 BELIEF = 0.9  # score from which an instance is reported
+KNOWN = 4  # instances from which a context of two words is known well enough not to back off to one
 SMOOTHING = 1.0
 CONTEXT_CHARS = 48
-MIN_DIGITS, MAX_DIGITS = 7, 20  # of a number-like candidate; the groups of a longer run are candidates of their own
-MAX_IDENTIFIER = 128  # characters of a candidate word
-MIN_MIXED_DIGITS = 4  # of a candidate with letters
+MIN_DIGITS = 4  # of a candidate without @: shorter ones are counts, days and the like
+RUN_DIGITS = 20  # the blank-parted groups of a longer run are candidates of their own
+KEY_CHARS = 128  # longer strings are named by their digest
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -119,11 +120,11 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[i
         number = NUMBER.match(text, start, limit)
         n_digits = len(digits_of(number.group())) if number else 0
         if n_digits >= MIN_DIGITS and (start == 0 or not text[start - 1].isalnum()) and (number.end() == n or not text[number.end()].isalnum()):
-            if n_digits <= MAX_DIGITS:
+            if n_digits <= RUN_DIGITS:
                 yield start, number.end()
             else:
                 for group in GROUP.finditer(text, start, number.end()):
-                    if MIN_DIGITS <= len(digits_of(group.group())) <= MAX_DIGITS:
+                    if len(digits_of(group.group())) >= MIN_DIGITS:
                         yield group.span()
             pos = number.end()
             continue
@@ -136,17 +137,29 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[i
         word = text[left:right]
         left += len(word) - len(word.lstrip(EDGES))
         word = word.strip(EDGES)
-        mixed = any(c.isalpha() for c in word) and len(digits_of(word)) >= MIN_MIXED_DIGITS
-        if len(word) <= MAX_IDENTIFIER and (mixed or "@" in word[1:-1]):
+        if "@" in word[1:-1] or any(c.isalpha() for c in word) and len(digits_of(word)) >= MIN_DIGITS:
             yield left, left + len(word)
 
 
+def instance_of(text: str) -> str:
+    """What an instance is known by: the string without case; its digest where it is long."""
+    own = text.lower()
+    return own if len(own) <= KEY_CHARS else f"md5 {hashlib.md5(own.encode('utf-8', 'surrogatepass')).hexdigest()}"
+
+
 def patterns_at(text: str, start: int, end: int) -> list[str]:
-    """The two words before; the word before and the word after. Words are cut to their last or first letters."""
-    before = [w.strip(EDGES) or w for w in text[max(0, start - CONTEXT_CHARS) : start].lower().split()]
-    after = [w.strip(EDGES) or w for w in text[end : end + CONTEXT_CHARS].lower().split()]
-    last = before[-1] if before else "^"
-    return [f"L {before[-2] if len(before) > 1 else '^'} {last}", f"M {last} _ {after[0] if after else '$'}"]
+    """Contexts on the line, longest first: two words before (L), one before and one after (M), one before (B), one after (A).
+
+    The ends of the line are words. Words are cut to their last or first letters. The contexts of one
+    word, to which the others back off, hold for one shape.
+    """
+    left, right, shape = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS), shape_of(text[start:end])
+    head, tail = text[left:start].lower(), text[end:right].lower()
+    first, last = "\n" in head or not left, "\n" in tail or right == len(text)
+    before = ["^"] * first + [w.strip(EDGES) or w for w in head.rpartition("\n")[2].split()]
+    after = [w.strip(EDGES) or w for w in tail.partition("\n")[0].split()] + ["$"] * last
+    near, next_ = before[-1] if before else "", after[0] if after else ""
+    return [f"L {before[-2] if len(before) > 1 else ''} {near}", f"M {near} _ {next_}", f"B {shape} {near}", f"A {shape} {next_}"]
 
 
 SPANS = "array<struct<kind: int, start: int, end: int>>"
@@ -169,7 +182,7 @@ def extract(docs: DataFrame) -> DataFrame:
                 spans.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
                 every = found + [(-1, s, e) for s, e in candidates(text, found)]
                 instances.append([
-                    {"instance": text[s:e].lower(), "shape": shape_of(text[s:e]), "kind": k, "start": s, "end": e, "patterns": patterns_at(text, s, e)}
+                    {"instance": instance_of(text[s:e]), "shape": shape_of(text[s:e]), "kind": k, "start": s, "end": e, "patterns": patterns_at(text, s, e)}
                     for k, s, e in every
                 ])
             columns = [batch.column("doc_id"), batch.column("digest"), pa.array(spans, SPANS_TYPE), pa.array(instances, INSTANCES_TYPE)]
@@ -180,35 +193,45 @@ def extract(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, digest string, spans {SPANS}, instances {INSTANCES}")
 
 
-def bootstrap(extracted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def bootstrap(extracted: DataFrame) -> DataFrame:
     """(instance, kind, score) of strings that are no seeds but that trusted patterns hold to be of a kind.
 
     The graph has one edge per pattern and instance, however often they meet. A pattern's score for a
     kind is the belief in its instances over their number; an instance's belief is one less the
-    product of the doubts of its trusted patterns. Strings believed only where their shape (mail,
-    number or mixed) occurs among the kind's seeds.
+    product of the doubts of its trusted patterns. Contexts of one word speak where no longer one of the
+    instance is trusted or known from several instances. Strings are believed only where their shape (mail,
+    number or mixed) occurs among the kind's seeds. Beliefs only ever grow, up to 1, so the rounds come to an end.
     """
     flat = extracted.select(F.explode("instances").alias("i")).select("i.*")
     nodes = stage(flat.groupBy("instance", "shape").agg(F.max("kind").alias("kind")), "pii-instances")  # a seed in any place is a seed
     edges = stage(flat.select("instance", F.explode("patterns").alias("pattern")).distinct(), "pii-edges")
+    short = F.col("pattern").rlike("^[AB] ")
     seeds = nodes.where("kind >= 0").select("instance", "kind", F.lit(1.0).alias("belief"))
     shapes = F.broadcast(nodes.where("kind >= 0").select("kind", "shape").distinct())  # at most kinds x 3
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    beliefs = found = None
-    for _ in range(rounds):
-        believed = seeds if beliefs is None else seeds.unionByName(beliefs)
-        votes = edges.join(believed, "instance").groupBy("pattern", "kind").agg(F.sum("belief").alias("votes"), F.count(F.lit(1)).alias("support"))
+    sizes = stage(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MIN_SUPPORT), "pii-patterns")  # others are never trusted
+    unseen = nodes.where("kind < 0").select("instance", "shape")
+    well_known = edges.where(~short).join(sizes.where(F.col("n") >= KNOWN), "pattern").join(unseen, "instance", "left_semi")
+    unseen = stage(unseen.join(well_known.select("instance", F.lit(True).alias("known")).distinct(), "instance", "left"), "pii-unseen")
+    asked = stage(edges.join(sizes.select("pattern"), "pattern", "left_semi"), "pii-asked")
+    found, total = None, 0.0
+    while True:
+        believed = seeds if found is None else seeds.unionByName(found)
+        votes = asked.join(believed, "instance").groupBy("pattern", "kind").agg(F.sum("belief").alias("votes"), F.count(F.lit(1)).alias("support"))
         trusted = votes.where(F.col("support") >= MIN_SUPPORT).join(sizes, "pattern")
         trusted = trusted.select("pattern", "kind", (F.col("votes") / (F.col("n") + SMOOTHING)).alias("trust")).where(F.col("trust") >= TRUST)
-        doubts = edges.join(trusted, "pattern").groupBy("instance", "kind").agg(F.sum(F.log1p(-F.col("trust"))).alias("doubt"))
-        told = doubts.join(nodes.where("kind < 0").select("instance", "shape"), "instance").join(shapes, ["kind", "shape"])
-        found = stage(told.select("instance", "kind", (1 - F.exp("doubt")).alias("belief")), "pii-beliefs")
-        beliefs = found
+        doubt = F.log1p(-F.col("trust"))
+        doubts = asked.join(trusted, "pattern").groupBy("instance", "kind").agg(F.sum(F.when(~short, doubt)).alias("long"), F.sum(F.when(short, doubt)).alias("short"))
+        told = doubts.join(unseen, "instance").join(shapes, ["kind", "shape"])
+        told = told.withColumn("doubt", F.least("long", F.when(F.col("known").isNull(), F.col("short"))))
+        found = stage(told.where(F.col("doubt").isNotNull()).select("instance", "kind", (1 - F.exp("doubt")).alias("belief")), "pii-beliefs")
+        before, total = total, found.agg(F.sum("belief")).head()[0] or 0.0
+        if total - before <= SETTLED * total:
+            break
     best = F.row_number().over(Window.partitionBy("instance").orderBy(F.desc("belief"), "kind"))  # at most one row per kind
     return found.where(F.col("belief") >= BELIEF).withColumn("_r", best).where("_r = 1").select("instance", "kind", F.col("belief").alias("score"))
 
 
-def find(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def find(docs: DataFrame) -> DataFrame:
     """doc_id, digest, base spans, and all spans by kind and start, per row of ``docs`` (doc_id, text).
 
     Spans count code points, ends exclusive. Null text is empty; null and repeated doc_ids are rows like
@@ -218,7 +241,7 @@ def find(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     extracted = stage(extract(docs), "pii-extracted")
     unseen = extracted.select("doc_id", "digest", F.explode("instances").alias("i")).where("i.kind < 0")
     unseen = unseen.select("doc_id", "digest", "i.instance", "i.start", "i.end")
-    found = unseen.join(bootstrap(extracted, rounds), "instance").select("doc_id", "digest", F.struct(F.col("kind").cast("int").alias("kind"), "start", "end").alias("span")).distinct()
+    found = unseen.join(bootstrap(extracted), "instance").select("doc_id", "digest", F.struct(F.col("kind").cast("int").alias("kind"), "start", "end").alias("span")).distinct()
     added = found.groupBy("doc_id", "digest").agg(F.collect_list("span").alias("added"))  # of one text
     a = added.withColumnsRenamed({"doc_id": "_doc", "digest": "_digest"})
     rows = extracted.select("doc_id", "digest", "spans").join(a, F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("digest").eqNullSafe(F.col("_digest")), "left")
@@ -226,14 +249,14 @@ def find(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return rows.select("doc_id", "digest", F.col("spans").alias("base"), every.alias("spans"))
 
 
-def redact(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in angle brackets; overlapping spans become one.
 
     Rows, their other columns and null texts stay as they are, repeated rows and ids included; an empty table gives no
     rows. Texts are read as in ``find``.
     """
     doc, digest, own, listed_ = unused(docs, "doc", "digest", "own_digest", "spans")
-    spans = find(docs, rounds).where(F.size("spans") > 0)
+    spans = find(docs).where(F.size("spans") > 0)
     spans = spans.select(F.col("doc_id").alias(doc), F.col("digest").alias(digest), F.col("spans").alias(listed_)).distinct()
     columns = docs.columns
 

@@ -1,6 +1,9 @@
+import math
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockwave.llm import pii
 from stockwave.llm.common import table
@@ -107,3 +110,101 @@ def test_query_columns(spark):
 ])
 def test_numbers_side_by_side(text, parts):
     assert [text[a:b] for a, b in pii.candidates(text, [])] == parts
+
+
+@pytest.mark.parametrize("hidden, found", [("1234567890123456789012345", True), ("012345", True), ("a" * 200 + "@localhost", False), ("the most", False)])
+def test_candidates_of_any_length(spark, hidden, found):
+    rows = [*contacts(120), (2000, f"so my number is {hidden} so call me", "x", 0)]
+    spans = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string, spans string, kind int")).collect()}
+    assert [(pii.KINDS[s.kind], s.end - s.start) for s in spans[2000]] == ([("phone", len(hidden))] if found else [])
+
+
+def test_long_words_are_known_by_their_digest(spark):
+    word = "b" * 300 + "@localhost"
+    rows = [*contacts(120), (2000, f"please write to our desk at {word} for help", "x", 0), (2001, f"and {word.upper()} again", "x", 0)]
+    spans = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string, spans string, kind int")).collect()}
+    assert [len(spans[i]) for i in (2000, 2001)] == [1, 1] and spans[2001][0].end - spans[2001][0].start == 310
+
+
+def planted(n_seeds=200, n_unseen=30):
+    """(texts, {doc_id: the unseen identifier}): the words around an identifier are drawn, but for one before it, after it or at the line's start."""
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(4))
+    forms = (("{a} telephone {x} {b}", "phone"), ("{a} {b}\nfax {x} {c}", "phone"), ("{a} {x} extension {b}", "phone"), ("{a} mailbox {x} {b}", "email"))
+    texts, hidden = [], {}
+
+    def add(form, x):
+        texts.append(form.format(a=f"{word()} {word()}", b=f"{word()} {word()}", c=word(), x=x))
+        return len(texts) - 1
+
+    for form, kind in forms:
+        for i in range(n_seeds):
+            add(form, f"{word()}{i}@{word()}.org" if kind == "email" else f"+49 {draw.randrange(100, 999)} {draw.randrange(10**5, 10**6)}")
+        for _ in range(n_unseen):
+            x = f"{word()}.{word()}@{word()}" if kind == "email" else f"0{draw.randrange(100, 999)} {draw.randrange(10**5, 10**6)}"
+            hidden[add(form, x)] = x
+    for i in range(300):  # numbers that are no identifiers
+        add(draw.choice(("{a} invoice {x} {b}", "{a} {x} pieces {b}", "{a} {x} {b}")), str(draw.randrange(10**6, 10**9)))
+    return texts, hidden
+
+
+def brute_bootstrap(texts):
+    """The beliefs by plain loops over all patterns and instances."""
+    kinds, shapes, edges = {}, {}, set()
+    for text in texts:
+        found = pii.base_spans(text)
+        for k, s, e in found + [(-1, s, e) for s, e in pii.candidates(text, found)]:
+            x = text[s:e].lower()
+            kinds[x], shapes[x] = max(k, kinds.get(x, -1)), pii.shape_of(x)
+            edges |= {(x, p) for p in pii.patterns_at(text, s, e)}
+    of_pattern, of_instance = {}, {}
+    for x, p in edges:
+        of_pattern.setdefault(p, set()).add(x)
+        of_instance.setdefault(x, set()).add(p)
+    allowed = {(k, shapes[x]) for x, k in kinds.items() if k >= 0}
+    belief = {(x, k): 1.0 for x, k in kinds.items() if k >= 0}
+    seeds, total = set(belief), -1.0
+    while True:
+        trust = {}
+        for p, members in of_pattern.items():
+            for k in range(4):
+                votes = [belief[x, k] for x in members if (x, k) in belief]
+                if len(votes) >= 3 and sum(votes) / (len(members) + 1) >= 0.8:
+                    trust[p, k] = sum(votes) / (len(members) + 1)
+        told = {}
+        for x, own in of_instance.items():
+            if kinds[x] >= 0:
+                continue
+            longer = [p for p in own if p[0] in "LM"]
+            known = any(len(of_pattern[p]) >= 4 for p in longer)
+            for k in range(4):
+                spoken = [p for p in longer if (p, k) in trust] or ([] if known else [p for p in own if (p, k) in trust])
+                if spoken and (k, shapes[x]) in allowed:
+                    told[x, k] = 1 - math.prod(1 - trust[p, k] for p in spoken)
+        belief = {**{s: 1.0 for s in seeds}, **told}
+        if sum(told.values()) - total <= 1e-3 * sum(told.values()):
+            return {x: k for (x, k), b in told.items() if b >= 0.9}
+        total = sum(told.values())
+
+
+def test_unseen_identifiers_in_varying_contexts(spark):
+    texts, hidden = planted()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = brute_bootstrap(texts)
+    added = {}
+    for r in pii.find(docs).collect():
+        assert [s for s in r.spans if s in r.base] == r.base
+        for s in r.spans:
+            if s not in r.base:
+                added.setdefault(r.doc_id, []).append((texts[r.doc_id][s.start : s.end], s.kind))
+    assert {x: k for spans in added.values() for x, k in spans} == want
+    caught = sum([x for x, _ in added.get(i, [])] == [own] for i, own in hidden.items())
+    assert caught >= 0.9 * len(hidden)
+    assert set(added) <= set(hidden)  # no span in any text without an identifier
+
+
+def test_no_back_off_from_a_known_context(spark):
+    """"order line" is known to hold no phones, though "line" mostly does."""
+    rows = [f"x{i} call{i} line +49 30 {1000 + i} s{i}" for i in range(150)] + [f"our order line 0{2000 + i}44 u{i}" for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert pii.find(docs).where(F.size("spans") > F.size("base")).count() == 0
