@@ -17,17 +17,18 @@ from stockwave.llm.common import let, table
 # --- fixed values: rules (verdict, host and path) ------------------------------------------------
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
-# --- labelled hosts: a small training table ---------------------------------------------------------
+# --- labelled hosts: a small training table of general words; hosts it is tested on are not among them ---
 UNWANTED = (
-    "cheap-pills", "pills-online", "best-pills", "pharma-cheap", "casino-win", "casino-royal", "big-casino", "win-money",
-    "free-bets", "bets-today", "sport-bets", "free-spins", "slots-free", "spam-farm", "link-farm", "spam-site", "content-farm",
-    "ads-track", "ad-track", "track-clicks", "click-ads", "popup-ads", "adserver", "tracker", "fast-loans", "cheap-loans",
-    "hot-dates", "xxx-cams", "adult-cams", "replica-watch", "lottery-win", "crypto-win", "free-prize",
+    "pills-online", "best-pills", "pharma-cheap", "cheap-meds", "casino-royal", "big-casino", "win-money", "bets-today",
+    "sport-bets", "free-spins", "slots-free", "spam-site", "spam-mails", "link-farm", "content-farm", "ad-track", "track-clicks",
+    "click-ads", "ads-popup", "adserver", "tracker", "fast-loans", "cheap-loans", "hot-dates", "xxx-cams", "adult-cams",
+    "adult-dates", "replica-watch", "lottery-win", "crypto-win", "free-prize",
 )
 WANTED = (
-    "library", "news", "gardening", "thether", "tionther", "wiki", "school", "recipes", "therand", "history", "science",
-    "weather", "museum", "music", "anerth", "rhether", "travel", "forum", "docs", "university", "thenor", "tionand", "city",
-    "health", "theshin", "books", "letters", "rethand", "authors", "journal", "ertheer", "nature", "theater",
+    "library", "news", "gardening", "wiki", "school", "recipes", "history", "science", "weather", "museum", "music", "travel",
+    "forum", "docs", "university", "city", "health", "books", "letters", "authors", "journal", "nature", "theater", "nation",
+    "station", "reading", "brother", "thousand", "northern", "another", "teaching", "motion", "heritage", "astronomy", "stable",
+    "southwest", "sunshine", "thesis", "earth", "table",
 )
 PREFIXES = ("", "www.", "blog.", "m.")
 ZONES = ("example.com", "example.net", "example.org")

@@ -53,8 +53,12 @@ def test_unseen_urls(spark, model):
 
 
 def test_planted_hosts(spark, model):
+    """Hosts that are not in the training table."""
     found = url_filter.judge(table(spark, "/root/testdata/sf0.01", "pages"), model).collect()
     spam = re.compile("spam-farm|cheap-pills|casino-win|free-bets|ads-track|adult-x")
+    stems = {part for r in found for part in r.host.split(".")}
+    assert not stems & {*url_filter.UNWANTED, *url_filter.WANTED}
+    assert len({r.host for r in found}) > 50
     wrong = [r.host for r in found if (r.score >= 0.5) != bool(spam.search(r.host))]
     assert not wrong, wrong
 
