@@ -20,6 +20,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from stockwave.llm.common import running_sum, table
@@ -124,7 +125,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     """Token ids of every document (doc_id, text), cut into pieces of ``capacity`` where it is longer.
 
     Returns doc_id, piece, start, length, ids_crc32 and, ``with_ids``, the ids as little-endian bytes.
-    A null or empty text is ``end_id`` alone. Rows are independent: null or repeated doc_ids and
+    A null or empty text is ``end_id`` alone. Whole-numbered ids become long, others keep their type. Rows are independent: null or repeated doc_ids and
     other columns of any name do no harm; an empty table gives no pieces.
     """
     path = path or public_tokenizers.path(TOKENIZER)
@@ -142,12 +143,16 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
                     row = (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))
                     rows.append(row + (part,) if with_ids else row)
             out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
+            if whole:
+                out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
+    kind = docs.schema["doc_id"].dataType
+    whole = isinstance(kind, T.IntegralType)
+    kept = "long" if whole else kind.simpleString()
+    schema = f"doc_id {kept}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
     names = [part.split()[0] for part in schema.split(", ")]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, schema)
+    return docs.select(F.col("doc_id").cast(kept).alias("doc_id"), "text").mapInPandas(cut, schema)
 
 
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -214,7 +219,7 @@ def best_two(left: np.ndarray, content: dict[int, int], smallest: int, room: int
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, piece, length, ids_crc32 and more). ``pieces`` is a stored table.
 
-    Only the number of pieces per length comes to the driver. Equal pieces are interchangeable.
+    Null and repeated doc_ids are pieces like others; an empty table has no sequences; other columns stay. Only the number of pieces per length comes to the driver. Equal pieces are interchangeable.
     """
     counts = {row.length: row["count"] for row in pieces.groupBy("length").count().collect()}  # at most one row per length
     plan = np.array(sorted(plan_bins(counts, capacity)), np.int64).reshape(-1, 6)
@@ -241,7 +246,7 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """Tokenises and packs ``docs`` (doc_id, text): one row per piece."""
+    """Tokenises and packs ``docs`` (doc_id, text): one row per piece, with odd rows as in ``token_pieces`` and ``pack``."""
     return pack(stage(token_pieces(docs, path, capacity, end_id, with_ids), "pieces"), capacity)
 
 

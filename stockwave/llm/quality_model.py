@@ -15,13 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import FMClassifier
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockwave.llm.common import map_arrow, small_batches, table, unused
-from stockwave.session import stage
+from stockwave.session import scratch_path, stage
 
 WORD_SLOTS = 4096
 FACTORS = 4
@@ -127,12 +127,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, factor
     if share is None or share in (0.0, 1.0):
         odds = {None: 0.0, 0.0: -30.0, 1.0: 30.0}[share]
         return Model(odds, np.zeros(SIZE), np.zeros((SIZE, factors)))
-    as_vector = F.udf(lambda f: SparseVector(SIZE, f.at, f.x), VectorUDT())
     machine = FMClassifier(factorSize=factors, maxIter=iterations, stepSize=0.1, regParam=1e-5, initStd=0.05, seed=7, solver="adamW")
-    found = machine.fit(rows.select("label", as_vector("f").alias("features")))
+    found = machine.fit(sparse_vectors(rows.select("label", "f.at", "f.x")))
     return Model(float(found.intercept), found.linear.toArray(), found.factors.toArray())
 
 
+def sparse_vectors(rows: DataFrame) -> DataFrame:
+    """``rows`` (label, at, x) with sparse vectors as ``features``: stored in the form vectors have in files, and read back as such."""
+    path = scratch_path(rows.sparkSession, "fit-vectors")
+    parts = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(SIZE).alias("size"), F.col("at").alias("indices"), F.col("x").alias("values"))
+    rows.select("label", parts.alias("features")).write.parquet(path)
+    kept = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
+    return rows.sparkSession.read.schema(kept).parquet(path)
+
+
 def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` (text and perhaps n_chars) with a score from 0 to 1, the probability of label 1.
 

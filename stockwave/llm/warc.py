@@ -12,6 +12,7 @@ import hashlib
 import math
 import struct
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 import zstandard
@@ -60,7 +61,9 @@ def header_safe(value: object) -> str:
 
 
 def record_id(page_id: object, digest: str, nth: int) -> str:
-    return f"<urn:x-page:{'' if page_id is None else page_id}:{digest[:32]}:{nth}>"
+    """Names the page in escaped form; nothing stands for a null id, a bare % for an empty one."""
+    named = "" if page_id is None else quote(str(page_id), safe="", errors="replace") or "%"
+    return f"<urn:x-page:{named}:{digest[:32]}:{nth}>"
 
 
 def record(page_id: object, url: str | None, payload: bytes, digest: str, first: object, nth: int, date: str) -> bytes:
@@ -134,7 +137,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
 
     One record per row. Null html is an empty payload, null urls have no target field; of rows equal
     in page_id and payload the first written is the response. Pages without id repeat pages with one,
-    never the other way round. An empty table writes no archive. Other columns are not read.
+    never the other way round. Ids are whole numbers or strings. An empty table writes no archive. Other columns are not read.
     """
     made = with_revisits(pages).mapInPandas(frames, "frame binary").select(F.col("frame").cast("string").alias("value"))
     made.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 0).text(path)
@@ -211,10 +214,10 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     return files.select("content").mapInPandas(read, ", ".join(RECORD.split(", ")[: len(keep)]))
 
 
-def page_of(record: str) -> F.Column:
-    """The page a record id names; null where the page had no id."""
+def page_of(record: str, kind: str = "long") -> F.Column:
+    """The page a record id names, as ``kind``; null where the page had no id."""
     named = F.regexp_extract(record, "^<urn:x-page:([^:]*):", 1)
-    return F.when(named != "", named).cast("long")
+    return F.when(named == "%", "").when(named != "", F.url_decode(named)).cast(kind)
 
 
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:

@@ -109,3 +109,12 @@ def test_unusual_text(spark):
 
 def test_empty_table(no_docs):
     assert packing.pack_documents(no_docs).count() == 0
+
+
+def test_string_ids(spark):
+    docs = spark.createDataFrame([("b", "one two"), (None, None), ("b", "one two"), ("", "x " * 600)], "doc_id string, text string")
+    found = packing.pack_documents(docs, capacity=256)
+    assert found.schema["doc_id"].dataType.simpleString() == "string"
+    pieces = found.collect()
+    assert sorted({str(p.doc_id) for p in pieces}) == ["", "None", "b"]
+    check(pieces, 256)

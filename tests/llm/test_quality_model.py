@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import SparseVector
 
 from stockwave.llm import quality_model as qm
 from stockwave.llm.common import table
@@ -60,3 +61,9 @@ def test_degenerate_labels(spark, odd_docs, no_docs):
     assert score(model([(3, None, "x"), (None, 1, "x"), (3, 0, "x")])) < 0.01
     assert score(model([(3, 1, "x")], no_docs)) == 0.5
     assert 0 <= score(model([(3, 0, "x"), (3, 1, "x"), (4, 0, "x"), (4, 0, "x"), (7, 1, "z")])) <= 1
+
+
+def test_sparse_vectors(spark):
+    rows = spark.createDataFrame([(1.0, [0, 5], [0.5, 2.0]), (0.0, [], [])], "label double, at array<int>, x array<double>")
+    found = {r.label: r.features for r in qm.sparse_vectors(rows).collect()}
+    assert found == {1.0: SparseVector(qm.SIZE, {0: 0.5, 5: 2.0}), 0.0: SparseVector(qm.SIZE, {})}

@@ -83,3 +83,13 @@ def test_small_and_empty_tables(spark):
         path = scratch_path(spark, "warc-test")
         warc.write_archives(spark.createDataFrame([(*r, "a", "b") for r in rows], SCHEMA), path)
         assert warc.read_archives(spark, path).count() == len(rows)
+
+
+def test_string_ids(spark):
+    long = "<html>" + "x" * 200
+    rows = [("b:1", "u", long), ("a/é %2B+>", "u", long), ("", "u", "short"), (None, "u", long), ("7", None, None)]
+    path = scratch_path(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(rows, "page_id string, url string, html string"), path)
+    found = warc.read_archives(spark, path).select(warc.page_of("record_id", "string").alias("p"), "record_type", warc.page_of("refers_to", "string").alias("r")).collect()
+    want = [("b:1", "revisit", "a/é %2B+>"), ("a/é %2B+>", "response", None), ("", "response", None), (None, "revisit", "a/é %2B+>"), ("7", "response", None)]
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
