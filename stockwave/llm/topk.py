@@ -4,7 +4,8 @@ Vectors are dealt to the cells of a few pivots and cells to blocks. A block's ta
 over its vectors and one over the queries that reach it, and descends both together: a pair of nodes
 whose covering radii rule out a score as good as the worst kth score of the query node is dropped.
 A first pass searches one block near each query for a bound, so that the second pass sends queries only
-to blocks that can still beat it.
+to blocks that can still beat it. Queries of neighbouring cells go together, and a block is repeated
+only for the groups of queries that reach it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ BLOCK_ROWS = 4096
 QUERY_ROWS = 2048
 MAX_PIVOTS = 256
 PIVOT_SAMPLE = 4096  # vectors, those of smallest hash, among which pivots are chosen
-LEAF = 24
+LEAF = 64
 SHRINK = 0.6  # a child's covering radius per parent's
 NONE = -(1 << 63)  # score of a place not taken
 ROUNDING = 1e-15  # whole numbers beyond 2 ** 53 are rounded as doubles
@@ -61,6 +62,29 @@ def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
     return sample[chosen]
 
 
+def chain(centers: np.ndarray) -> list[int]:
+    """The centres in an order in which near ones follow each other: each time the nearest one left."""
+    left, order = set(range(1, len(centers))), [0]
+    while left:
+        rest = sorted(left)
+        order.append(rest[int(((centers[rest] - centers[order[-1]]) ** 2).sum(1).argmin())])
+        left.remove(order[-1])
+    return order
+
+
+def query_groups(counts: dict[int, int], centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First group and number of groups per cell: neighbouring cells share a group up to QUERY_ROWS queries, larger ones have several."""
+    first, split = np.zeros(len(centers), int), np.ones(len(centers), int)
+    group, filled = 0, 0
+    for cell in chain(centers):
+        n = counts.get(cell, 0)
+        if filled and filled + n > QUERY_ROWS:
+            group, filled = group + 1, 0
+        first[cell], split[cell] = group, max(1, -(-n // QUERY_ROWS))
+        group, filled = group + int(split[cell]) - 1, QUERY_ROWS if split[cell] > 1 else filled + n
+    return first, split
+
+
 class Tree:
     """Cover tree: nodes in lists; children of a node are centres apart by more than their covering radius."""
 
@@ -103,24 +127,26 @@ class Best:
     """The k best (score, vec_id) of each query, ties to the smaller id; ``floor`` is a score known to be reached."""
 
     def __init__(self, n: int, k: int, floor: np.ndarray):
-        self.k, self.scores, self.ids, self.floor = k, np.full((n, k), NONE, object), np.full((n, k), NONE, object), floor.copy()
+        self.k, self.scores, self.ids, self.floor = k, np.full((n, k), NONE), np.full((n, k), NONE), floor.copy()
 
-    def offer(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        all_scores, all_ids = np.concatenate([self.scores[query], scores]), np.concatenate([self.ids[query], ids])
-        first = sorted(range(len(all_scores)), key=lambda i: (-all_scores[i], all_ids[i]))[: self.k]
-        self.scores[query], self.ids[query] = all_scores[first], all_ids[first]
-        worst = self.scores[query][-1]
-        if worst != NONE:
-            self.floor[query] = max(self.floor[query], float(worst) - abs(float(worst)) * ROUNDING)
+    def offer(self, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Scores of some points per query, NONE where a point is no candidate."""
+        all_scores = np.concatenate([self.scores[queries], scores], 1)
+        all_ids = np.concatenate([self.ids[queries], np.broadcast_to(ids, scores.shape)], 1)
+        first = np.lexsort((all_ids, ~all_scores))[:, : self.k]  # ~ turns the order around without overflow
+        self.scores[queries], self.ids[queries] = np.take_along_axis(all_scores, first, 1), np.take_along_axis(all_ids, first, 1)
+        worst = self.scores[queries, -1]
+        reached = np.where(worst == NONE, -np.inf, worst - np.abs(worst.astype(float)) * ROUNDING)
+        self.floor[queries] = np.maximum(self.floor[queries], reached)
 
 
 def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers; in exact integers where doubles would round."""
+    """Inner products of whole numbers; by exact integers where doubles would round, held at the ends of the range of long."""
     if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[1] >= 2.0**52:
         whole = [[int(x) for x in row] for row in a], [[int(x) for x in row] for row in b]
-        product = np.array([[sum(x * y for x, y in zip(p, q)) for q in whole[1]] for p in whole[0]], object).reshape(len(a), len(b))
-        return np.clip(product, NONE + 1, (1 << 63) - 1)
-    return (a @ b.T).astype(object) if not a.size or not b.size else (a @ b.T)
+        product = [[min(max(sum(x * y for x, y in zip(p, q)), NONE + 1), (1 << 63) - 1) for q in whole[1]] for p in whole[0]]
+        return np.array(product, np.int64)
+    return (a @ b.T).astype(np.int64)
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, points: np.ndarray, point_ids: np.ndarray, k: int) -> Best:
@@ -149,9 +175,9 @@ def search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, points
             own, other = q.members[a], r.members[b]
             scores = exact_scores(queries[own], points[other])
             hit = (scores >= best.floor[own][:, None]) & (query_ids[own][:, None] != point_ids[other])
-            for i in np.flatnonzero(hit.any(1)):
-                at = hit[i]
-                best.offer(own[i], np.array([int(s) for s in scores[i][at]], object), point_ids[other][at].astype(object))
+            some = hit.any(1)
+            if some.any():
+                best.offer(own[some], np.where(hit, scores, NONE)[some], point_ids[other])
             continue
         todo += sorted((s for s in split if s[2] >= best.floor[q.members[s[0]]].min()), key=lambda s: s[2])  # the best is next
     return best
@@ -165,6 +191,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = K) -> DataFrame:
     Vectors with a null id, null, or with null or non-finite components take no part; shorter vectors count
     as ending in zeros; scores beyond the range of long stay at its ends. Equal vectors are one
     candidate with its k + 1 smallest ids, all that can be among the k best. Repeated rows count once.
+    An empty table, or one without queries, gives no rows; other columns are not read.
     """
     spark = vectors.sparkSession
     rows = stage(usable(vectors).distinct(), "vectors")
@@ -192,10 +219,15 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = K) -> DataFrame:
     centers, radii = pivots[used], np.array([cells[c].radius * (1 + 1e-9) for c in used])
     parts = np.array([max(1, -(-cells[c].n // BLOCK_ROWS)) for c in used])
     norms = np.sqrt((centers**2).sum(1))
-    n_groups = max(1, -(-queries.count() // QUERY_ROWS))
-    part_of = F.element_at(F.array(*[F.lit(int(dict(zip(used, parts)).get(c, 1))) for c in range(len(pivots))]), F.col("cell") + 1)
+
+    def per_cell(values) -> F.Column:
+        return F.element_at(F.array(*[F.lit(int(x)) for x in values]), F.col("cell") + 1)
+
+    part_of = per_cell(dict(zip(used, parts)).get(c, 1) for c in range(len(pivots)))
     blocks = placed.select("vec_id", "v", "cell", F.pmod(F.xxhash64("vec_id"), part_of).cast("int").alias("part"))
-    grouped = queries.withColumn("grp", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n_groups)).cast("int"))
+    dealt = stage(queries.mapInPandas(to_cell, "vec_id long, v array<double>, cell int, away double"), "query-cells").drop("away")
+    first_group, n_groups = query_groups({r.cell: r["count"] for r in dealt.groupBy("cell").count().collect()}, pivots)  # a row per pivot
+    grouped = dealt.withColumn("grp", (per_cell(first_group) + F.pmod(F.xxhash64("vec_id", F.lit(1)), per_cell(n_groups))).cast("int")).drop("cell")
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The block of each query's best cell, its part picked by id."""
@@ -224,9 +256,12 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = K) -> DataFrame:
         return pd.DataFrame(taken, columns=["query_id", "vec_id", "score"])
 
     def search_blocks(asked: DataFrame) -> DataFrame:
-        """Query groups meet blocks: a block is repeated once per group, so no task holds more than one of each."""
-        repeated = blocks.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
+        """Query groups meet the blocks that a query of theirs reaches, so no task holds more than one of each."""
         key = ["cell", "part", "grp"]
+        asked = stage(asked, "asked")
+        reached = asked.select(*key).distinct().toDF("_cell", "_part", "_grp")
+        repeated = blocks.join(reached, (F.col("cell") == F.col("_cell")) & (F.col("part") == F.col("_part")))
+        repeated = repeated.select("vec_id", "v", "cell", "part", F.col("_grp").alias("grp"))
         return asked.groupBy(*key).cogroup(repeated.groupBy(*key)).applyInPandas(of_block, out)
 
     asked = "vec_id long, v array<double>, grp int, cell int, part int, floor double"

@@ -74,3 +74,27 @@ def test_pruning_skips_pairs(monkeypatch):
     monkeypatch.setattr(topk, "exact_scores", lambda a, b: done.append(len(a) * len(b)) or plain(a, b))
     topk.search(np.floor(rows[:300]), np.arange(300), np.full(300, -np.inf), np.floor(rows), np.arange(3000), 5)
     assert sum(done) < 0.7 * 300 * 3000
+
+
+def test_far_blocks_are_not_repeated(spark, monkeypatch):
+    """Of clusters in different directions a group of queries reaches few blocks, so few rows are shuffled."""
+    for name, value in (("BLOCK_ROWS", 100), ("QUERY_ROWS", 20), ("MAX_PIVOTS", 8)):
+        monkeypatch.setattr(topk, name, value)
+    draw = np.random.default_rng(3)
+    rows = [(i, (10 * np.eye(8)[i % 8] + 0.1 * draw.normal(size=8)).astype(np.float32).tolist()) for i in range(1600)]
+    sent = {}
+    plain = topk.stage
+    monkeypatch.setattr(topk, "stage", lambda df, label: sent.setdefault(label, []).append(plain(df, label)) or sent[label][-1])
+    compare(spark, rows, step=9)
+    first, second = (df.select("cell", "part", "grp").distinct().count() for df in sent["asked"])
+    groups = sent["asked"][0].select("grp").distinct().count()
+    assert groups >= 8
+    assert second <= 0.3 * groups * 16  # 16 blocks
+
+
+def test_groups_of_queries(monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 10)
+    centers = np.array([[0.0], [9.0], [1.0], [8.0], [4.0]])
+    assert topk.chain(centers) == [0, 2, 4, 3, 1]
+    first, split = topk.query_groups({0: 4, 1: 25, 2: 6, 3: 1}, centers)
+    assert first.tolist() == [0, 2, 0, 1, 0] and split.tolist() == [1, 3, 1, 1, 1]
