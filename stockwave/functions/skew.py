@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 4096
-TRACKED = 65_536  # items the sketch follows; shares above one in some thousands are found
+MAX_HOT_KEYS = 4096  # for lists of hot keys that callers make themselves
+MAX_FOUND_KEYS = 1 << 19  # rows of the list that hot_keys makes
+SAMPLED_ROWS = 1000  # expected in the sample of a key that has the target's rows
+SAMPLE_MARGIN = 0.75  # such a key falls below this share of them with a chance of about 1e-15
+SAMPLE_SEED = 11
 TARGET_ROWS = 1_000_000  # rows of one key that one task should take
 NULL_SALTS = 64
 SLOTS = 1 << 20
@@ -15,17 +18,19 @@ SLOTS = 1 << 20
 def hot_keys(big: DataFrame, key: str, target_rows: int = TARGET_ROWS) -> DataFrame:
     """Keys with more than ``target_rows`` rows, and into how many parts ``_hot`` each should be dealt.
 
-    One scan of the key column feeds a mergeable frequent-items sketch, so no key is shuffled and
-    the result has at most ``MAX_HOT_KEYS`` rows whatever the input. The counts are estimates, which
-    only decide how keys are dealt, never what the join returns.
+    Rows are sampled so that a key of that many rows is expected ``SAMPLED_ROWS`` times, and the sample is counted by key:
+    every such key is found however many rows there are in all, and of a table of 10**12 rows 10**9 keys are
+    shuffled. Up to ``SAMPLED_ROWS`` target rows all rows are counted. At most ``MAX_FOUND_KEYS`` keys are listed, the
+    largest, so the list may be broadcast; below 5 * 10**11 rows there cannot be more of a million rows. The
+    counts are estimates, which only decide how keys are dealt, never what the join returns.
     """
-    sketch = big.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED})").alias("top"))
-    parts = F.ceil(F.col("t.count") / target_rows).cast("int")
-    return (
-        sketch.select(F.explode("top").alias("t"))
-        .where(F.col("t.item").isNotNull() & (F.col("t.count") > target_rows))
-        .select(F.col("t.item").alias(key), F.least(parts, F.lit(SLOTS)).alias("_hot"))
-    )
+    share = min(1.0, SAMPLED_ROWS / target_rows)
+    keys = big.select(key).where(F.col(key).isNotNull())
+    sampled = keys if share == 1.0 else keys.sample(fraction=share, seed=SAMPLE_SEED)
+    counted = sampled.groupBy(key).agg((F.count(F.lit(1)) / share).alias("_n"))
+    found = counted.where(F.col("_n") > target_rows * (1.0 if share == 1.0 else SAMPLE_MARGIN))
+    parts = F.ceil(F.col("_n") / target_rows).cast("int")
+    return found.orderBy(F.desc("_n"), key).limit(MAX_FOUND_KEYS).select(key, F.least(parts, F.lit(SLOTS)).alias("_hot"))
 
 
 def row_slots() -> Column:
@@ -57,7 +62,7 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"only inner and left joins can be salted, got {how}")
-    hot = F.broadcast(hot_keys(big, key, target_rows) if hot is None else hot)  # at most MAX_HOT_KEYS rows
+    hot = F.broadcast(hot_keys(big, key, target_rows) if hot is None else hot)  # at most MAX_FOUND_KEYS rows
     place = F.col(slot) if slot else row_slots()
     parts = F.coalesce("_hot", F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(F.lit(1)))
     left = big.join(hot, key, "left").withColumn("_salt", F.pmod(place, parts))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockwave.functions.numeric import half_even, normal_quantile, normal_quantile_scalar, safe_corr
-from stockwave.functions.skew import MAX_HOT_KEYS, hot_keys, salted_join
+from stockwave.functions.skew import MAX_FOUND_KEYS, hot_keys, salted_join
 
 
 def test_normal_quantile_matches_the_standard_library(spark):
@@ -51,7 +51,7 @@ def skewed(spark):
 def test_hot_keys_finds_only_the_hot_key(skewed):
     big, _ = skewed
     assert [r.k for r in hot_keys(big, "k", target_rows=1000).collect()] == [7]
-    assert hot_keys(big, "k", target_rows=1).count() <= MAX_HOT_KEYS
+    assert hot_keys(big, "k", target_rows=1).count() <= MAX_FOUND_KEYS
 
 
 def test_keys_of_a_small_share_are_split_by_their_size(spark):
@@ -60,6 +60,16 @@ def test_keys_of_a_small_share_are_split_by_their_size(spark):
     assert {r.k: r["_hot"] for r in found if r.k < 0} == {-1: 2, -2: 34}
 
 
+def test_sampled_keys_above_the_target_are_all_found(spark):
+    """25 keys just above the target, each 1 % of the rows, beside a hot one and many rare ones; only a sample is counted."""
+    key = F.when(F.col("id") % 4 == 0, -1).when(F.col("id") % 2 == 0, F.col("id") % 100).otherwise(F.col("id"))
+    big = spark.range(4_000_000, numPartitions=8).select(key.alias("k"))
+    found = {r.k: r["_hot"] for r in hot_keys(big, "k", target_rows=38_000).collect()}
+    assert set(found) == {-1, *range(2, 100, 4)} and found[-1] in range(25, 29)
+    assert found == {r.k: r["_hot"] for r in hot_keys(big, "k", target_rows=38_000).collect()}
+    assert hot_keys(big, "k", target_rows=1_500_000).isEmpty()
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_plain_join(skewed, how):
     big, small = skewed
