@@ -5,7 +5,7 @@ Predictions are long, (category, date, model, y, yhat), and are matched by key,
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
@@ -17,6 +17,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegres
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockwave.operators.explore import union_all
 from stockwave.operators.features import feature_columns, series
 from stockwave.params import SEQUENCE_LENGTH, STATIC_WEIGHTS, TARGET, BoostingParams
 from stockwave.session import stage
@@ -345,14 +346,16 @@ def training_report(
 
 
 def fit_top_categories(
-    train: DataFrame, val: DataFrame, n: int | None = 5, params: BoostingParams = BoostingParams(), at_once: int = 4
+    train: DataFrame, val: DataFrame, n: int | None = 5, params: BoostingParams = BoostingParams(), at_once: int = 4,
+    store: Callable[[str, PipelineModel], None] | None = None,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """One boosted model for each of the ``n`` largest categories; a failure does not stop the rest.
 
     ``at_once`` categories are fitted at a time: each runs its jobs from a thread of its own that inherits the
     caller's job properties, so Spark fills cores that one category leaves idle (under fair scheduling
     each thread has a pool of its own). The driver holds at most ``n`` names and models; ``fit_pooled`` suits
-    very many categories better. Without ``n`` all categories are fitted. Returns the models and
+    very many categories better. Without ``n`` all categories are fitted. ``store`` is called with each name and model
+    as soon as it is fitted, in its thread; a category that cannot be stored counts as failed. Returns the models and
     a report: category, status, trees, rounds, rmse on the validation rows (null without), detail of a failure.
     """
     spark = train.sparkSession
@@ -364,7 +367,10 @@ def fit_top_categories(
     def fit_one(name: str) -> tuple[str, BoostedFit | None, str]:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"category-{name}")
         try:
-            return name, fit_boosted(rows.where(F.col("category") == name), columns, params, "_held_out"), ""
+            fit = fit_boosted(rows.where(F.col("category") == name), columns, params, "_held_out")
+            if store:
+                store(name, fit.model)
+            return name, fit, ""
         except Exception as error:  # noqa: BLE001 - reported per category
             return name, None, f"{type(error).__name__}: {error}"
 
@@ -376,3 +382,12 @@ def fit_top_categories(
     ]
     schema = "category string, status string, trees int, rounds int, rmse double, detail string"
     return {name: fit.model for name, fit, _ in done if fit}, spark.createDataFrame(report, schema)
+
+
+def score_categories(registered: Mapping[str, PipelineModel], rows: DataFrame, name: str = "boosted_own") -> DataFrame:
+    """Rows of each category by the category's own model, in the long form; categories without a model get no row.
+
+    One branch per model over the rows of its category: ``rows`` should be stored by category.
+    """
+    scored = [as_predictions(model.transform(rows.where(F.col("category") == c)), name, F.col("yhat")) for c, model in registered.items()]
+    return union_all(scored) if scored else as_predictions(rows.limit(0), name, F.lit(None))

@@ -638,6 +638,15 @@ def oracles() -> dict[str, str]:
         case when category <> 'economy' then true end as several_trees, case when category <> 'economy' then true end as has_error,
         category = 'economy' as has_detail, category <> 'economy' as has_model from train_mean""", "train_mean",
     )
+    q["category_registry"] = sql(
+        """select m.category, count(l.category) as n_test, true as best_of_rounds, case when count(l.category) > 0 then true end as same_error
+        from train_mean m left join (select * from labelled where split = 'test') l on l.category = m.category group by 1""",
+        "labelled", "train_mean",
+    )
+    q["category_forecast"] = sql(
+        f"""select category, {d("last_date + cast(k as int)")} as date, true as band_fits
+        from ends join train_mean using (category), generate_series(1, 30) g(k)""", "ends", "train_mean",
+    )
     q["boosted_model_roundtrip"] = sql(f"select category, {d('date')} as date, true as same from labelled where split = 'test'", "labelled")
     q["sequence_regression_checked"] = (
         sql("", "daily", "labelled").rstrip()

@@ -5,12 +5,15 @@ computed once and can be run again on its own:
 
     unified_orders/  daily_category_demand/  features/           ingest and features
     models/boosted  models/sequence  bounds/  weights/  metrics/  training_report/  training
+    models/by_category  registry/  category_metrics/              a model per category
     forecast/  forecast_csv/  plan/  plan_csv/                    forecast and replenishment
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
@@ -145,6 +148,45 @@ def run_training(
     return scored
 
 
+def run_category_training(
+    spark: SparkSession,
+    out: str,
+    splits: SplitDates = SplitDates(),
+    top_n: int | None = None,
+    params: BoostingParams = BoostingParams(),
+    at_once: int = 4,
+) -> tuple[DataFrame, DataFrame]:
+    """Fit, store and register a boosted model for each category, or the ``top_n`` largest; returns registry and test metrics.
+
+    The registry has one row per category: status, trees, rounds, rmse on the validation rows, detail of a
+    failure, and the path of the model (null where it failed). Each run stores its models in a folder of its own and
+    writes the registry last, so a run that broke off leaves the earlier registry and its models as they were.
+    """
+    train, val, test = features.train_val_test_split(load_features(spark, out), splits)
+    folder = f"{out}/models/by_category/{uuid.uuid4().hex}"
+
+    def store(category: str, model: PipelineModel) -> None:
+        files.save_model(model, f"{folder}/{hashlib.md5(category.encode()).hexdigest()}")
+
+    fitted, report = models.fit_top_categories(train, val, top_n, params, at_once, store)
+    path = F.when(F.col("status") == "trained", F.concat(F.lit(f"{folder}/"), F.md5("category")))
+    files.save_table(report.withColumn("path", path), f"{out}/registry")
+    scores = evaluate.forecast_metrics(models.score_categories(fitted, test))
+    files.save_table(scores, f"{out}/category_metrics")
+    return files.load_table(spark, f"{out}/registry"), files.load_table(spark, f"{out}/category_metrics")
+
+
+def run_category_forecast(
+    spark: SparkSession, out: str, category: str, days: int = FORECAST_DAYS, holidays: Sequence[dt.date] = HOLIDAYS
+) -> DataFrame:
+    """Forecast of one category by its registered model; LookupError where none was trained. Only its folder of the features is read."""
+    model = files.load_category_model(files.load_table(spark, f"{out}/registry"), category)
+    history = load_features(spark, out).where(F.col("category") == category)
+    ahead = forecast.future_features(history, days, holidays, features.feature_columns(history))
+    weights = spark.createDataFrame([(category, "boosted", 1.0)], "category string, model string, weight double")
+    return forecast.forecast_band(models.as_predictions(model.transform(ahead), "boosted", F.col("yhat")), weights, ("boosted",))
+
+
 def run_forecast(
     spark: SparkSession, out: str, days: int = FORECAST_DAYS, holidays: Sequence[dt.date] = HOLIDAYS
 ) -> tuple[DataFrame, DataFrame]:

@@ -730,6 +730,41 @@ def models_per_category(spark: SparkSession, folder: str) -> DataFrame:
     return report.select("category", "status", (F.col("trees") > 1).alias("several_trees"), (F.col("rmse") > 0).alias("has_error"), has_detail.alias("has_detail"), stored.alias("has_model"))
 
 
+def category_pipeline(spark: SparkSession, folder: str) -> str:
+    """A pipeline folder with a registered model for each category of the whole panel."""
+    out = scratch_path(spark, "categories")
+    files.save_table(panel_of(spark, folder), f"{out}/daily_category_demand")
+    pipeline.run_features(spark, out, HOLIDAYS)
+    pipeline.run_category_training(spark, out, SPLITS)
+    return out
+
+
+@query
+def category_registry(spark: SparkSession, folder: str) -> DataFrame:
+    """Every category with a registered model, its test rows, and whether the reloaded model's error on them is the registered run's."""
+    out = category_pipeline(spark, folder)
+    registered = files.load_table(spark, f"{out}/registry")
+    names = [r.category for r in files.trained_categories(registered).collect()]  # one per model
+    reloaded = {name: files.load_category_model(registered, name) for name in names}
+    _, _, test = features.train_val_test_split(pipeline.load_features(spark, out), SPLITS)
+    scored = models.score_categories(reloaded, test).groupBy("category").agg(F.count("yhat").alias("n_test"), F.sqrt(F.avg((F.col("y") - F.col("yhat")) ** 2)).alias("_again"))
+    first = files.load_table(spark, f"{out}/category_metrics").select("category", "rmse")
+    listed = registered.where(F.col("status") == "trained").select("category", (F.col("trees") <= F.col("rounds")).alias("best_of_rounds"))
+    both = listed.join(scored, "category", "left").join(first, "category", "left")
+    return both.select("category", F.coalesce("n_test", F.lit(0)).alias("n_test"), "best_of_rounds", (F.abs(F.col("_again") - F.col("rmse")) < 0.01).alias("same_error"))
+
+
+@query
+def category_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Days ahead of every category by its own registered model, and whether orders and band fit the prediction."""
+    out = category_pipeline(spark, folder)
+    names = [r.category for r in files.trained_categories(files.load_table(spark, f"{out}/registry")).collect()]  # one per model
+    ahead = explore.union_all([pipeline.run_category_forecast(spark, out, name, HORIZON, HOLIDAYS) for name in names])
+    y = F.col("blended")
+    band = (F.col("predicted_lower") == F.greatest(forecast.whole(y * 0.85), F.lit(0))) & (F.col("predicted_upper") == forecast.whole(y * 1.15))
+    return tidy(ahead.select("category", "date", ((F.col("predicted_orders") == forecast.whole(y)) & band & finite("blended")).alias("band_fits")))
+
+
 @query
 def sequence_regression_checked(spark: SparkSession, folder: str) -> DataFrame:
     """Keys and actuals scored by the window model, and whether scores are finite and not negative."""

@@ -132,5 +132,15 @@ def load_model(path: str) -> PipelineModel:
 
 
 def trained_categories(registry: DataFrame) -> DataFrame:
-    """Distinct categories of a table of trained models, in order."""
+    """Distinct categories of a table of trained models, in order; rows of failed fits do not count."""
+    if "status" in registry.columns:
+        registry = registry.where(F.col("status") == "trained")
     return registry.select("category").distinct().orderBy("category")
+
+
+def load_category_model(registry: DataFrame, category: str) -> PipelineModel:
+    """The registered model of a category; LookupError where none was trained."""
+    found = registry.where((F.col("status") == "trained") & (F.col("category") == category)).select("path").head()
+    if found is None:
+        raise LookupError(f"no trained model for category {category!r}")
+    return load_model(found["path"])

@@ -43,3 +43,31 @@ def test_whole_pipeline_from_csv(spark, out):
     report, totals = pipeline.run_replenishment(spark, out, (Scenario("base"), Scenario("low", service_level=0.3)))
     assert report.count() == 8 and {r.status for r in totals.collect()} == {"Optimal"}
     assert files.load_csv(spark, f"{out}/plan_csv", "category string, holding_cost double").count() == 8
+
+
+def test_a_registered_model_per_category(spark, out):
+    """Follows the test above, whose features it reads."""
+    few = BoostingParams(trees=4, depth=3, learning_rate=0.3)
+    registry, metrics = pipeline.run_category_training(spark, out, SPLITS, top_n=3, params=few)
+    rows = registry.collect()
+    names = [r.category for r in files.trained_categories(registry).collect()]
+    assert names == sorted(r.category for r in rows if r.status == "trained") and len(names) == 3
+    assert {r.category for r in metrics.collect()} <= set(names)
+    again, _ = pipeline.run_category_training(spark, out, SPLITS, top_n=2, params=few)
+    assert again.count() == 2
+    for row in rows:  # an earlier run's models stay where its registry says
+        assert files.load_model(row.path).stages[-1].getNumTrees == row.trees
+    known = files.trained_categories(again).head().category
+    ahead = pipeline.run_category_forecast(spark, out, known, 10, HOLIDAYS).collect()
+    assert len(ahead) == 10 and {r.category for r in ahead} == {known}
+    assert all(r.predicted_lower <= r.predicted_orders <= r.predicted_upper for r in ahead)
+    with pytest.raises(LookupError, match="no trained model"):
+        pipeline.run_category_forecast(spark, out, "nothing", 10, HOLIDAYS)
+
+
+def test_failed_categories_are_registered_without_a_model(spark):
+    rows = [("a", "trained", "p"), ("b", "failed", None)]
+    registry = spark.createDataFrame(rows, "category string, status string, path string")
+    assert [r.category for r in files.trained_categories(registry).collect()] == ["a"]
+    with pytest.raises(LookupError):
+        files.load_category_model(registry, "b")
