@@ -3,7 +3,8 @@
 Each archive starts with a skippable frame that embeds a dictionary built from the archive's own
 records; every record is a Zstandard frame of its own. Spark's text writer puts the frames into files:
 its line separator is an empty skippable frame, which readers of Zstandard pass over, so any
-file system Spark writes to will do, and the files of failed or repeated tasks are never seen.
+file system Spark writes to will do, and the files of failed or repeated tasks are never seen. An archive is one
+task's work, whose size is bounded in payload bytes and in records.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import hashlib
 import math
 import struct
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import quote
 
 import pandas as pd
@@ -30,7 +32,10 @@ SEPARATOR = "P*M\x18\0\0\0\0"  # an empty skippable frame, 0x184D2A50 and length
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 MIN_REVISIT_BYTES = 100
-ARCHIVE_BYTES = 16_000_000  # payload bytes per archive, about
+ARCHIVE_BYTES = 128_000_000  # of records per archive, about
+LEAST_ARCHIVE_BYTES = 16_000_000  # smaller archives, while there are fewer than cores can take several of
+ARCHIVES_PER_CORE = 4
+HEADER_BYTES = 500  # of a record, about
 DICTIONARY_BYTES = 65_536
 SAMPLE_BYTES = 4_000_000  # records an archive's dictionary is built from: the first of these bytes
 LEVEL = 6
@@ -52,8 +57,13 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     long_enough = keys.where(F.col("n_bytes") >= MIN_REVISIT_BYTES)
     firsts = long_enough.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
     repeats = long_enough.distinct().join(firsts, "digest").where("page_id is null or page_id <> first").select("key", "first")
-    total = keys.agg(F.sum("n_bytes")).head()[0] or 0
-    return rows.repartition(max(1, math.ceil(total / ARCHIVE_BYTES)), "key").join(repeats, "key", "left").drop("key")
+    total = keys.agg(F.sum(F.col("n_bytes") + HEADER_BYTES)).head()[0] or 0
+    return rows.repartition(n_archives(total, pages.sparkSession.sparkContext.defaultParallelism), "key").join(repeats, "key", "left").drop("key")
+
+
+def n_archives(total: int, cores: int) -> int:
+    """Archives for ``total`` bytes of records: full ones, or smaller ones where all cores would not have some."""
+    return max(1, math.ceil(total / ARCHIVE_BYTES), min(math.ceil(total / LEAST_ARCHIVE_BYTES), ARCHIVES_PER_CORE * cores))
 
 
 def header_safe(value: object) -> str:
@@ -132,22 +142,29 @@ def frames(batches: Iterator[pd.DataFrame], date: str = WARC_DATE) -> Iterator[p
         yield pd.DataFrame({"frame": flush()})
 
 
-def write_archives(pages: DataFrame, path: str) -> None:
-    """Writes ``pages`` (page_id, url, html) below ``path``, a new folder, as ``*.warc.zst`` files.
+def write_archives(pages: DataFrame, path: str, named: bool = False) -> None:
+    """Writes ``pages`` (page_id, url, html) below ``path``, a new folder, one archive per file ``part-*``.
 
     One record per row. Null html is an empty payload, null urls have no target field; of rows equal
     in page_id and payload the first written is the response. Pages without id repeat pages with one,
     never the other way round. Ids are whole numbers or strings. An empty table writes no archive. Other columns are not read.
+    Spark's text writer names the files; ``named`` has the driver rename them to ``part-*.warc.zst``, some
+    at a time, for tools that go by names: one call per archive, which on object stores is a copy.
     """
     made = with_revisits(pages).mapInPandas(frames, "frame binary").select(F.col("frame").cast("string").alias("value"))
     made.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 0).text(path)
+    if not named:
+        return
     spark = pages.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = new_path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(folder):  # one name per archive
-        name = status.getPath().getName()
-        if name.startswith("part-"):
-            files.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, name.removesuffix(".txt") + ".warc.zst"))
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    parts = [name for name in names if name.startswith("part-")]
+    with ThreadPoolExecutor(16) as pool:
+        done = list(pool.map(lambda name: files.rename(new_path(folder, name), new_path(folder, name.removesuffix(".txt") + ".warc.zst")), parts))
+    if not all(done):
+        raise OSError(f"archives below {path} could not be renamed")
 
 
 def read_frames(content: memoryview) -> Iterator[bytes]:
@@ -210,7 +227,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                 if rows:
                     yield pd.DataFrame(rows, columns=keep)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("content").mapInPandas(read, ", ".join(RECORD.split(", ")[: len(keep)]))
 
 

@@ -39,7 +39,7 @@ def written(spark):
     rows = pages(300)
     df = spark.createDataFrame([(*r, "a", "b") for r in rows], SCHEMA).repartition(4)
     path = scratch_path(spark, "warc-test")
-    warc.write_archives(df, path)
+    warc.write_archives(df, path, named=True)
     return rows, path
 
 
@@ -93,3 +93,22 @@ def test_string_ids(spark):
     found = warc.read_archives(spark, path).select(warc.page_of("record_id", "string").alias("p"), "record_type", warc.page_of("refers_to", "string").alias("r")).collect()
     want = [("b:1", "revisit", "a/é %2B+>"), ("a/é %2B+>", "response", None), ("", "response", None), (None, "revisit", "a/é %2B+>"), ("7", "response", None)]
     assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+
+
+def test_number_of_archives():
+    """Full archives for much data, several a core for little, none beyond the least size; empty records count too."""
+    assert warc.n_archives(0, 8) == 1 and warc.n_archives(20_000_000, 8) == 2
+    assert warc.n_archives(1_000_000_000, 8) == 32
+    assert warc.n_archives(100 * 10**12, 4000) == 781_250
+
+
+def test_several_archives_without_names(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LEAST_ARCHIVE_BYTES", 10_000)
+    rows = pages(300)
+    path = scratch_path(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame([(*r, "a", "b") for r in rows], SCHEMA), path)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").collect()
+    assert len(listed) > 4 and not any(r.path.endswith(".warc.zst") for r in listed)
+    found = warc.read_archives(spark, path, with_payload=False)
+    got = found.select(warc.page_of("record_id").alias("p"), "payload_bytes", "payload_digest", "record_type", warc.page_of("refers_to").alias("r")).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
