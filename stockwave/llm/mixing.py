@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockwave.llm.common import bucket_bits, row_order, running_sum, table, unused, word_count
+from stockwave.llm.common import bucket_bits, running_sum, table, unused, word_count
 from stockwave.session import stage
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
+COPIES_AT_ONCE = 1024
 
 
 def target_shares(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -112,18 +113,48 @@ def cut_off(entries: DataFrame) -> tuple[int | None, float | None, int | None]:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: every row of ``docs`` as often as it is taken, with the columns of ``docs``.
 
-    Rows equal in doc_id and text share their copies as evenly as possible. ``docs`` should be stored.
+    Rows equal in doc_id and text share their copies as evenly as possible; the rest of an uneven share goes to
+    the first of them by a hash of the whole row. ``docs`` should be stored. Documents meet their number of
+    copies in one join; those of uneven shares, of which there are none without repeated ids, are stored
+    and numbered apart, by sums per different row, so equal rows need no task of their own.
     """
     plan = mix_plan(docs, **options)
-    doc, digest, own, copies, rows = unused(docs, "doc", "digest", "own_digest", "copies", "rows")
-    counts = plan.groupBy(F.col("doc_id").alias(doc), F.col("digest").alias(digest)).agg(F.sum("epochs").alias(copies), F.count(F.lit(1)).alias(rows))
-    counts = counts.where(F.col(copies) > 0)
-    keyed = docs.withColumn(own, F.md5(F.col("text")))
-    joined = keyed.join(counts, F.col("doc_id").eqNullSafe(F.col(doc)) & F.col(own).eqNullSafe(F.col(digest)))
-    nth = F.row_number().over(Window.partitionBy("doc_id", own).orderBy(*row_order(docs)))
-    share = F.floor(F.col(copies) / F.col(rows)) + F.when(nth <= F.col(copies) % F.col(rows), 1).otherwise(0)
-    taken = joined.withColumn(copies, share).where(F.col(copies) > 0).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
-    return taken.select(*[f"`{c}`" for c in docs.columns])
+    key, copies, rows, own = unused(docs, "key", "copies", "rows", "own")
+    counts = plan.groupBy(identity(F.col("digest")).alias(key)).agg(F.sum("epochs").alias(copies), F.count(F.lit(1)).alias(rows))
+    counts = stage(counts.where(F.col(copies) > 0), "mix-copies")
+    keyed = docs.withColumn(own, identity(F.md5(F.col("text"))))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    each, left_over = F.floor(F.col(copies) / F.col(rows)), F.col(copies) % F.col(rows)
+    mixed = repeated(keyed.join(counts.where(left_over == 0), F.col(own) == F.col(key)), each, columns)
+    uneven = counts.where(left_over > 0)
+    if uneven.isEmpty():
+        return mixed
+    shared = stage(keyed.join(uneven, F.col(own) == F.col(key)), "mix-uneven")
+    row_hash = F.md5(F.to_json(F.struct(*columns)))
+    classes = shared.groupBy(F.col(key).alias("share"), row_hash.alias("row_hash")).agg(
+        F.count(F.lit(1)).alias("n"), F.first(left_over).alias("left_over"), F.first(F.struct(*columns)).alias("row")
+    )
+    classes = stage(classes, "mix-classes")
+    placed = running_sum(classes, "share", "row_hash", F.col("n"), [], "before", classes.count())
+    more = F.least(F.col("n"), F.col("left_over") - F.col("before"))
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("more") - 1) / COPIES_AT_ONCE))).alias("chunk")
+    chunks = placed.select("row", "share", more.alias("more")).where("more > 0").select("row", "share", "more", chunk)
+    chunks = chunks.repartition("share", "chunk")  # the copies of one row are dealt to many tasks
+    last = repeated(chunks, F.least(F.lit(COPIES_AT_ONCE), F.col("more") - F.col("chunk") * COPIES_AT_ONCE), [F.col("row")])
+    return mixed.unionByName(repeated(shared, each, columns)).unionByName(last.select("row.*"))
+
+
+def identity(digest: F.Column) -> F.Column:
+    """A hash of doc_id and text, given the text's digest; never null."""
+    doc_id = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    return F.md5(F.concat(doc_id, F.lit(":"), F.coalesce(digest, F.lit(""))))
+
+
+def repeated(df: DataFrame, times: F.Column, columns: Sequence[F.Column]) -> DataFrame:
+    """``columns`` of every row, ``times`` over."""
+    (nth,) = unused(df, "nth")
+    some = df.where(times > 0)
+    return some.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), times.cast("long")))).select(*columns)
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
