@@ -76,23 +76,3 @@ def test_mix_repeats_whole_rows(spark):
     counts = {r.doc_id: r["count"] for r in mixing.mix(docs).groupBy("doc_id").count().collect()}
     assert counts == {k: v for k, v in plan.items() if v}
     assert docs.join(mixing.mix(docs), "doc_id", "left_semi").where(F.col("source") == "few").count() == 1
-
-
-@pytest.mark.parametrize("share", [0.4, 1.4])
-def test_equal_rows_share_their_copies(spark, monkeypatch, share):
-    """A third of all rows equal in doc_id and text, most of them in every column, one of them a map."""
-    monkeypatch.setattr(mixing, "COPIES_AT_ONCE", 7)
-    rows = [(None, "a b c d", "hot", {"k": i if i < 5 else 9}, "x") for i in range(200)]
-    rows += [(i, f"w{i} " * (1 + i % 5), "hot" if i % 2 else "s", {"k": i}, None) for i in range(400)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, own map<string, long>, key string")
-    planned, equal = collections.Counter(), collections.Counter()
-    for r in mixing.mix_plan(docs, share=share).collect():
-        planned[r.doc_id] += r.epochs
-        equal[r.doc_id] += 1
-    runs = [mixing.mix(docs.repartition(n), share=share).collect() for n in (2, 5)]
-    assert sorted(map(str, runs[0])) == sorted(map(str, runs[1]))
-    assert collections.Counter(r.doc_id for r in runs[0]) == {k: n for k, n in planned.items() if n}
-    each = planned[None] // equal[None]
-    assert planned[None] % equal[None], "the share should be uneven"
-    taken = collections.Counter(r.own["k"] for r in runs[0] if r.doc_id is None)
-    assert all(each <= taken[k] <= each + 1 for k in range(5)) and 195 * each <= taken[9] <= 195 * (each + 1)
