@@ -250,6 +250,19 @@ def patient_best(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     return best, False
 
 
+def run_lengths(params: BoostingParams) -> list[int]:
+    """Rounds of the runs in which the best round is looked for: each twice as long, the last ``params.trees``.
+
+    A run starts anew, so one that would come next to the limit is left out: all together have at most about twice
+    ``params.trees`` rounds.
+    """
+    lengths = [min(params.trees, max(1, 3 * params.patience))]
+    while lengths[-1] < params.trees:
+        longer = 2 * lengths[-1]
+        lengths.append(longer if 2 * longer <= params.trees else params.trees)
+    return lengths
+
+
 def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
     """The model of the first ``n`` rounds."""
     context = SparkContext._active_spark_context
@@ -269,8 +282,8 @@ def fit_boosted(
     """Gradient-boosted trees on the feature columns.
 
     ``validation`` names a boolean column. The error on its rows is measured after every round, and the
-    best round is kept once ``params.patience`` more bring no gain. Rounds are fitted in runs of doubling
-    length; a seed gives the same trees in each, so a longer run only adds to a shorter one. Without such
+    best round is kept once ``params.patience`` more bring no gain. Rounds are fitted in the runs of
+    ``run_lengths``; a seed gives the same trees in each, so a longer run only adds to a shorter one. Without such
     rows all ``params.trees`` rounds are kept.
     """
     columns = list(columns or feature_columns(features))
@@ -280,8 +293,7 @@ def fit_boosted(
     rows = stage(rows, "boosting-inputs")
     train, val = rows.where(~F.col("_held_out")), rows.where("_held_out")
     measured = bool(validation) and not val.isEmpty()
-    rounds = min(params.trees, 3 * params.patience) if measured else params.trees
-    while True:
+    for rounds in run_lengths(params) if measured else [params.trees]:
         trees = GBTRegressor(
             featuresCol="inputs",
             labelCol=TARGET,
@@ -297,9 +309,9 @@ def fit_boosted(
             return BoostedFit(PipelineModel([assembler, trees]), rounds, [])
         errors = trees.evaluateEachIteration(val, "squared")
         best, settled = patient_best(errors, params.patience)
-        if settled or rounds >= params.trees:
-            return BoostedFit(PipelineModel([assembler, first_trees(trees, best + 1)]), rounds, errors)
-        rounds = min(params.trees, 2 * rounds)
+        if settled:
+            break
+    return BoostedFit(PipelineModel([assembler, first_trees(trees, best + 1)]), rounds, errors)
 
 
 def with_category_mean(df: DataFrame, train: DataFrame) -> DataFrame:

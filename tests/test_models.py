@@ -110,6 +110,13 @@ def test_best_round_with_patience():
     assert models.patient_best([], 2) == (0, False)
 
 
+@pytest.mark.parametrize(("trees", "patience"), [(500, 20), (40, 2), (10, 20), (1000, 3), (61, 20)])
+def test_boosting_runs_repeat_few_rounds(trees, patience):
+    lengths = models.run_lengths(BoostingParams(trees=trees, patience=patience))
+    assert lengths[-1] == trees and sum(lengths) <= 2 * trees
+    assert all(2 * a <= b for a, b in zip(lengths, lengths[1:-1]))
+
+
 def test_boosting_goes_on_to_its_best_round(panel):
     """Runs of 6, 12, ... rounds: the kept model is the start of the longest, cut where the held-out error is least."""
     rows = features.feature_matrix(panel, ()).where("category <> 'single'").withColumn("held", F.col("date") > "2020-02-20").cache()
