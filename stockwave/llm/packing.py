@@ -18,20 +18,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from stockwave.llm.common import running_sum, table
+from stockwave.llm.common import running_sum, small_batches, table
 from stockwave.session import stage
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-CACHED_RUNS = 400_000
-WAITING_RUNS = 400_000  # runs of the texts that are looked up together
+CACHED_RUNS = 200_000
+WAITING_RUNS = 100_000  # runs of the texts that are looked up together
 TOGETHER = 500
+PIECE = {"doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long"}
 
 
 #: Texts of these characters are cut into runs of letters, digits and other marks here, as the tokenizer does
@@ -100,20 +102,20 @@ def run_ids(path: str) -> RunIds:
     return RunIds(path)
 
 
-def encoded(batch: pd.DataFrame, runs: RunIds) -> Iterator[tuple[object, np.ndarray]]:
-    """doc_id and ids of every text, some texts at a time."""
+def encoded(texts: list[str | None], runs: RunIds) -> Iterator[np.ndarray]:
+    """Ids of every text, some texts at a time."""
     waiting, size = [], 0
 
-    def finish() -> Iterator[tuple[object, np.ndarray]]:
-        known = iter(runs.encode_all([own for _, own in waiting if isinstance(own, list)]))
-        for doc_id, own in waiting:
-            yield doc_id, next(known) if isinstance(own, list) else runs.encode(own)
+    def finish() -> Iterator[np.ndarray]:
+        known = iter(runs.encode_all([own for own in waiting if isinstance(own, list)]))
+        for own in waiting:
+            yield next(known) if isinstance(own, list) else runs.encode(own)
 
-    for doc_id, text in zip(batch["doc_id"], batch["text"]):
+    for text in texts:
         text = text or ""
         plain = PLAIN.fullmatch(text) and "<|" not in text  # special tokens have that mark
         own = RUNS.findall(text.lower()) if plain else text
-        waiting.append((doc_id, own))
+        waiting.append(own)
         size += len(own)
         if size > WAITING_RUNS:
             yield from finish()
@@ -121,6 +123,22 @@ def encoded(batch: pd.DataFrame, runs: RunIds) -> Iterator[tuple[object, np.ndar
     yield from finish()
 
 
+def cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    """Pieces of the rows (doc_id, text) of ``batches``, a few hundred texts at a time, so that a task holds little text as Python objects."""
+    names = [*PIECE, "ids"] if with_ids else list(PIECE)
+    runs, end, step = run_ids(path), np.array([end_id], "<u4").tobytes(), 4 * capacity
+    for batch in small_batches(batches):
+        rows = []
+        for row, own in enumerate(encoded(batch.column("text").to_pylist(), runs)):
+            ids = own.tobytes() + end
+            for piece, at in enumerate(range(0, len(ids), step)):
+                part = ids[at : at + step]
+                rows.append((row, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
+        of, *numbers, parts = zip(*rows)
+        columns = [batch.column("doc_id").take(pa.array(of)), *map(pa.array, numbers, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(parts, pa.binary())] if with_ids else columns, names)
+
+
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Token ids of every document (doc_id, text), cut into pieces of ``capacity`` where it is longer.
 
@@ -129,30 +147,11 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     other columns of any name do no harm; an empty table gives no pieces.
     """
     path = path or public_tokenizers.path(TOKENIZER)
-    end = np.array([end_id], "<u4").tobytes()
-    step = 4 * capacity
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        runs = run_ids(path)
-        for batch in batches:
-            rows = []
-            for doc_id, own in encoded(batch, runs):
-                ids = own.tobytes() + end
-                for piece, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    row = (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))
-                    rows.append(row + (part,) if with_ids else row)
-            out = pd.DataFrame(rows, columns=names)
-            if whole:
-                out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
-
     kind = docs.schema["doc_id"].dataType
-    whole = isinstance(kind, T.IntegralType)
-    kept = "long" if whole else kind.simpleString()
-    schema = f"doc_id {kept}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    names = [part.split()[0] for part in schema.split(", ")]
-    return docs.select(F.col("doc_id").cast(kept).alias("doc_id"), "text").mapInPandas(cut, schema)
+    kept = "long" if isinstance(kind, T.IntegralType) else kind.simpleString()
+    schema = ", ".join(f"{name} {kept if name == 'doc_id' else of}" for name, of in PIECE.items()) + (", ids binary" if with_ids else "")
+    rows = docs.select(F.col("doc_id").cast(kept).alias("doc_id"), "text")
+    return rows.mapInArrow(lambda batches: cut(batches, path, capacity, end_id, with_ids), schema)
 
 
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -118,3 +119,10 @@ def test_string_ids(spark):
     pieces = found.collect()
     assert sorted({str(p.doc_id) for p in pieces}) == ["", "None", "b"]
     check(pieces, 256)
+
+
+def test_a_task_holds_few_texts_at_a_time():
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(3000)), "text": ["one two"] * 2999 + [None]})
+    found = list(packing.cut(iter([batch]), public_tokenizers.path(packing.TOKENIZER), 256, 0, False))
+    assert max(b.num_rows for b in found) < 1000
+    assert [i for b in found for i in b.column("doc_id").to_pylist()] == list(range(3000))
