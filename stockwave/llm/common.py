@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -35,12 +36,21 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterato
             yield batch.slice(at, rows)
 
 
+def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; once a task has given the last one, its Python worker, which other tasks take over, returns unused memory."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library keeps freed memory otherwise, where it is glibc
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
     """``mapInArrow`` for columns of any name, also with dots; ``run`` gives its columns in the order of ``schema``."""
     names, places = df.columns, [f"c{i}" for i in range(len(schema))]
 
     def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in run(pa.RecordBatch.from_arrays(b.columns, names) for b in batches):
+        for batch in freed(run(pa.RecordBatch.from_arrays(b.columns, names) for b in batches)):
             yield pa.RecordBatch.from_arrays(batch.columns, places)
 
     sent = T.StructType([T.StructField(c, f.dataType) for c, f in zip(places, schema)])

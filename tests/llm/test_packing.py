@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -108,6 +109,57 @@ def test_unusual_text(spark):
     assert found == {i: [*TOKENIZER.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
 
 
+RUN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+")
+PIECES = ["'s", "'t", "'re", "'VE", "'m", "'ll", "'d", "'", "''", "l", "LL", "r", "s", "É", "ß", "À", "þ", "ÿ", "í", "à", "7", "42", ".", "!'", "<", "<|", "|", " ", "\n", "\t\r", "word", "don't"]
+
+
+def cut_of(texts):
+    """Which of the texts are cut into runs, and the runs of these."""
+    sent = [t.encode() for t in texts]
+    data, bounds = np.frombuffer(b"".join(sent), np.uint8), np.cumsum([0, *map(len, sent)])
+    plain = packing.is_plain(data, packing.KIND_OF_BYTE[data], bounds)
+    kept = [s for s, is_cut in zip(sent, plain) if is_cut]
+    data, bounds = np.frombuffer(b"".join(kept), np.uint8), np.cumsum([0, *map(len, kept)])
+    runs, at = packing.cut_runs(data, packing.KIND_OF_BYTE[data], bounds)
+    return plain.tolist(), [runs.to_pylist()[i:j] for i, j in zip(at, at[1:])]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_are_those_of_the_pattern(seed):
+    draw = random.Random(seed)
+    texts = ["".join(draw.choices(PIECES, k=draw.randint(0, 12))) for _ in range(400)]
+    plain, runs = cut_of(texts)
+    assert plain == ["<|" not in t for t in texts] or all("<|" in t or t.endswith("<") for t, is_cut in zip(texts, plain) if not is_cut)
+    assert runs == [RUN.findall(t.lower()) for t, is_cut in zip(texts, plain) if is_cut]
+
+
+def test_other_characters_go_to_the_tokenizer_whole():
+    texts = ["a", "×", "a÷b", "\x1c", "\x7f", "\x85", "ł", "日本", "e\u0301", "é", "\x00", "", "ã", "\u00a0", "Ÿ", "𝒳"]
+    assert [t for t, is_cut in zip(texts, cut_of(texts)[0]) if is_cut] == ["a", "é", "", "ã"]
+
+
+@pytest.mark.parametrize("limits", [(30, 40), (1000, 1)])
+def test_what_is_remembered_does_not_change_the_ids(monkeypatch, limits):
+    monkeypatch.setattr(packing, "CACHED_RUNS", limits[0])
+    monkeypatch.setattr(packing, "WAITING_BYTES", limits[1])
+    draw = random.Random(3)
+    texts = ["".join(draw.choices(PIECES, k=draw.randint(0, 12))) for _ in range(300)] + [None, "naïve Ærøskøbing " * 20, "x×y"]
+    runs = packing.RunIds(public_tokenizers.path(packing.TOKENIZER))
+    for _ in range(2):
+        found = [ids.tolist() for ids in packing.encoded(pa.array(["cut off", *texts])[1:], runs)]
+        assert found == [TOKENIZER.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(runs.places) == len(runs.met) == len(runs.starts) - 1
+
+
+def test_frequent_runs_stay_when_others_are_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_RUNS", 20)
+    runs = packing.RunIds(public_tokenizers.path(packing.TOKENIZER))
+    for i in range(30):
+        list(packing.encoded(pa.array([f"the word {'abcdefghijklmnopqrstuvwxyzabcd'[i]}{'z' * i}"]), runs))
+        assert len(runs.places) <= 20
+    assert {"the", "word"} <= set(runs.places) and "a" not in runs.places
+
+
 def test_empty_table(no_docs):
     assert packing.pack_documents(no_docs).count() == 0
 
