@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockwave.llm.common import row_order, small_batches, table, unused, word_count
+from stockwave.llm.common import freed, row_order, small_batches, table, unused, word_count
 from stockwave.llm.components import components
 from stockwave.session import stage
 
@@ -187,7 +187,7 @@ def indexed(docs: DataFrame) -> DataFrame:
                 ["doc_id", "digest", "n", "class", "entries"],
             )
 
-    return docs.select("doc_id", F.md5("text").alias("digest"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", F.md5("text").alias("digest"), "text").mapInArrow(lambda batches: freed(run(batches)), schema)
 
 
 def met_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +235,7 @@ def connected(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame
     spark = docs.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     listed = rows.select(F.explode("entries").alias("entry"), "class")
-    members = listed.repartition(n_parts, "entry").sortWithinPartitions("entry", "class").mapInArrow(met_twice, "entry long, class long")
+    members = listed.repartition(n_parts, "entry").sortWithinPartitions("entry", "class").mapInArrow(lambda batches: freed(met_twice(batches)), "entry long, class long")
     members = stage(members, "ngram-members")
     counted = members.groupBy("class").agg(F.count(F.lit(1)).alias("weight")).join(classes.select("class", "n", "first"), "class")
     active = stage(counted.where(F.col("weight") >= shared_entries()), "ngram-active")
@@ -361,7 +361,7 @@ def shingle_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["class", "shingles"])
 
     rows = docs.select("text", F.md5("text").alias("digest")).where("digest is not null").select("text", position.alias("p"))
-    found = rows.mapInArrow(run, "class long, shingles array<long>")
+    found = rows.mapInArrow(lambda batches: freed(run(batches)), "class long, shingles array<long>")
     return found.join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.first("shingles").alias("shingles"))
 
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockwave.llm.common import map_arrow, small_batches, table, unused
+from stockwave.llm.common import freed, map_arrow, small_batches, table, unused
 from stockwave.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -190,7 +190,7 @@ def extract(docs: DataFrame) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select("doc_id", F.md5("text").alias("digest"), "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, digest string, spans {SPANS}, instances {INSTANCES}")
+    return rows.mapInArrow(lambda batches: freed(run(batches)), f"doc_id {kind}, digest string, spans {SPANS}, instances {INSTANCES}")
 
 
 def bootstrap(extracted: DataFrame) -> DataFrame:

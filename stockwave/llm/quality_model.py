@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockwave.llm.common import map_arrow, small_batches, table, unused
+from stockwave.llm.common import freed, map_arrow, small_batches, table, unused
 from stockwave.session import scratch_path, stage
 
 WORD_SLOTS = 4096
@@ -29,7 +29,7 @@ MAX_FIT_ROWS = 20_000  # labelled documents used to fit, those of smallest hash
 ITERATIONS = 80
 THRESHOLD = 0.3
 HELD_OUT_PARTS = 5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 BYTE_CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b"#*$%&|<>", b".,;:", b"!?", b" \t\r\v\f", b"\n", b"\"'()[]{}=_-+/\\@~^`")
 STRUCTURE = len(BYTE_CLASSES) + 8
 SIZE = WORD_SLOTS + STRUCTURE
@@ -121,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, factor
 
     rows = with_size(docs).select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars"), F.md5("text").alias("digest"))
     rows = rows.join(F.broadcast(chosen), "doc_id")  # at most max_rows ids
-    rows = rows.mapInArrow(extract, f"doc_id {dict(docs.dtypes)['doc_id']}, label double, digest string, at array<int>, x array<double>")
+    rows = rows.mapInArrow(lambda batches: freed(extract(batches)), f"doc_id {dict(docs.dtypes)['doc_id']}, label double, digest string, at array<int>, x array<double>")
     rows = stage(rows.groupBy("doc_id").agg(F.min("label").alias("label"), F.min_by(F.struct("at", "x"), F.coalesce("digest", F.lit(""))).alias("f")), "fit-rows")
     share = rows.agg(F.avg("label")).head()[0]
     if share is None or share in (0.0, 1.0):
